@@ -75,17 +75,18 @@ def quantiles(
         .withColumn("frac", F.col("h") - F.col("lo"))
     )
     wanted = targets.select(
-        "feature", "prob", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("lo").alias("r")),
-                                             F.struct(F.lit(1).alias("side"), F.col("hi").alias("r")))).alias("t")
-    ).select("feature", "prob", "t.side", "t.r")
+        F.col("feature").alias("w_feature"), F.col("prob").alias("w_prob"),
+        F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("lo").alias("r")),
+                          F.struct(F.lit(1).alias("side"), F.col("hi").alias("r")))).alias("t"),
+    ).select("w_feature", "w_prob", "t.side", "t.r")
     # |features|·|probs|·2 rows: broadcast; range lookup on the rank interval
     cond = (
-        (ranked["feature"] == wanted["feature"])
-        & (ranked["n_before"] <= wanted["r"])
-        & (wanted["r"] < ranked["n_after"])
+        (F.col("feature") == F.col("w_feature"))
+        & (F.col("n_before") <= F.col("r"))
+        & (F.col("r") < F.col("n_after"))
     )
     hits = ranked.join(F.broadcast(wanted), cond).select(
-        wanted["feature"], wanted["prob"], wanted["side"], ranked["value"]
+        F.col("w_feature").alias("feature"), F.col("w_prob").alias("prob"), "side", "value"
     )
     ends = hits.groupBy("feature", "prob").agg(
         F.max(F.when(F.col("side") == 0, F.col("value"))).alias("v_lo"),
