@@ -18,25 +18,31 @@ from .quality_checks import rows_sql
 
 FEATS = S.FEATURES
 
-# DuckDB: exact stratified split of ``features`` (needs READINGS + FEATURES).
-SPLIT_SQL = f"""
-k AS (SELECT *, md5(reading_id || ':{S.SPLIT_SEED}') AS h FROM features),
-counts AS (SELECT target, count(*) AS n_c FROM k GROUP BY target),
-c1 AS (SELECT target, n_c, sum(n_c) OVER () AS big_n FROM counts),
-c2 AS (SELECT *, big_n - ceil(CAST({S.SPLIT_TEST_SIZE!r} AS DOUBLE) * big_n) AS n_train_total FROM c1),
-c3 AS (SELECT *, n_c / big_n * n_train_total AS cont FROM c2),
-c4 AS (SELECT *, floor(cont) AS fl FROM c3),
-c5 AS (SELECT *, n_train_total - sum(fl) OVER () AS need,
-              row_number() OVER (ORDER BY cont - fl DESC, target) AS pos FROM c4),
-alloc AS (SELECT target, CAST(n_c AS BIGINT) AS n_c,
+def split_cte(source: str = "features", target: str = "target", id_col: str = "reading_id",
+              seed: int = S.SPLIT_SEED, name: str = "split") -> str:
+    """DuckDB: exact stratified split of ``source`` as CTEs ending in ``name``."""
+    p = f"{name}_"
+    return f"""
+{p}k AS (SELECT *, md5({id_col} || ':{seed}') AS h FROM {source}),
+{p}counts AS (SELECT {target} AS cls, count(*) AS n_c FROM {p}k GROUP BY {target}),
+{p}c1 AS (SELECT cls, n_c, sum(n_c) OVER () AS big_n FROM {p}counts),
+{p}c2 AS (SELECT *, big_n - ceil(CAST({S.SPLIT_TEST_SIZE!r} AS DOUBLE) * big_n) AS n_train_total FROM {p}c1),
+{p}c3 AS (SELECT *, n_c / big_n * n_train_total AS cont FROM {p}c2),
+{p}c4 AS (SELECT *, floor(cont) AS fl FROM {p}c3),
+{p}c5 AS (SELECT *, n_train_total - sum(fl) OVER () AS need,
+              row_number() OVER (ORDER BY cont - fl DESC, cls) AS pos FROM {p}c4),
+{p}alloc AS (SELECT cls AS {target}, CAST(n_c AS BIGINT) AS n_c,
                  CAST(fl + CASE WHEN pos <= need THEN 1 ELSE 0 END AS BIGINT) AS n_train,
-                 CAST(n_c - (fl + CASE WHEN pos <= need THEN 1 ELSE 0 END) AS BIGINT) AS n_test FROM c5),
-split AS (
-  SELECT k.*, CASE WHEN row_number() OVER (PARTITION BY k.target ORDER BY h, reading_id) <= alloc.n_test
+                 CAST(n_c - (fl + CASE WHEN pos <= need THEN 1 ELSE 0 END) AS BIGINT) AS n_test FROM {p}c5),
+{name} AS (
+  SELECT k.*, CASE WHEN row_number() OVER (PARTITION BY k.{target} ORDER BY h, {id_col}) <= a.n_test
                    THEN 'test' ELSE 'train' END AS split
-  FROM k JOIN alloc ON k.target = alloc.target
+  FROM {p}k k JOIN {p}alloc a ON k.{target} = a.{target}
 )"""
 
+
+SPLIT_SQL = split_cte()
+
 SCALER_SQL = (
     "sc AS (SELECT "
     + ", ".join(
@@ -71,7 +77,7 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "split_sizes",
-    with_ctes(X.READINGS_SQL, FEATURES_SQL, SPLIT_SQL, body="SELECT target, n_c, n_train, n_test FROM alloc"),
+    with_ctes(X.READINGS_SQL, FEATURES_SQL, SPLIT_SQL, body="SELECT target, n_c, n_train, n_test FROM split_alloc"),
 )
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-class allocation of the exact split (largest remainder)."""
