@@ -20,7 +20,9 @@ import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
+import pandas as pd
+from pyspark import keyword_only
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
@@ -29,12 +31,17 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCols, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
+from ..session import cut_lineage
 
 VEC = "features_vec"
 
@@ -56,7 +63,8 @@ def assembler(cols: Sequence[str] = S.FEATURES, out: str = VEC, prefix: str = SC
 def random_forest(num_trees: int = 100, max_depth: int = 10, min_leaf: int = 2, seed: int = 42,
                   weight_col: str | None = "weight", label: str = S.TARGET) -> RandomForestClassifier:
     rf = RandomForestClassifier(featuresCol=VEC, labelCol=label, numTrees=num_trees, maxDepth=min(max_depth, 30),
-                                minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed)
+                                minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed,
+                                maxMemoryInMB=1024, cacheNodeIds=True)
     if weight_col:
         rf.setWeightCol(weight_col)
     return rf
@@ -65,7 +73,7 @@ def random_forest(num_trees: int = 100, max_depth: int = 10, min_leaf: int = 2,
 def boosted_trees(max_iter: int = 100, max_depth: int = 6, step: float = 0.1, subsample: float = 0.8,
                   seed: int = 42, weight_col: str | None = "weight", label: str = S.TARGET) -> GBTClassifier:
     g = GBTClassifier(featuresCol=VEC, labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step,
-                      subsamplingRate=subsample, seed=seed)
+                      subsamplingRate=subsample, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
     if weight_col:
         g.setWeightCol(weight_col)
     return g
@@ -73,11 +81,14 @@ def boosted_trees(max_iter: int = 100, max_depth: int = 6, step: float = 0.1, su
 
 def prepare_training(df: DataFrame, partitions: int | None = None, id_col: str = "reading_id") -> DataFrame:
     """Tree learners depend on row placement: a fixed hash partitioning on
-    the id plus a sort inside partitions makes fits reproducible."""
+    the id plus a sort inside partitions makes fits reproducible.  Learners
+    scan their input several times, so the prepared rows are written once
+    to the shared checkpoint folder (lineage cut, survives executor loss)
+    instead of re-running the feature/split plan on every pass."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     if id_col in df.columns:
-        return df.repartition(n, id_col).sortWithinPartitions(id_col)
-    return df
+        df = df.repartition(n, id_col).sortWithinPartitions(id_col)
+    return cut_lineage(df)
 
 
 def fit_pipeline(train: DataFrame, scaler: Mapping[str, tuple[float, float]], estimator,
@@ -88,22 +99,46 @@ def fit_pipeline(train: DataFrame, scaler: Mapping[str, tuple[float, float]], es
 
 
 # ------------------------------------------------------- kernel approx ---
-def rff_statement(n_in: Sequence[str], n_components: int, gamma: float, seed: int = 42,
-                  prefix: str = "rff_") -> tuple[str, list[str]]:
-    """SQL for z_j(x) = sqrt(2/D)·cos(w_j·x + b_j), w ~ N(0, 2γ I),
-    b ~ U(0, 2π): an explicit feature map whose inner products approximate
-    the RBF kernel exp(−γ‖x − y‖²).  Pure SQL expressions (codegen, no
-    Python in the scoring path); the matrix is fixed by the seed."""
+def rff_matrix(n_in: int, n_components: int, gamma: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """w ~ N(0, 2γ I) (D × d), b ~ U(0, 2π): fixed by the seed, so a saved
+    stage only stores (gamma, D, seed)."""
     rng = np.random.default_rng(seed)
-    w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, len(n_in)))
+    w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, n_in))
     b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
-    k = math.sqrt(2.0 / n_components)
-    names = [f"{prefix}{j}" for j in range(n_components)]
-    exprs = []
-    for j in range(n_components):
-        lin = " + ".join(f"{w[j, i]!r}D * `{c}`" for i, c in enumerate(n_in))
-        exprs.append(f"{k!r}D * cos({lin} + {b[j]!r}D) AS {names[j]}")
-    return "SELECT *, " + ", ".join(exprs) + " FROM __THIS__", names
+    return w, b
+
+
+class RandomFourierFeatures(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """z(x) = sqrt(2/D)·cos(W x + b): an explicit feature map whose inner
+    products approximate the RBF kernel exp(−γ‖x − y‖²) (Rahimi & Recht).
+
+    A dense D×d product per row is what numpy does best: an Arrow-batched
+    pandas UDF (one matmul per batch of rows), not per-row Python and not a
+    D·d-term SQL projection (which overflows whole-stage codegen)."""
+
+    gamma = Param(Params._dummy(), "gamma", "RBF width", typeConverter=TypeConverters.toFloat)
+    nComponents = Param(Params._dummy(), "nComponents", "feature count D", typeConverter=TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "matrix seed", typeConverter=TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, inputCols=None, outputCol="rff", gamma=0.1, nComponents=300, seed=42):
+        super().__init__()
+        self._setDefault(outputCol="rff", gamma=0.1, nComponents=300, seed=42)
+        self._set(**self._input_kwargs)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        cols = self.getInputCols()
+        w, b = rff_matrix(len(cols), self.getOrDefault(self.nComponents), self.getOrDefault(self.gamma),
+                          self.getOrDefault(self.seed))
+        k = math.sqrt(2.0 / w.shape[0])
+
+        @F.pandas_udf(T.ArrayType(T.DoubleType()))
+        def rff(*series: pd.Series) -> pd.Series:
+            x = np.column_stack([s.to_numpy(dtype="float64") for s in series])
+            z = k * np.cos(x @ w.T + b)
+            return pd.Series(list(z))
+
+        return df.withColumn(self.getOutputCol(), array_to_vector(rff(*[F.col(c) for c in cols])))
 
 
 def gamma_value(gamma: str | float, n_features: int, x_var: float) -> float:
@@ -121,14 +156,14 @@ def kernel_svm_pipeline(scaler: Mapping[str, tuple[float, float]], c: float, gam
     """scaler → random Fourier features → LinearSVC (hinge, C mapped to
     regParam = 1/(C·Σw)) → Platt scaling (logistic regression on the
     margin) for probabilities."""
-    stmt, names = rff_statement([f"{SCALED}{c}" for c in cols], n_components, gamma, seed)
+    rff = RandomFourierFeatures(inputCols=[f"{SCALED}{c}" for c in cols], outputCol="rff", gamma=gamma,
+                                nComponents=n_components, seed=seed)
     svc = LinearSVC(featuresCol="rff", labelCol=label, regParam=1.0 / (c * weight_sum), standardization=False,
                     maxIter=100, rawPredictionCol="svm_margin", predictionCol="svm_prediction")
     if weight_col:
         svc.setWeightCol(weight_col)
     platt = LogisticRegression(featuresCol="svm_margin", labelCol=label, maxIter=100, regParam=0.0)
-    return Pipeline(stages=[scaler_stage(scaler), SQLTransformer(statement=stmt),
-                            VectorAssembler(inputCols=names, outputCol="rff"), svc, platt])
+    return Pipeline(stages=[scaler_stage(scaler), rff, svc, platt])
 
 
 def feature_variance(df: DataFrame, scaler: Mapping[str, tuple[float, float]], cols: Sequence[str] = S.FEATURES) -> float:
