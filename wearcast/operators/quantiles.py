@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .prefix import running_totals
 
 
@@ -64,7 +65,9 @@ def quantiles(
     hist = long_values(df, cols).groupBy("feature", "value").agg(F.count("*").alias("n"))
     ranked = running_totals(hist, ["feature"], ["value"], ["n"])
     ranked = ranked.withColumn("n_after", F.col("n_before") + F.col("n"))
-    sizes = ranked.groupBy("feature").agg(F.max("n_after").alias("total"))
+    # non-missing count per feature, straight from the source (one pass,
+    # no second run of the ranking step)
+    sizes = long_values(df, cols).groupBy("feature").agg(F.count("*").cast("double").alias("total"))
     probs_df = df.sparkSession.createDataFrame([(p,) for p in probs], "prob double")
     # h = q·(N−1); need order statistics floor(h) and floor(h)+1 (capped)
     targets = (
@@ -93,11 +96,14 @@ def quantiles(
         F.max(F.when(F.col("side") == 1, F.col("value"))).alias("v_hi"),
     )
     out = ends.join(targets.select("feature", "prob", "frac"), ["feature", "prob"])
-    return out.select(
+    out = out.select(
         "feature",
         "prob",
         (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("quantile"),
     )
+    # |features|·|probs| rows; materialised once so every later use (bounds,
+    # pivots, joins) reads this small table instead of re-ranking
+    return cut_lineage(out)
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], prob: float, method: str = "exact",
