@@ -137,5 +137,7 @@ def running_totals(
         if how == "sum":
             result[f"{v}{suffix}"] = F.col(o) + F.coalesce(F.col(f"_o_{v}"), F.lit(0.0))
         else:
-            result[f"{v}{suffix}"] = F.greatest(F.col(o), F.col(f"_o_{v}"))
+            # group starts carry NaN out of numpy; make them SQL NULL explicitly
+            local_max = F.when(F.isnan(o), F.lit(None).cast("double")).otherwise(F.col(o))
+            result[f"{v}{suffix}"] = F.greatest(local_max, F.col(f"_o_{v}"))
     return joined.withColumns(result).drop(*outs, *[f"_o_{v}" for v in value_cols], _PID)
