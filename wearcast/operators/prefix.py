@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark import StorageLevel
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,12 +101,16 @@ def running_totals(
     p = num_partitions or shuffle_partitions(spark)
     group_cols, order_cols, value_cols = list(group_cols), list(order_cols), list(value_cols)
     keys = group_cols + order_cols
+    # the range bounds are sampled from the input and the input is then
+    # shuffled: keep it (spillable, recomputable cache) so it runs once
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
     staged = (
-        df.repartitionByRange(p, *keys)
+        src.repartitionByRange(p, *keys)
         .sortWithinPartitions(*keys)
         .withColumn(_PID, F.spark_partition_id())
     )
     staged = cut_lineage(staged)
+    src.unpersist()
 
     outs = [f"{v}{suffix}_local" for v in value_cols]
     out_schema = T.StructType(
