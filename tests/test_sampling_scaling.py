@@ -61,3 +61,17 @@ def test_scaler_population_std_and_golden(spark, golden):
 def test_constant_column_scale_is_one(spark):
     df = spark.createDataFrame([(1.0,), (1.0,)], "a double")
     assert T.scaler_fit(df, ["a"]).first()["scale"] == 1.0
+
+
+def test_hot_id_copies_are_salted_and_sizes_exact(spark):
+    # a third of the rows are copies of one id: its bucket is split by salt
+    rows = [("hot", 0)] * 1000 + [(f"id{i}", int(i % 25 == 0)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "reading_id string, target int")
+    sp = M.stratified_split(df, max_bucket_rows=100)
+    got = {(r["split"], r["target"]): r["n"] for r in sp.groupBy("split", "target").agg(F.count("*").alias("n")).collect()}
+    counts = {0: 1000 + 1920, 1: 80}
+    alloc = {r["target"]: r for r in M.allocation(spark.createDataFrame(list(counts.items()), "target int, n_c long")).collect()}
+    assert got[("test", 0)] == alloc[0]["n_test"] and got[("test", 1)] == alloc[1]["n_test"]
+    assert sp.count() == 3000
+    ranks = M.class_ranks(df, "reading_id", max_bucket_rows=100).where("target = 0").select("_rank").toPandas()
+    assert sorted(ranks["_rank"]) == list(range(1, 2921))  # exact, gap-free ranks

@@ -91,15 +91,24 @@ def serving_version(aliases: DataFrame, name: str = "name") -> DataFrame:
 
 def registry_listing(models: DataFrame, versions: DataFrame, aliases: DataFrame, name: str = "name",
                      version: str = "version") -> DataFrame:
-    """Every model with all its versions (left join: models without versions
-    keep one row) and each version's alias."""
+    """Every model with all its versions and each version's alias; models
+    without versions keep one row with NULLs.
+
+    Written as inner join ∪ anti join instead of ``models ⟕ versions``: one
+    model may own a third of all versions, and adaptive skew handling can
+    split a hot key of an inner join but not of the right side of a left
+    outer join.  ``aliases`` has one row per model."""
     v = versions.join(aliases, name, "left").select(
         name, version, "f1",
         F.when(F.col(version) == F.col("champion"), "champion")
         .when(F.col(version) == F.col("previous"), "previous")
         .when(F.col(version) == F.col("candidate"), "candidate").alias("alias"),
     )
-    return models.join(v, name, "left")
+    with_versions = models.join(v, name, "inner")
+    without = models.join(versions.select(name).distinct(), name, "left_anti").select(
+        "*", F.lit(None).cast(versions.schema[version].dataType).alias(version),
+        F.lit(None).cast(versions.schema["f1"].dataType).alias("f1"), F.lit(None).cast("string").alias("alias"))
+    return with_versions.unionByName(without)
 
 
 def production_gate(best: DataFrame, min_f1: float = S.PRODUCTION_MIN_F1, max_gap: float = S.PRODUCTION_MAX_GAP,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,8 +62,9 @@ def type_partition(df: DataFrame, path: str, machine_type: str = "L") -> DataFra
     (all types, ``partitionBy("type")``) and read it back; the type filter
     then prunes partitions instead of scanning the whole table."""
     spark = df.sparkSession
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    if not fs.exists(jvm_path):
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException:  # not written yet
         write_type_partitioned(df, path)
-    return filter_type(spark.read.parquet(path), machine_type)
+        table = spark.read.parquet(path)
+    return filter_type(table, machine_type)
