@@ -61,3 +61,13 @@ def test_production_gate(spark):
     best = spark.createDataFrame([("rf", 0.9, 0.01), ("svm", 0.5, 0.2)], "model string, f1_score double, gap double")
     g = {r["model"]: r for r in G.production_gate(best).collect()}
     assert g["rf"]["production_ready"] and not g["svm"]["quality_passed"]
+
+
+def test_roc_curve_drops_collinear_points(spark):
+    # scores 0.9/0.8/0.7 each with one positive: (0.8) lies on the segment
+    df = spark.createDataFrame([(1, 0.9), (1, 0.8), (1, 0.7), (0, 0.2), (0, 0.1)], "y int, score double")
+    full = E.roc_curve(df, drop_intermediate=False).toPandas()
+    kept = E.roc_curve(df).toPandas()
+    assert len(full) == 6
+    # tps = 1,2,3,3,3 and fps = 0,0,0,1,2: 0.8 and 0.2 are collinear
+    assert sorted(kept["threshold"].tolist()) == [0.1, 0.7, 0.9, float("inf")]

@@ -116,13 +116,28 @@ def roc_auc(df: DataFrame, label: str = "y", score: str = "score", by: Sequence[
     )
 
 
-def roc_curve(df: DataFrame, label: str = "y", score: str = "score") -> DataFrame:
-    """(threshold, fpr, tpr) for every distinct score (descending), plus the
-    start point (+inf, 0, 0)."""
+def roc_curve(df: DataFrame, label: str = "y", score: str = "score", drop_intermediate: bool = True) -> DataFrame:
+    """(threshold, fpr, tpr) per distinct score (descending) plus the start
+    point (+inf, 0, 0).  ``drop_intermediate`` (the usual default) removes
+    points collinear with both neighbours: point j stays iff it is the
+    first or last, or its (pos, neg) counts differ from the next lower
+    score's — exactly where the second differences of (fps, tps) are not 0."""
     cnt = _score_counts(df, label, score, [])
     ranked = running_totals(cnt, [], [score], ["pos", "neg"])
-    totals = cnt.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
+    totals = cnt.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"), F.max(score).alias("_top"),
+                     F.count("*").alias("_D"))
     j = ranked.crossJoin(F.broadcast(totals))  # one row
+    if drop_intermediate:
+        # the next point (next lower distinct score) = running max of the
+        # scores before this one in ascending order; fetch its counts by key
+        below = running_totals(cnt.select(score, F.col(score).cast("double").alias("_sv")), [], [score], ["_sv"],
+                               how="max").select(score, F.col("_sv_before").alias("_next"))
+        nxt = cnt.select(F.col(score).cast("double").alias("_next"), F.col("pos").alias("_npos"),
+                         F.col("neg").alias("_nneg"))
+        j = j.join(below, score).join(nxt, "_next", "left")
+        keep = (F.col("_D") <= 2) | F.col("_next").isNull() | (F.col(score) == F.col("_top")) \
+            | (F.col("_npos") != F.col("pos")) | (F.col("_nneg") != F.col("neg"))
+        j = j.where(keep)
     pts = j.select(
         F.col(score).cast("double").alias("threshold"),
         _div0(F.col("_N") - F.col("neg_before"), F.col("_N").cast("double")).alias("fpr"),

@@ -116,11 +116,14 @@ def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     "roc_curve",
     with_ctes(
         X.SCORED_SQL, _SCORE_AGG,
-        "cum AS (SELECT score, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tps, "
-        "sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fps FROM sa)",
+        "cum AS (SELECT score, pos, neg, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tps, "
+        "sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fps, "
+        "lead(pos) OVER (ORDER BY score DESC) AS pos_next, lead(neg) OVER (ORDER BY score DESC) AS neg_next, "
+        "row_number() OVER (ORDER BY score DESC) AS rn, count(*) OVER () AS cnt FROM sa)",
         "tot AS (SELECT sum(pos) AS tp_all, sum(neg) AS fp_all FROM sa)",
         body="SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr UNION ALL "
-        "SELECT round(score, 6), round(fps / fp_all, 6), round(tps / tp_all, 6) FROM cum CROSS JOIN tot",
+        "SELECT round(score, 6), round(fps / fp_all, 6), round(tps / tp_all, 6) FROM cum CROSS JOIN tot "
+        "WHERE cnt <= 2 OR rn = 1 OR rn = cnt OR pos_next <> pos OR neg_next <> neg",
     ),
 )
 def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
