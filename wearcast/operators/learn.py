@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
 
 VEC = "features_vec"
 
@@ -127,6 +127,7 @@ class RandomFourierFeatures(Transformer, HasInputCols, HasOutputCol, DefaultPara
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        ship_package(df.sparkSession)
         cols = self.getInputCols()
         w, b = rff_matrix(len(cols), self.getOrDefault(self.nComponents), self.getOrDefault(self.gamma),
                           self.getOrDefault(self.seed))

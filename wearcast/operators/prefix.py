@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage, shuffle_partitions
+from ..session import cut_lineage, ship_package, shuffle_partitions
 
 _PID = "_pid"
 
@@ -98,6 +98,7 @@ def running_totals(
     if how not in ("sum", "max"):
         raise ValueError("how must be 'sum' or 'max'")
     spark = df.sparkSession
+    ship_package(spark)
     p = num_partitions or shuffle_partitions(spark)
     group_cols, order_cols, value_cols = list(group_cols), list(order_cols), list(value_cols)
     keys = group_cols + order_cols

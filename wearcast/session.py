@@ -7,6 +7,7 @@ that are already present.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,24 @@ _LOCAL_DEFAULTS = {
 }
 
 
+_SHIPPED: set[str] = set()
+_PKG_DIR = os.path.dirname(os.path.abspath(__file__))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``wearcast`` importable in Python workers (Arrow batch functions
+    reference it), once per application: zip the package and ``addPyFile``
+    it, the standard way to distribute Python code to executors."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    out = tempfile.mkdtemp(prefix="wearcast-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "wearcast"), "zip", os.path.dirname(_PKG_DIR), "wearcast")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def local_session(cores: int | str = "*", app: str = "wearcast", **conf: str) -> SparkSession:
     """Session for tests and the local benchmark (UI off, AQE on)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -32,6 +51,7 @@ def local_session(cores: int | str = "*", app: str = "wearcast", **conf: str) ->
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
