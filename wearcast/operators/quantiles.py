@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,11 +64,12 @@ def quantiles(
         raise ValueError("method must be 'exact' or 'approx'")
 
     hist = long_values(df, cols).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    # one scan of the source: the ranking and the per-feature sizes both
+    # read this (spillable, recomputable) cache of distinct-value counts
+    hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
     ranked = running_totals(hist, ["feature"], ["value"], ["n"])
     ranked = ranked.withColumn("n_after", F.col("n_before") + F.col("n"))
-    # non-missing count per feature, straight from the source (one pass,
-    # no second run of the ranking step)
-    sizes = long_values(df, cols).groupBy("feature").agg(F.count("*").cast("double").alias("total"))
+    sizes = hist.groupBy("feature").agg(F.sum("n").cast("double").alias("total"))
     probs_df = df.sparkSession.createDataFrame([(p,) for p in probs], "prob double")
     # h = q·(N−1); need order statistics floor(h) and floor(h)+1 (capped)
     targets = (
@@ -103,7 +105,9 @@ def quantiles(
     )
     # |features|·|probs| rows; materialised once so every later use (bounds,
     # pivots, joins) reads this small table instead of re-ranking
-    return cut_lineage(out)
+    out = cut_lineage(out)
+    hist.unpersist()
+    return out
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], prob: float, method: str = "exact",
