@@ -82,3 +82,11 @@ def test_all_null_column_profile(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
     prof = {r["feature"]: r for r in Q.column_profile(df, ["a", "b"], ("min", "max", "mean")).collect()}
     assert prof["a"]["mean"] is None and prof["b"]["mean"] == 1.5
+
+
+def test_iqr_and_impute_with_all_null_column(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 9.0)], "a double, b double")
+    out = {r["feature"]: r["n_outliers"] for r in Q.iqr_outliers(df, ["a", "b"]).collect()}
+    assert out.get("a", 0) == 0
+    imp = Q.impute_median(df, ["a", "b"]).collect()
+    assert imp[0]["a"] is None and imp[0]["b"] == 1.0

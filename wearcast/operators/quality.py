@@ -300,18 +300,15 @@ def out_of_range(df: DataFrame, bounds: dict[str, tuple[float, float]] | None =
 
 # ------------------------------------------------------------------ Q14 ---
 def impute_median(df: DataFrame, cols: Sequence[str] = S.SENSORS, method: str = "exact",
-                  medians: DataFrame | None = None) -> DataFrame:
-    """Replace NULLs by the column median of this batch (or given medians).
-    The medians are one row, broadcast to every task."""
+                  medians: dict[str, float] | None = None) -> DataFrame:
+    """Replace NULLs by the column median of this batch (or given medians,
+    e.g. stored training medians for a stream).  The medians are a handful
+    of numbers: they become literals in one projection."""
     cols = [c for c in cols if c in df.columns]
     if medians is None:
-        long = quantiles(df, cols, [0.5], method)
-        medians = long.groupBy().pivot("feature", cols).agg(F.first("quantile"))
-    med = medians.select(*[F.col(c).alias(f"_med_{c}") for c in cols])
-    joined = df.crossJoin(F.broadcast(med))
-    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in cols}).drop(
-        *[f"_med_{c}" for c in cols]
-    )
+        q = quantiles(df, cols, [0.5], method)  # materialised, ≤ len(cols) rows
+        medians = {r["feature"]: r["quantile"] for r in q.collect()}
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(medians.get(c)).cast("double")) for c in cols})
 
 
 # ------------------------------------------------------------------ Q15 ---
@@ -329,13 +326,14 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], factor: float = S.IQR_FACTO
         (F.col("q1") - factor * (F.col("q3") - F.col("q1"))).alias("lower_bound"),
         (F.col("q3") + factor * (F.col("q3") - F.col("q1"))).alias("upper_bound"),
     )
-    wide = b.groupBy().pivot("feature", list(cols)).agg(
-        F.first("lower_bound").alias("lo"), F.first("upper_bound").alias("hi")
-    )
-    # bounds are one row: broadcast, then a single counting pass
-    counts = df.crossJoin(F.broadcast(wide)).agg(
+    # 2 numbers per feature from the materialised quartiles: literals in a
+    # single counting pass over the data
+    got = {r["feature"]: (r["lower_bound"], r["upper_bound"]) for r in b.collect()}
+    bounds = {c: got.get(c, (None, None)) for c in cols}  # all-NULL column: no bounds
+    counts = df.agg(
         F.count("*").alias("_rows"),
-        *[F.count_if((F.col(c) < F.col(f"{c}_lo")) | (F.col(c) > F.col(f"{c}_hi"))).alias(f"_o{i}")
+        *[F.count_if((F.col(c) < F.lit(bounds[c][0]).cast("double"))
+                     | (F.col(c) > F.lit(bounds[c][1]).cast("double"))).alias(f"_o{i}")
           for i, c in enumerate(cols)],
     )
     items = [{"feature": F.lit(c), "n_outliers": F.col(f"_o{i}"),

@@ -178,18 +178,29 @@ def normalize_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.normalize_columns(C.to_bracketed(src)).select("reading_id", "type", *S.SENSORS, "target")
 
 
+_REQUIRED = [*S.SENSORS, "target", "udi"]
+
+
 @register(
     "require_columns",
-    "SELECT * FROM (VALUES ('air_temperature', false), ('process_temperature', false), "
-    "('rotational_speed', false), ('torque', false), ('tool_wear', false), ('target', false), "
-    "('udi', true)) AS t(column_name, missing)",
+    with_ctes(
+        X.READINGS_SQL,
+        body=" UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, false AS missing, count({c}) AS non_null FROM readings"
+            for c in _REQUIRED[:-1]
+        ) + " UNION ALL SELECT 'udi', true, CAST(0 AS BIGINT)",
+    ),
 )
 def require_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P5 as a report: required names vs the readings schema (no job)."""
+    """P5 as a report over the whole table: required names vs the schema
+    (no job) plus each present column's non-null count (one pass)."""
     df = X.readings(spark, sf_dir)
-    need = [*S.SENSORS, "target", "udi"]
-    miss = set(C.require_columns(df, need, hard=False))
-    return spark.createDataFrame([(c, c in miss) for c in need], "column_name string, missing boolean")
+    miss = set(C.require_columns(df, _REQUIRED, hard=False))
+    present = [c for c in _REQUIRED if c not in miss]
+    row = df.agg(*[F.count(c).alias(c) for c in present])
+    items = [F.struct(F.lit(c).alias("column_name"), F.lit(c in miss).alias("missing"),
+                      (F.lit(0).cast("long") if c in miss else F.col(c)).alias("non_null")) for c in _REQUIRED]
+    return row.select(F.explode(F.array(*items)).alias("r")).select("r.*")
 
 
 @register(
