@@ -63,13 +63,19 @@ def quantiles(
     if method != "exact":
         raise ValueError("method must be 'exact' or 'approx'")
 
-    hist = long_values(df, cols).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    # feature as a small int while shuffling/sorting; names come back at the end
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("fi"), F.col(c).cast("double").alias("value"))
+                                for i, c in enumerate(cols)]))
+    cells = df.select(pairs.alias("kv")).select("kv.fi", "kv.value").where(
+        F.col("value").isNotNull() & ~F.isnan("value"))
+    hist = cells.groupBy("fi", "value").agg(F.count("*").alias("n"))
     # one scan of the source: the ranking and the per-feature sizes both
     # read this (spillable, recomputable) cache of distinct-value counts
     hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
-    ranked = running_totals(hist, ["feature"], ["value"], ["n"])
+    ranked = running_totals(hist, ["fi"], ["value"], ["n"])
     ranked = ranked.withColumn("n_after", F.col("n_before") + F.col("n"))
-    sizes = hist.groupBy("feature").agg(F.sum("n").cast("double").alias("total"))
+    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("fi") + 1)
+    sizes = hist.groupBy("fi").agg(F.sum("n").cast("double").alias("total")).withColumn("feature", names)
     probs_df = df.sparkSession.createDataFrame([(p,) for p in probs], "prob double")
     # h = q·(N−1); need order statistics floor(h) and floor(h)+1 (capped)
     targets = (
@@ -80,13 +86,13 @@ def quantiles(
         .withColumn("frac", F.col("h") - F.col("lo"))
     )
     wanted = targets.select(
-        F.col("feature").alias("w_feature"), F.col("prob").alias("w_prob"),
+        F.col("fi").alias("w_fi"), F.col("feature").alias("w_feature"), F.col("prob").alias("w_prob"),
         F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("lo").alias("r")),
                           F.struct(F.lit(1).alias("side"), F.col("hi").alias("r")))).alias("t"),
-    ).select("w_feature", "w_prob", "t.side", "t.r")
+    ).select("w_fi", "w_feature", "w_prob", "t.side", "t.r")
     # |features|·|probs|·2 rows: broadcast; range lookup on the rank interval
     cond = (
-        (F.col("feature") == F.col("w_feature"))
+        (F.col("fi") == F.col("w_fi"))
         & (F.col("n_before") <= F.col("r"))
         & (F.col("r") < F.col("n_after"))
     )
