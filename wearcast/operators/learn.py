@@ -73,7 +73,7 @@ def random_forest(num_trees: int = 100, max_depth: int = 10, min_leaf: int = 2,
 def boosted_trees(max_iter: int = 100, max_depth: int = 6, step: float = 0.1, subsample: float = 0.8,
                   seed: int = 42, weight_col: str | None = "weight", label: str = S.TARGET) -> GBTClassifier:
     g = GBTClassifier(featuresCol=VEC, labelCol=label, maxIter=max_iter, maxDepth=max_depth, stepSize=step,
-                      subsamplingRate=subsample, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
+                      subsamplingRate=subsample, seed=seed)  # shallow trees: node-id caching only costs here
     if weight_col:
         g.setWeightCol(weight_col)
     return g
