@@ -58,3 +58,12 @@ def test_csv_trailing_blank_reads_as_double(spark, tmp_path):
     p.write_text(",".join(S.SENSORS) + "\n299.8,310.5,1634,48.3,112 \n")
     r = read_new_readings_csv(spark, str(p)).first()
     assert r["tool_wear"] == 112.0 and r["rotational_speed"] == 1634.0
+
+
+def test_write_with_metadata(spark, golden, tmp_path):
+    from wearcast.sources.sinks import write_with_metadata
+
+    prof = write_with_metadata(golden, str(tmp_path / "t")).first()
+    assert prof["total_samples"] == 10 and prof["n_columns"] == 8 and prof["file_size_mb"] > 0
+    meta = spark.read.json(str(tmp_path / "t_metadata")).first()
+    assert meta["total_samples"] == 10 and meta["generated_at"]

@@ -75,3 +75,27 @@ def test_hot_id_copies_are_salted_and_sizes_exact(spark):
     assert sp.count() == 3000
     ranks = M.class_ranks(df, "reading_id", max_bucket_rows=100).where("target = 0").select("_rank").toPandas()
     assert sorted(ranks["_rank"]) == list(range(1, 2921))  # exact, gap-free ranks
+
+
+def test_processing_report_golden(spark, golden):
+    """Q20: the recorded report's scaled air-temperature statistics (std n−1)."""
+    from wearcast.functions.features import extract_features
+    from wearcast.operators import quality as Q
+
+    # FIXED scaler constants fitted from the recorded processed file
+    consts = {
+        "air_temperature": (300.016000000, 1.972413806),
+        "process_temperature": (310.022833333, 1.471928355),
+        "rotational_speed": (1539.628888889, 180.560328634),
+        "torque": (40.018388889, 9.980609014),
+        "tool_wear": (108.550833333, 64.151242080),
+    }
+    feats = extract_features(golden.select(*S.SENSORS))
+    scaled = T.scaler_literals(feats, consts)
+    rep = {(r["metric"], r["key"]): r["value"] for r in
+           Q.processing_report(golden.select(*S.SENSORS), scaled, list(consts)).collect()}
+    assert rep[("mean", "air_temperature")] == pytest.approx(-0.32244755, abs=1e-8)
+    assert rep[("std", "air_temperature")] == pytest.approx(0.54855300, abs=1e-8)
+    assert rep[("min", "air_temperature")] == pytest.approx(-1.12349650, abs=1e-8)
+    assert rep[("max", "air_temperature")] == pytest.approx(0.60027972, abs=1e-8)
+    assert rep[("original_samples", None)] == 10 and rep[("missing_values", None)] == 0

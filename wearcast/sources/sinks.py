@@ -48,3 +48,17 @@ def source_profile(df: DataFrame) -> DataFrame:
         F.coalesce(F.sum("_m"), F.lit(0)).cast("long").alias("missing_values"),
         (F.coalesce(F.sum("_s"), F.lit(0)) / (1024 * 1024)).alias("file_size_mb"),
     )
+
+
+def write_with_metadata(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> DataFrame:
+    """S3 + S4: write the table, then a JSON sidecar ``<path>_metadata`` with
+    generated_at, samples, columns, missing cells and size on disk, profiled
+    from the written files (one pass).  Returns the profile."""
+    write_table(df, path, fmt, mode)
+    spark = df.sparkSession
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True).schema(df.schema)
+    prof = source_profile(reader.load(path))
+    write_report(prof, f"{path.rstrip('/')}_metadata")
+    return prof
