@@ -18,7 +18,9 @@ from ..sources import readings as R
 from .book import register, rounded, with_ctes
 from .ingest_checks import type_l_features
 
-_CACHE: dict[tuple[str, str], object] = {}
+# fitted models per (application, data folder): the model-backed keys share
+# one fit per session instead of refitting for every key
+_CACHE: dict[tuple[str, str, str], object] = {}
 
 
 # ------------------------------------------------------------ training ---
@@ -28,14 +30,14 @@ def training_frame(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict, D
     train = sp.where(F.col("split") == "train")
     weights = M.class_weights(train)  # weights from the training rows
     sp = M.attach_weights(sp, weights)
-    key = (sf_dir, "scaler")
+    key = (spark.sparkContext.applicationId, sf_dir, "scaler")
     if key not in _CACHE:
         _CACHE[key] = T.collect_scaler(T.scaler_fit(train))
     return sp, _CACHE[key], sp.where(F.col("split") == "train")
 
 
 def _fit(spark: SparkSession, sf_dir: str, name: str):
-    key = (sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key in _CACHE:
         return _CACHE[key]
     sp, scaler, train = training_frame(spark, sf_dir)
