@@ -159,8 +159,9 @@ def kernel_svm_pipeline(scaler: Mapping[str, tuple[float, float]], c: float, gam
     margin) for probabilities."""
     rff = RandomFourierFeatures(inputCols=[f"{SCALED}{c}" for c in cols], outputCol="rff", gamma=gamma,
                                 nComponents=n_components, seed=seed)
+    # tol 1e-3 = the stopping tolerance of the libsvm solver being replaced
     svc = LinearSVC(featuresCol="rff", labelCol=label, regParam=1.0 / (c * weight_sum), standardization=False,
-                    maxIter=100, rawPredictionCol="svm_margin", predictionCol="svm_prediction")
+                    maxIter=100, tol=1e-3, rawPredictionCol="svm_margin", predictionCol="svm_prediction")
     if weight_col:
         svc.setWeightCol(weight_col)
     platt = LogisticRegression(featuresCol="svm_margin", labelCol=label, maxIter=100, regParam=0.0)
