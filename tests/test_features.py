@@ -67,3 +67,18 @@ def test_write_with_metadata(spark, golden, tmp_path):
     assert prof["total_samples"] == 10 and prof["n_columns"] == 8 and prof["file_size_mb"] > 0
     meta = spark.read.json(str(tmp_path / "t_metadata")).first()
     assert meta["total_samples"] == 10 and meta["generated_at"]
+
+
+def test_feature_sql_equals_dataframe_formulas(spark, golden):
+    from wearcast.functions.features import FEATURE_SQL
+
+    edge = spark.createDataFrame([("z1", 300.0, 310.0, 0.0, 40.0, 0.0, 0.0, 0.0), ("z2", 0.0, 310.0, 0.0, -1.0, 5.0, 0.0, 0.0)],
+                                 golden.schema)
+    df = golden.unionByName(edge)
+    a = extract_features(df, keep=("reading_id",))
+    b = df.selectExpr("reading_id", *[f"{e} AS {n}" for n, e in FEATURE_SQL.items()])
+    ra = {r["reading_id"]: r for r in a.collect()}
+    for r in b.collect():
+        for n in FEATURE_SQL:
+            x, y = ra[r["reading_id"]][n], r[n]
+            assert (x == y) or (math.isnan(x) and math.isnan(y)), (n, x, y)

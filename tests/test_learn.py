@@ -84,3 +84,14 @@ def test_feature_importance_shares(train_set):
 def test_gamma_scale():
     assert L.gamma_value("scale", 10, 2.0) == pytest.approx(0.05)
     assert L.gamma_value("auto", 10, 2.0) == pytest.approx(0.1)
+
+
+def test_saved_pipeline_takes_raw_sensors(spark, train_set, tmp_path):
+    feats, scaler = train_set
+    m = _rf(scaler, feats)
+    L.save_pipeline(m, str(tmp_path / "rf_raw"))
+    raw = feats.select("reading_id", *S.SENSORS)  # no derived features at all
+    a = L.probabilities(L.load_pipeline(str(tmp_path / "rf_raw")).transform(raw)).select("reading_id", "prob_class_1")
+    b = L.probabilities(m.transform(feats)).select("reading_id", F.col("prob_class_1").alias("b"))
+    j = a.join(b, "reading_id").toPandas()
+    assert len(j) == 1200 and np.allclose(j.prob_class_1, j.b)

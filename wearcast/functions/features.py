@@ -51,6 +51,21 @@ def extract_features(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*out)
 
 
+def _ieee_sql(num: str, den: str) -> str:
+    return f"CASE WHEN ({den}) = 0 THEN CAST('Infinity' AS DOUBLE) * signum({num}) ELSE ({num}) / ({den}) END"
+
+
+# The same five formulas as SQL text, for the features stage of a saved
+# model pipeline (tests assert both forms agree bit for bit).
+FEATURE_SQL = {
+    "temp_difference": "process_temperature - air_temperature",
+    "estimated_power": "torque * (rotational_speed * 2 * pi() / 60)",
+    "mechanical_stress": _ieee_sql("torque", "rotational_speed / 1000"),
+    "thermal_efficiency": _ieee_sql("process_temperature", "air_temperature"),
+    "wear_per_operation": _ieee_sql("tool_wear", "rotational_speed * 0.001D"),
+}
+
+
 def serving_feature_columns() -> dict[str, Column]:
     """Serving variant (F6): ``+1e-6`` in the divisors and no /1000 scaling.
 

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..functions.features import FEATURE_SQL
 from ..session import cut_lineage, ship_package
 
 VEC = "features_vec"
@@ -48,14 +49,33 @@ VEC = "features_vec"
 
 # ------------------------------------------------------------- stages ---
 SCALED = "s_"
+DERIVED = "f_"
 
 
-def scaler_stage(params: Mapping[str, tuple[float, float]], prefix: str = SCALED) -> SQLTransformer:
-    """``s_<c> = (c − mean) / scale`` with the fitted numbers as literals."""
-    cols = ", ".join(f"(`{c}` - {float(m)!r}D) / {float(s)!r}D AS `{prefix}{c}`" for c, (m, s) in params.items())
+def feature_stage(prefix: str = DERIVED) -> SQLTransformer:
+    """The five derived features recomputed from the sensors inside the
+    pipeline (as ``f_<name>``), so a saved model scores raw readings."""
+    cols = ", ".join(f"{expr} AS `{prefix}{name}`" for name, expr in FEATURE_SQL.items())
     return SQLTransformer(statement=f"SELECT *, {cols} FROM __THIS__")
 
 
+def scaler_stage(params: Mapping[str, tuple[float, float]], prefix: str = SCALED,
+                 derived_prefix: str | None = DERIVED) -> SQLTransformer:
+    """``s_<c> = (c − mean) / scale`` with the fitted numbers as literals;
+    derived features are read from the features stage's ``f_<c>``."""
+    def src(c: str) -> str:
+        return f"{derived_prefix}{c}" if derived_prefix and c in FEATURE_SQL else c
+
+    cols = ", ".join(f"(`{src(c)}` - {float(m)!r}D) / {float(s)!r}D AS `{prefix}{c}`" for c, (m, s) in params.items())
+    return SQLTransformer(statement=f"SELECT *, {cols} FROM __THIS__")
+
+
+def model_pipeline(scaler: Mapping[str, tuple[float, float]], estimator, cols: Sequence[str] = S.FEATURES) -> Pipeline:
+    """features → scaler (literals) → assembler → estimator: one saveable
+    pipeline that takes raw sensor readings."""
+    return Pipeline(stages=[feature_stage(), scaler_stage(scaler), assembler(cols), estimator])
+
+
 def assembler(cols: Sequence[str] = S.FEATURES, out: str = VEC, prefix: str = SCALED) -> VectorAssembler:
     return VectorAssembler(inputCols=[f"{prefix}{c}" for c in cols], outputCol=out, handleInvalid="keep")
 
@@ -93,9 +113,8 @@ def prepare_training(df: DataFrame, partitions: int | None = None, id_col: str =
 
 def fit_pipeline(train: DataFrame, scaler: Mapping[str, tuple[float, float]], estimator,
                  cols: Sequence[str] = S.FEATURES) -> PipelineModel:
-    """scaler (literals) → assembler → estimator, fitted on ``train``."""
-    pipe = Pipeline(stages=[scaler_stage(scaler), assembler(cols), estimator])
-    return pipe.fit(prepare_training(train))
+    """features → scaler (literals) → assembler → estimator, fitted on ``train``."""
+    return model_pipeline(scaler, estimator, cols).fit(prepare_training(train))
 
 
 # ------------------------------------------------------- kernel approx ---
@@ -165,7 +184,7 @@ def kernel_svm_pipeline(scaler: Mapping[str, tuple[float, float]], c: float, gam
     if weight_col:
         svc.setWeightCol(weight_col)
     platt = LogisticRegression(featuresCol="svm_margin", labelCol=label, maxIter=100, regParam=0.0)
-    return Pipeline(stages=[scaler_stage(scaler), rff, svc, platt])
+    return Pipeline(stages=[feature_stage(), scaler_stage(scaler), rff, svc, platt])
 
 
 def feature_variance(df: DataFrame, scaler: Mapping[str, tuple[float, float]], cols: Sequence[str] = S.FEATURES) -> float:

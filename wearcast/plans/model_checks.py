@@ -97,7 +97,7 @@ def tune_random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """8-setting grid × 3 stratified folds, scored by class-1 F1."""
     folds, scaler = _folds(spark, sf_dir)
     rf = L.random_forest()
-    pipe = L.Pipeline(stages=[L.scaler_stage(scaler), L.assembler(), rf])
+    pipe = L.model_pipeline(scaler, rf)
     cvm = L.tune(folds, pipe, L.random_forest_grid(rf))
     return rounded(L.cv_table(cvm))
 
@@ -110,7 +110,7 @@ def tune_kernel_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     wsum = folds.agg(F.sum("weight")).first()[0] * (S.CV_FOLDS - 1) / S.CV_FOLDS
     d = len(S.FEATURES)
     base = L.kernel_svm_pipeline(scaler, 1.0, 1.0 / d, wsum)
-    rff, svc = base.getStages()[1], base.getStages()[2]
+    rff, svc = base.getStages()[2], base.getStages()[3]
     names, grid = [], []
     for g in ("scale", "auto"):
         for c in (1.0, 10.0):
