@@ -95,3 +95,20 @@ def test_saved_pipeline_takes_raw_sensors(spark, train_set, tmp_path):
     b = L.probabilities(m.transform(feats)).select("reading_id", F.col("prob_class_1").alias("b"))
     j = a.join(b, "reading_id").toPandas()
     assert len(j) == 1200 and np.allclose(j.prob_class_1, j.b)
+
+
+def test_stream_score_writes_predictions_and_stats_once(spark, train_set, tmp_path):
+    from wearcast.streaming.files import file_stream, score_stream
+
+    feats, scaler = train_set
+    m = _rf(scaler, feats)
+    src = str(tmp_path / "arrivals")
+    feats.select("reading_id", *S.SENSORS).repartition(3).write.parquet(src)
+    schema = "reading_id string, " + ", ".join(f"{c} double" for c in S.SENSORS)
+    preds, stats, ckpt = str(tmp_path / "p"), str(tmp_path / "s"), str(tmp_path / "c")
+    for _ in range(2):  # the second run finds no new file
+        score_stream(file_stream(spark, src, schema), m, "1", "champion", preds, stats, ckpt, keep=("reading_id",))
+    out = spark.read.parquet(preds)
+    assert out.count() == 1200 and out.select("reading_id").distinct().count() == 1200
+    st = spark.read.parquet(stats).where("metric = 'total_predictions'").agg(F.sum("value")).first()[0]
+    assert st == 1200
