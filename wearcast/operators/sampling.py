@@ -47,18 +47,20 @@ def class_ranks(df: DataFrame, id_col: str, target: str = S.TARGET, seed: int =
     d = digits or 4
     keyed = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, d))
     hist = _bucket_hist(keyed, [target, "_b"])
+    n, biggest = hist.agg(F.sum("_cnt"), F.max("_cnt")).first()  # one tiny job
     if digits is None:
-        n = hist.agg(F.sum("_cnt")).first()[0] or 0
         want = d
-        while n / (16 ** want) > max_bucket_rows / 4 and want < 8:
+        while (n or 0) / (16 ** want) > max_bucket_rows / 4 and want < 8:
             want += 1
         if want != d:
             d = want
             keyed = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, d))
             hist = _bucket_hist(keyed, [target, "_b"])
+            biggest = hist.agg(F.max("_cnt")).first()[0]
     hot = hist.where(F.col("_cnt") > max_bucket_rows).select(
         target, "_b", F.ceil(F.col("_cnt") / max_bucket_rows).cast("long").alias("_salts"))
-    hot_rows = hot.limit(100_001).collect()  # ≤ N / max_bucket_rows buckets
+    # ≤ N / max_bucket_rows buckets, and only looked at when one exists
+    hot_rows = hot.limit(100_001).collect() if (biggest or 0) > max_bucket_rows else []
     if hot_rows:
         if len(hot_rows) > 100_000:
             raise ValueError("too many hot buckets; raise max_bucket_rows")
