@@ -101,7 +101,8 @@ def training_job(spark: SparkSession, base: str, algorithms: tuple[str, ...] = (
     gate = Q.training_gate(feats.drop(id_col), min_rows=min_rows)
     if enforce:
         Q.enforce(gate)
-    sp = M.stratified_split(feats, id_col=id_col)
+    # materialised once: weights, scaler, every fit and every evaluation read it
+    sp = cut_lineage(M.stratified_split(feats, id_col=id_col))
     train = sp.where(F.col("split") == "train")
     sp = M.attach_weights(sp, M.class_weights(train))
     train = sp.where(F.col("split") == "train")

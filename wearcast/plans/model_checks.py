@@ -16,6 +16,7 @@ from ..operators import scaling as T
 from ..sources import fixtures as X
 from ..sources import readings as R
 from .book import register, rounded, with_ctes
+from ..session import cut_lineage
 from .ingest_checks import type_l_features
 
 # fitted models per (application, data folder): the model-backed keys share
@@ -25,8 +26,14 @@ _CACHE: dict[tuple[str, str, str], object] = {}
 
 # ------------------------------------------------------------ training ---
 def training_frame(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict, DataFrame]:
-    """(split features with class weights, frozen scaler, train rows)."""
-    sp = M.stratified_split(type_l_features(spark, sf_dir))
+    """(split features with class weights, frozen scaler, train rows).
+
+    The split is materialised once: class weights, the scaler, the fit and
+    the test evaluation all read it, and its ranking window should run once."""
+    key = (spark.sparkContext.applicationId, sf_dir, "split")
+    if key not in _CACHE:
+        _CACHE[key] = cut_lineage(M.stratified_split(type_l_features(spark, sf_dir)))
+    sp = _CACHE[key]
     train = sp.where(F.col("split") == "train")
     weights = M.class_weights(train)  # weights from the training rows
     sp = M.attach_weights(sp, weights)
