@@ -12,6 +12,7 @@ from ..operators import sampling as M
 from ..operators import scaling as T
 from ..sources import fixtures as X
 from ..sources import readings as R
+from ..session import cut_lineage
 from .book import register, rounded, with_ctes
 from .ingest_checks import FEATURES_SQL, type_l_features
 from .quality_checks import rows_sql
@@ -60,10 +61,11 @@ def split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Split, scaler fitted on the train rows, applied to all rows."""
-    sp = split_features(spark, sf_dir)
-    stats = T.scaler_fit(sp.where(F.col("split") == "train"))
-    return T.scaler_transform(sp, stats).select("reading_id", "split", "target", *FEATS)
+    """Split (materialised once: the fit and the transform both read it),
+    scaler fitted on the train rows, applied to all rows as literals."""
+    sp = cut_lineage(split_features(spark, sf_dir))
+    stats = T.collect_scaler(T.scaler_fit(sp.where(F.col("split") == "train")))
+    return T.scaler_literals(sp, stats).select("reading_id", "split", "target", *FEATS)
 
 
 # ------------------------------------------------------------------ M1 ---
