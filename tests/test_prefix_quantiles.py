@@ -44,3 +44,15 @@ def test_quantiles_single_row_and_ties(spark):
     assert q == {0.0: 1.0, 0.5: 5.0, 1.0: 5.0}
     one = spark.createDataFrame([(3.0,)], "x double")
     assert quantiles(one, ["x"], [0.25]).first()["quantile"] == 3.0
+
+
+def test_both_exact_paths_agree(spark):
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"a": rng.normal(size=999), "b": rng.integers(0, 7, 999).astype(float)})
+    df = spark.createDataFrame(pdf)
+    fast = {(r["feature"], r["prob"]): r["quantile"] for r in quantiles(df, ["a", "b"], [0.1, 0.5, 0.9]).collect()}
+    dist = {(r["feature"], r["prob"]): r["quantile"]
+            for r in quantiles(df, ["a", "b"], [0.1, 0.5, 0.9], max_task_values=5).collect()}
+    for k, v in fast.items():
+        assert v == pytest.approx(dist[k], rel=1e-12, abs=1e-12)
+        assert v == pytest.approx(pdf[k[0]].quantile(k[1]), rel=1e-12, abs=1e-12)

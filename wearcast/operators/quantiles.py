@@ -37,14 +37,24 @@ def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+MAX_TASK_VALUES = 1_000_000
+
+
 def quantiles(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
     method: str = "exact",
     accuracy: int = 100000,
+    max_task_values: int = MAX_TASK_VALUES,
 ) -> DataFrame:
-    """Long result: (feature, prob, quantile)."""
+    """Long result: (feature, prob, quantile).
+
+    Exact: when every feature has at most ``max_task_values`` distinct
+    values (counted on the aggregated histogram), one task per feature can
+    hold its (value, count) map, so Spark's exact ``percentile`` with the
+    counts as frequencies finishes it; above that bound the distributed
+    running-totals path ranks the values instead."""
     probs = [float(p) for p in probs]
     if method == "approx":
         agg = df.agg(
@@ -72,6 +82,17 @@ def quantiles(
     # one scan of the source: the ranking and the per-feature sizes both
     # read this (spillable, recomputable) cache of distinct-value counts
     hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
+    distinct = hist.groupBy("fi").agg(F.count("*").alias("d"))
+    widest = distinct.agg(F.max("d")).first()[0] or 0  # ≤ len(cols) rows
+    if widest <= max_task_values:
+        per = hist.groupBy("fi").agg(F.percentile(F.col("value"), F.array(*[F.lit(p) for p in probs]), F.col("n")).alias("q"))
+        names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("fi") + 1)
+        out = per.select(names.alias("feature"), F.explode(F.arrays_zip(
+            F.array(*[F.lit(p) for p in probs]).alias("prob"), F.col("q").alias("quantile"))).alias("z")
+        ).select("feature", F.col("z.prob").alias("prob"), F.col("z.quantile").alias("quantile"))
+        out = cut_lineage(out)
+        hist.unpersist()
+        return out
     ranked = running_totals(hist, ["fi"], ["value"], ["n"])
     ranked = ranked.withColumn("n_after", F.col("n_before") + F.col("n"))
     names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("fi") + 1)
