@@ -31,13 +31,6 @@ def _struct_rows(row_df: DataFrame, items: list[tuple[dict[str, Column]]]) -> Da
     return row_df.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
 
 
-def _num_cols(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
-    if cols is not None:
-        return list(cols)
-    return [f.name for f in df.schema.fields if f.dataType.typeName() in
-            ("double", "float", "integer", "long", "short", "byte") or f.dataType.typeName().startswith("decimal")]
-
-
 # --------------------------------------------------------------------- Q1 ---
 def null_counts(df: DataFrame, only_positive: bool = True, with_total: bool = True) -> DataFrame:
     """(column_name, null_count) per column with NULLs, plus a ``*`` total row."""

@@ -13,8 +13,6 @@ from ..sources import readings as R
 from ..sources import sinks
 from .book import register, rounded, with_ctes
 
-FEATURE_LIST = ", ".join(S.FEATURES)
-
 # DuckDB: training features of type-L readings.
 FEATURES_SQL = """
 features AS (
@@ -165,9 +163,6 @@ def drop_if_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.drop_if_present(X.readings(spark, sf_dir), "reading_id", "type", "target", "udi", "Timestamp")
 
 
-_BRACKETED = {v: k for k, v in S.RAW_TO_SNAKE.items()}
-
-
 @register(
     "normalize_columns",
     with_ctes(X.READINGS_SQL, body=f"SELECT {_READINGS_COLS} FROM readings"),
