@@ -49,3 +49,20 @@ def test_stream_equals_batch_and_is_incremental(spark, tmp_path):
     assert got.exceptAll(extract_features(batch)).count() == 0
     run_available_now(extract_features(file_stream(spark, str(src), schema)), sink, ckpt)
     assert spark.read.parquet(sink).count() == 40  # no new file → nothing added
+
+
+def test_csv_arrivals_stream_with_trailing_blank(spark, tmp_path):
+    from conftest import GOLDEN
+    from wearcast.streaming.files import file_stream, run_available_now
+
+    src = tmp_path / "arrivals"
+    src.mkdir()
+    lines = [",".join(S.SENSORS)] + [",".join(f"{v:g}" for v in g[:5]) for g in GOLDEN]
+    lines[-1] += " "  # the recorded file's last cell is '112 '
+    (src / "new_data.csv").write_text("\n".join(lines) + "\n")
+    schema = ", ".join(f"{c} double" for c in S.SENSORS)
+    sink, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    run_available_now(file_stream(spark, str(src), schema, fmt="csv"), sink, ckpt)
+    got = spark.read.parquet(sink)
+    assert got.count() == 10 and got.where("tool_wear = 112.0").count() == 1
+    assert got.where(F.col("tool_wear").isNull()).count() == 0
