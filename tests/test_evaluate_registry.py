@@ -71,3 +71,16 @@ def test_roc_curve_drops_collinear_points(spark):
     assert len(full) == 6
     # tps = 1,2,3,3,3 and fps = 0,0,0,1,2: 0.8 and 0.2 are collinear
     assert sorted(kept["threshold"].tolist()) == [0.1, 0.7, 0.9, float("inf")]
+
+
+def test_empty_inputs(spark):
+    from wearcast.operators.quantiles import quantiles
+
+    empty = spark.createDataFrame([], "y int, score double")
+    r = E.roc_auc(empty).collect()  # a global aggregate: one row, NULL area
+    assert len(r) == 1 and r[0]["auc"] is None
+    assert E.roc_curve(empty).count() == 1  # only the start point
+    assert quantiles(empty.select("score"), ["score"], [0.5]).count() == 0
+    assert quantiles(empty.select("score"), ["score"], [0.5], max_task_values=0).count() == 0
+    v = spark.createDataFrame([], "name string, version int, f1 double")
+    assert G.champion_decisions(v).count() == 0
