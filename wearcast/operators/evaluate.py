@@ -123,18 +123,18 @@ def roc_curve(df: DataFrame, label: str = "y", score: str = "score", drop_interm
     first or last, or its (pos, neg) counts differ from the next lower
     score's — exactly where the second differences of (fps, tps) are not 0."""
     cnt = _score_counts(df, label, score, [])
-    ranked = running_totals(cnt, [], [score], ["pos", "neg"])
+    # one ranking pass: running sums of the counts and, for the neighbour
+    # test, the running max of the score (= the next lower distinct score)
+    ranked = running_totals(cnt.withColumn("_sv", F.col(score).cast("double")), [], [score],
+                            ["pos", "neg", "_sv"], how={"pos": "sum", "neg": "sum", "_sv": "max"})
     totals = cnt.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"), F.max(score).alias("_top"),
                      F.count("*").alias("_D"))
     j = ranked.crossJoin(F.broadcast(totals))  # one row
     if drop_intermediate:
-        # the next point (next lower distinct score) = running max of the
-        # scores before this one in ascending order; fetch its counts by key
-        below = running_totals(cnt.select(score, F.col(score).cast("double").alias("_sv")), [], [score], ["_sv"],
-                               how="max").select(score, F.col("_sv_before").alias("_next"))
+        # fetch the next point's counts by key (equi-join on distinct scores)
         nxt = cnt.select(F.col(score).cast("double").alias("_next"), F.col("pos").alias("_npos"),
                          F.col("neg").alias("_nneg"))
-        j = j.join(below, score).join(nxt, "_next", "left")
+        j = j.withColumnRenamed("_sv_before", "_next").join(nxt, "_next", "left")
         keep = (F.col("_D") <= 2) | F.col("_next").isNull() | (F.col(score) == F.col("_top")) \
             | (F.col("_npos") != F.col("pos")) | (F.col("_nneg") != F.col("neg"))
         j = j.where(keep)

@@ -33,7 +33,7 @@ from ..session import cut_lineage, ship_package, shuffle_partitions
 _PID = "_pid"
 
 
-def _local_running(pdf_iter, group_cols, value_cols, how, out_names):
+def _local_running(pdf_iter, group_cols, value_cols, hows, out_names):
     last_key = None
     carry: dict[str, float] = {}
     for pdf in pdf_iter:
@@ -60,7 +60,7 @@ def _local_running(pdf_iter, group_cols, value_cols, how, out_names):
             x = pdf[v].to_numpy(dtype="float64", na_value=np.nan)
             s = pd.Series(x)
             g = s.groupby(gid, sort=False)
-            if how == "sum":
+            if hows[v] == "sum":
                 inc = g.cumsum().to_numpy()
                 if continues:
                     inc = np.where(first_group, inc + carry[v], inc)
@@ -85,17 +85,19 @@ def running_totals(
     group_cols: Sequence[str],
     order_cols: Sequence[str],
     value_cols: Sequence[str],
-    how: str = "sum",
+    how: str | dict[str, str] = "sum",
     num_partitions: int | None = None,
     suffix: str = "_before",
 ) -> DataFrame:
     """Add ``<v><suffix>`` = running ``sum``/``max`` of ``v`` over the rows
     strictly before each row, within ``group_cols``, ordered by ``order_cols``.
 
-    For ``sum`` the first row of a group gets 0; for ``max`` it gets NULL.
-    Result values are DOUBLE.
+    ``how`` is one of 'sum'/'max' for every column, or a per-column dict (one
+    ranking pass for several running aggregates).  For ``sum`` the first row
+    of a group gets 0; for ``max`` it gets NULL.  Result values are DOUBLE.
     """
-    if how not in ("sum", "max"):
+    hows = {v: (how[v] if isinstance(how, dict) else how) for v in value_cols}
+    if set(hows.values()) - {"sum", "max"}:
         raise ValueError("how must be 'sum' or 'max'")
     spark = df.sparkSession
     ship_package(spark)
@@ -119,13 +121,15 @@ def running_totals(
     )
 
     def fn(it):
-        return _local_running(it, group_cols, value_cols, how, outs)
+        return _local_running(it, group_cols, value_cols, hows, outs)
 
     local = staged.mapInPandas(fn, out_schema)
 
-    agg = F.sum if how == "sum" else F.max
+    def agg(v):
+        return F.sum if hows[v] == "sum" else F.max
+
     tot = staged.groupBy(_PID, *group_cols).agg(
-        *[agg(F.col(v).cast("double")).alias(f"_t_{v}") for v in value_cols]
+        *[agg(v)(F.col(v).cast("double")).alias(f"_t_{v}") for v in value_cols]
     )
     if group_cols:
         span = Window.partitionBy(*group_cols)
@@ -134,13 +138,13 @@ def running_totals(
     else:
         w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)  # ≤ P rows
     offs = tot.select(
-        _PID, *group_cols, *[agg(f"_t_{v}").over(w).alias(f"_o_{v}") for v in value_cols]
+        _PID, *group_cols, *[agg(v)(f"_t_{v}").over(w).alias(f"_o_{v}") for v in value_cols]
     ).where(F.coalesce(*[F.col(f"_o_{v}").isNotNull() for v in value_cols]))
     # at most 2·P rows (see module doc): bounded, broadcast it
     joined = local.join(F.broadcast(offs), on=[_PID, *group_cols], how="left")
     result = {}
     for v, o in zip(value_cols, outs):
-        if how == "sum":
+        if hows[v] == "sum":
             result[f"{v}{suffix}"] = F.col(o) + F.coalesce(F.col(f"_o_{v}"), F.lit(0.0))
         else:
             # group starts carry NaN out of numpy; make them SQL NULL explicitly
