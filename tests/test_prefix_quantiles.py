@@ -56,3 +56,16 @@ def test_both_exact_paths_agree(spark):
     for k, v in fast.items():
         assert v == pytest.approx(dist[k], rel=1e-12, abs=1e-12)
         assert v == pytest.approx(pdf[k[0]].quantile(k[1]), rel=1e-12, abs=1e-12)
+
+
+def test_mixed_running_aggregates_one_pass(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 800), "o": rng.permutation(800), "v": rng.integers(0, 9, 800),
+                        "m": rng.random(800)})
+    out = running_totals(spark.createDataFrame(pdf), ["g"], ["o"], ["v", "m"], how={"v": "sum", "m": "max"},
+                         num_partitions=6).toPandas().sort_values(["g", "o"])
+    exp = pdf.sort_values(["g", "o"])
+    ev = exp.groupby("g")["v"].cumsum() - exp["v"]
+    em = exp.groupby("g")["m"].cummax().groupby(exp["g"]).shift(1)
+    assert (out["v_before"].to_numpy() == ev.to_numpy()).all()
+    assert np.allclose(out["m_before"].fillna(-1).to_numpy(), em.fillna(-1).to_numpy())
