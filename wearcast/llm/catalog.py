@@ -1,4 +1,4 @@
 """Imports every query module so that its queries register."""
 
-from . import sharding  # noqa: F401
+from . import pii, sharding  # noqa: F401
 from .book import ORACLE, QUERIES  # noqa: F401
