@@ -20,7 +20,7 @@ from .common import table
 
 BUCKETS = 1 << 14
 SMOOTHING = 1.0
-THRESHOLD = -0.25
+THRESHOLD = -0.07
 #: Trusted ids up to this count (16 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 _GAP = "\x20\x09\x0a\x0b\x0c\x0d"
