@@ -16,13 +16,12 @@ def words(t):
 
 def brute(rows):
     out = {}
-    sizes = {len(words(t)) for t in L.TEMPLATES.values()}
-    for i, text in rows:
-        w = words(text)
-        wins = [sh(w[a:a + n + max(1, n // 4)]) for n in sizes for a in range(0, len(w), max(1, n // 4))]
-        for name, t in L.TEMPLATES.items():
-            want = sh(words(t))
-            best = max((len(x & want) / len(want) for x in wins), default=0)
+    for name, t in L.TEMPLATES.items():
+        want, n = sh(words(t)), len(words(t))
+        stride = max(1, n // 4)
+        for i, text in rows:
+            w = words(text)
+            best = max((len(sh(w[a:a + n + stride]) & want) / len(want) for a in range(0, len(w), stride)), default=0)
             if best >= L.CONTAINMENT:
                 out[(i, name)] = max(round(best, 6), out.get((i, name), 0))
     return out

@@ -5,7 +5,7 @@ case) and 3-word shingles.  For each distinct template length, windows of that
 length plus a stride slide over the text, so an occurrence lies whole in some
 window.  Only windows that hold a template shingle are signed: two sets
 without a common shingle have no common minimum, so none is lost.  Bands of
-the windows' MinHash signatures look up templates, and a match is kept if the
+the windows' MinHash signatures look up the templates of that length, and a match is kept if the
 window holds at least ``CONTAINMENT`` of the template's shingles.
 
 With 24 bands of 2 rows, a window whose Jaccard similarity with a template is
@@ -105,12 +105,13 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, contai
         return F.transform(F.array_distinct(near), lambda k: F.struct(
             length["width"].alias("width"), (k * length["stride"]).cast("int").alias("start")))
 
+    width = F.col("n_words") + F.greatest(F.floor(F.col("n_words") / 4), F.lit(1)) - SHINGLE + 1
     windows = hits.select("doc_id", "s", F.explode(F.flatten(F.transform(lengths, starts))).alias("w")).select(
         "doc_id", "w", F.array_distinct(F.slice("s", F.col("w.start") + 1, F.col("w.width"))).alias("w_shingles"))
-    keyed = windows.select("doc_id", "w", "w_shingles", F.explode(F.array_distinct(band_keys(F.col("w_shingles")))).alias("band"))
-    index = known.select("license", "t_shingles", F.explode(band_keys(F.col("t_shingles"))).alias("band"))
+    keyed = windows.select("doc_id", "w", F.col("w.width").alias("width"), "w_shingles", F.explode(F.array_distinct(band_keys(F.col("w_shingles")))).alias("band"))
+    index = known.select("license", "t_shingles", width.cast("int").alias("width"), F.explode(band_keys(F.col("t_shingles"))).alias("band"))
     share = F.size(F.array_intersect("w_shingles", "t_shingles")) / F.size("t_shingles")
-    found = keyed.join(F.broadcast(index), "band").select("doc_id", "license", "w", share.alias("share")).where(
+    found = keyed.join(F.broadcast(index), ["band", "width"]).select("doc_id", "license", "w", share.alias("share")).where(
         F.col("share") >= containment)
     return found.groupBy("doc_id", "license").agg(
         F.round(F.max("share"), 6).alias("containment"), F.count_distinct("w").alias("n_windows"))
