@@ -56,7 +56,7 @@ def _sums(doc: np.ndarray, h: np.ndarray, docs: np.ndarray, parts: np.ndarray, s
     with its number of ``parts``); (doc, h) are their elements, by document."""
     base = np.concatenate([[0], np.cumsum(parts)])
     row = np.searchsorted(docs, doc)
-    place = h if scheme == 0 else mix(h ^ U64(scheme) * _TAG)
+    place = h if scheme == 0 else mix(h ^ mix(_TAG + np.array(scheme, U64)))
     part = base[row] + ((place >> U64(32)) * parts[row].astype(U64) >> U64(32)).astype(np.int64)
     value = mix(h + _TAG)
     if scheme:
@@ -123,7 +123,7 @@ def signatures(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> t
 
 def _set_hashes(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum(n)
-    return tuple(mix(segment_sum(mix(h ^ U64(s) * _TAG), ends - n, ends)) for s in (1, 2))
+    return tuple(mix(segment_sum(mix(h ^ s), ends - n, ends)) for s in mix(np.array([1, 2], U64)))
 
 
 def _sets(col: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,9 +132,10 @@ def _sets(col: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, h, np.bincount(doc, minlength=len(words.count)).astype(np.int64)
 
 
-def linked_groups(ids: np.ndarray, doc: np.ndarray, h: np.ndarray, side: np.ndarray, weight: np.ndarray, percent: int):
+def linked_groups(ids: np.ndarray, doc: np.ndarray, h: np.ndarray, side: np.ndarray, weight: np.ndarray, percent: int,
+                  cross: bool):
     """Exact links among the sets of a unit: (root of each set's group, number
-    of links of each set).  With two sides, only links between them count.
+    of links of each set).  With ``cross``, only links between sides count.
 
     Each set looks up its shared elements in the unit's inverted lists once."""
     m = len(ids)
@@ -145,7 +146,6 @@ def linked_groups(ids: np.ndarray, doc: np.ndarray, h: np.ndarray, side: np.ndar
     begin = np.cumsum(length) - length
     first = np.concatenate([[0], np.cumsum(n)])
     root, links, visited = np.arange(m), np.zeros(m, np.int64), np.zeros(m, bool)
-    two_sides = side.min(initial=0) != side.max(initial=0)
     for seed in range(m):
         if visited[seed]:
             continue
@@ -159,7 +159,7 @@ def linked_groups(ids: np.ndarray, doc: np.ndarray, h: np.ndarray, side: np.ndar
             places = np.repeat(begin[t] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
             common = np.bincount(lists[places], minlength=m)
             close = 100 * common >= percent * (n + n[f] - common)
-            if two_sides:
+            if cross:
                 close &= side != side[f]
             close[f] = False
             links[f] = weight[close].sum()
@@ -231,7 +231,8 @@ def similarity_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     def verify(unit: pd.DataFrame) -> pd.DataFrame:
         doc, h, n = _sets(pa.array(unit["text"], pa.large_string()), k)
         ids = unit["node"].to_numpy()
-        roots, links = linked_groups(ids, doc, h, unit["block"].to_numpy(), unit["copies"].to_numpy(), percent)
+        roots, links = linked_groups(ids, doc, h, unit["block"].to_numpy(), unit["copies"].to_numpy(), percent,
+                                     bool(unit["i"].iloc[0] != unit["j"].iloc[0]))
         return pd.DataFrame({"a": ids, "b": roots, "links": links})
 
     texts = base.join(units, F.col("doc_id") == F.col("node")).dropDuplicates(["node", "text", "component", "i", "j"])
