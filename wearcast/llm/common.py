@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wearcast.session import ensure_checkpoint_dir
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 19
 
 U64 = np.uint64
 _C1, _C2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
@@ -97,7 +97,7 @@ def _tables(n: int) -> list[np.ndarray]:
     if len(_powers[0]) <= n:
         size = max(n + 1, BLOCK_BYTES + 1)
         for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            steps = np.full(size, U64(base))
+            steps = np.full(size, base, U64)
             steps[0] = 1
             _powers[k] = np.multiply.accumulate(steps)
     return _powers
@@ -111,7 +111,7 @@ class Words:
     with a chance near 2^-64."""
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray, lower: np.ndarray | None = LOWER,
-                 separator: np.ndarray = SPACE):
+                 separator: np.ndarray = SPACE, cuts: np.ndarray | None = None):
         n = len(buf)
         gap = separator[buf]
         first = np.empty(n, bool)
@@ -120,6 +120,8 @@ class Words:
             first[1:] = gap[:-1]
             inner = offsets[offsets < n]
             first[inner] = True
+            if cuts is not None:  # more places where a word begins
+                first |= cuts
             last = np.empty(n, bool)
             last[:-1] = first[1:] | gap[1:]
             last[-1] = True

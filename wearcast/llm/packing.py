@@ -7,15 +7,19 @@ of ``sharding``) become cells; each cell is sorted in a task of its own, and
 the token stream along the curve is cut every ``length`` tokens.  Only the
 last sequence has padding.
 
-Tokens are produced word by word with a bounded cache: the tokenizer's
-normaliser and pre-tokenizer never join text across white space, so a
-document's ids are those of its words in order (a test compares them).
+Tokens are produced piece by piece with a bounded cache: the tokenizer's
+normaliser and pre-tokenizer never join text across white space, nor letters,
+digits and punctuation with each other, so a document's ids are those of its
+pieces in order (a test compares them with whole texts).
 """
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .book import query
-from .common import SPACE, U64, Words, blocks, cut, drop_cut, mix, raw_text, table
+from .common import LOWER, SPACE, U64, Words, blocks, cut, drop_cut, mix, raw_text, table
 from .sharding import KEY_BYTES, histogram_splitters, text_size
 
 SEQUENCE, END_ID = 2048, 1
 DIMENSIONS, BITS, BUCKETS = 3, 10, 256
-CACHE_IDS = 4_000_000
+CACHE_IDS, JOIN = 6_000_000, 1000
 CELL_BYTES = 16 << 20
 
 _PROJECT = np.random.default_rng(31).standard_normal((BUCKETS, DIMENSIONS))
@@ -75,45 +79,103 @@ def curve_keys(words: Words) -> np.ndarray:
     return np.where(words.count > 0, hilbert(grid), 0)
 
 
+#: Byte classes: 0 white space, 1 letters, 2 ASCII punctuation, 4 digits, 8 others.
+_CLASS = np.full(256, 2, np.uint8)
+_CLASS[SPACE], _CLASS[128:], _CLASS[48:58] = 0, 8, 4
+_CLASS[65:91] = _CLASS[97:123] = 1
+_CLASS[:9], _CLASS[14:32], _CLASS[127] = 8, 8, 8
+#: One pre-token: a run of letters, a run of punctuation without quotes, a digit.
+_PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[!-&(-/:-@\[-`{-~]+|[0-9]")
+
+
+def tokens_of(col: pa.Array) -> tuple[Words, np.ndarray]:
+    """Pieces of text that the tokenizer treats apart, and the bytes they lie in.
+
+    White space separates; letters, punctuation and digits part from each
+    other.  A word with an apostrophe (contractions are one pre-token) or a
+    ``<`` (marks of special tokens) stays whole and keeps its case; bytes
+    outside ASCII and the Latin-1 letters never part from their neighbours."""
+    buf, offsets = raw_text(col)
+    n = len(buf)
+    if not n:
+        return Words(buf, offsets), buf
+    kind = _CLASS[buf]
+    lead = np.flatnonzero(buf[:-1] == 0xC3)
+    lead = lead[(buf[lead + 1] != 0x97) & (buf[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = 1
+    cuts = np.zeros(n, bool)
+    cuts[1:] = ((kind[1:] != kind[:-1]) & (kind[1:] != 8) & (kind[:-1] != 8)) | ((kind[1:] == 4) & (kind[:-1] == 4))
+    folded = LOWER[buf]
+    held = np.flatnonzero((buf == 39) | (buf == 60))
+    if len(held):
+        edge = np.union1d(np.flatnonzero(kind == 0), offsets)
+        after = np.searchsorted(edge, held, "right")
+        inside = np.zeros(n + 1, np.int32)
+        np.add.at(inside, np.where(after > 0, edge[after - 1], 0), 1)
+        np.add.at(inside, np.where(after < len(edge), edge[np.minimum(after, len(edge) - 1)], n), -1)
+        whole = np.cumsum(inside[:-1]) > 0
+        cuts &= ~whole
+        folded = np.where(whole, buf, folded)
+    return Words(folded, offsets, lower=None, separator=SPACE, cuts=cuts), buf
+
+
 class Encoder:
     """Ids of words, cached by word hash; the cache starts anew beyond ``CACHE_IDS`` ids."""
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self) -> None:
         self.known, self.at = np.zeros(0, U64), np.zeros(0, np.int64)
-        self.start, self.count, self.ids, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << 16, np.uint32), 0
+        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        made = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+    def _apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         count = np.array([len(x) for x in made], np.int64)
-        flat = np.fromiter((i for x in made for i in x), np.uint32, int(count.sum()))
+        return np.fromiter(chain.from_iterable(made), np.uint32, int(count.sum())), count
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words, encoded as one text: a token with the word-end
+        mark closes each.  Without such marks the words are encoded apart."""
+        made = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        last = np.flatnonzero(self.closes[made]) + 1
+        if len(last) != len(words) or last[-1] != len(made):
+            return self._apart(words)
+        return made, np.diff(last, prepend=0)
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        plain = np.array([_PLAIN.fullmatch(w) is not None for w in words], bool)
+        order = np.argsort(~plain, kind="stable")
+        words, split = [words[i] for i in order.tolist()], int(plain.sum())
+        made = [self._joined(words[i : min(i + JOIN, split)]) for i in range(0, split, JOIN)]
+        if split < len(words):
+            made.append(self._apart(words[split:]))
+        flat, count = (np.concatenate([m[k] for m in made]) for k in (0, 1))
         if self.used + len(flat) > len(self.ids):
             grown = np.zeros(max(2 * len(self.ids), self.used + len(flat)), np.uint32)
             grown[: self.used] = self.ids[: self.used]
             self.ids = grown
         self.ids[self.used : self.used + len(flat)] = flat
-        new = np.arange(len(self.start), len(self.start) + len(words))
+        entry = np.empty(len(words), np.int64)
+        entry[order] = np.arange(len(self.start), len(self.start) + len(words))
         self.start = np.concatenate([self.start, self.used + np.cumsum(count) - count])
         self.count = np.concatenate([self.count, count])
         self.used += len(flat)
-        known, at = np.concatenate([self.known, hashes]), np.concatenate([self.at, new])
-        order = np.argsort(known)
-        self.known, self.at = known[order], at[order]
+        place = np.searchsorted(self.known, hashes)
+        self.known, self.at = np.insert(self.known, place, hashes), np.insert(self.at, place, entry)
 
-    def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, words: Words, buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each text)."""
         if self.used > CACHE_IDS:
             self._clear()
-        buf, offsets = raw_text(col)
-        words = Words(buf, offsets, lower=None, separator=SPACE)
         h, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
         place = np.searchsorted(self.known, h)
         place[place == len(self.known)] = 0
@@ -132,6 +194,16 @@ class Encoder:
         return self.ids[source], bounds[words.first]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """One encoder a worker process: its cache outlives the task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _key_bytes(curve: np.ndarray, ids: pa.Array, salt: np.ndarray) -> pa.Array:
     """Sort key: curve place, document id, tie-break."""
     parts = np.empty((len(curve), 3), ">u8")
@@ -142,8 +214,7 @@ def _key_bytes(curve: np.ndarray, ids: pa.Array, salt: np.ndarray) -> pa.Array:
         pa.binary(KEY_BYTES), len(curve), [None, pa.py_buffer(parts.tobytes())]).cast(pa.binary())
 
 
-def _keys_of(b: pa.RecordBatch) -> pa.Array:
-    words = Words(*raw_text(b.column("text")))
+def _keys_of(b: pa.RecordBatch, words: Words) -> pa.Array:
     content = np.zeros(len(words.count), U64)
     np.add.at(content, words.doc, mix(words.hash))
     return _key_bytes(curve_keys(words), b.column("doc_id"), content)
@@ -152,7 +223,8 @@ def _keys_of(b: pa.RecordBatch) -> pa.Array:
 def _keyed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
-            yield pa.RecordBatch.from_arrays([_keys_of(b), b.column("size")], ["key", "size"])
+            key = _keys_of(b, tokens_of(b.column("text"))[0])
+            yield pa.RecordBatch.from_arrays([key, b.column("size")], ["key", "size"])
 
     return docs.withColumn("size", text_size()).mapInArrow(run, "key binary, size long")
 
@@ -174,12 +246,13 @@ def pack_documents(docs: DataFrame, tokenizer: str, length: int = SEQUENCE, end_
     drop_cut(keyed)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for b in blocks(batches, "text"):
-            ids, at = encoder.encode(b.column("text"))
+            words, buf = tokens_of(b.column("text"))
+            ids, at = encoder.encode(words, buf)
             raw = ids.astype("<u4").tobytes()
             end = np.uint32(end_id).astype("<u4").tobytes()
-            key = _keys_of(b)
+            key = _keys_of(b, words)
             cell = np.searchsorted(splitters, np.array(key.to_pylist(), dtype=f"S{KEY_BYTES}"), "right")
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), key, pa.array(cell.astype(np.int32)),
