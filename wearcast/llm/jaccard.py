@@ -5,15 +5,16 @@ in the group of its band and in that of the band below, so two sets that can
 be similar meet in one group, where they differ in at most k elements.  The
 feature domain is partitioned by hash:
 
-* for k >= 4 into k + 1 parts: one of them must agree, and each part's content
-  is a signature;
+* for k >= 4 into k + 1 + s parts: s + 1 of them must agree, and each part's
+  content is a signature;
 * for k of 1 to 3 into k + 2 parts, of which two must agree: each pair of
   parts is a signature.  With k = 0 only equal sets are similar.
 
-An agreement of empty parts proves nothing.  A set with an empty signature
-also signs under another hash of the domain, and after ``SCHEMES`` of them it
-signs the elements of its prefix (two similar sets share one), so no link is
-lost.
+An agreement of empty parts proves nothing.  A set with so many empty parts
+that the agreeing ones could all be empty also signs under another hash of the
+domain, and after ``SCHEMES`` of them it signs the elements of its prefix (two
+similar sets share one), so no link is lost.  The spare parts s keep such sets
+rare: about 1 % of the parts are empty.
 
 Signatures are matched by one shuffle.  Each member is joined to the first of
 its signature, and the connected groups hold every possible link.  Groups
@@ -37,10 +38,13 @@ from .common import U64, Words, blocks, cut, distinct_sets, mix, raw_text, segme
 from .graph import components
 
 SHINGLE, PERCENT = 5, 80
-SCHEMES = 4
+SCHEMES, SPARE = 4, 25
 UNIT_SHINGLES = 150_000
+#: Members of the units (about 100 bytes each) are broadcast up to this count, else joined by shuffle.
+BROADCAST_ROWS = 500_000
 _SEEN = 200_000
 _TAG = U64(0xD6E8FEB86659FD93)
+_DOMAINS = mix(np.arange(1, 33, dtype=U64) * _TAG)
 
 
 def size_bands(percent: int, largest: int) -> np.ndarray:
@@ -56,7 +60,7 @@ def _sums(doc: np.ndarray, h: np.ndarray, docs: np.ndarray, parts: np.ndarray, s
     with its number of ``parts``); (doc, h) are their elements, by document."""
     base = np.concatenate([[0], np.cumsum(parts)])
     row = np.searchsorted(docs, doc)
-    place = h if scheme == 0 else mix(h ^ mix(_TAG + np.array(scheme, U64)))
+    place = h if scheme == 0 else mix(h ^ _DOMAINS[scheme])
     part = base[row] + ((place >> U64(32)) * parts[row].astype(U64) >> U64(32)).astype(np.int64)
     value = mix(h + _TAG)
     if scheme:
@@ -95,15 +99,15 @@ def signatures(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> t
                 out_doc.append(docs[row[order]][keep])
                 out_sig.append(mix(e[order][keep] + tag[row[order]][keep]))
                 break
-            few = k <= 3
-            sums, count, base = _sums(d, e, docs, np.where(few, k + 2, k + 1), scheme)
+            few, spare = k <= 3, 1 + k // SPARE
+            sums, count, base = _sums(d, e, docs, np.where(few, k + 2, k + 1 + spare), scheme)
             empty = np.zeros(len(docs), bool)
             wide = np.flatnonzero(~few)
             if len(wide):
                 at = np.concatenate([np.arange(base[i], base[i + 1]) for i in wide])
-                owner = np.repeat(wide, k[wide] + 1)
+                owner = np.repeat(wide, k[wide] + 1 + spare[wide])
                 full = count[at] > 0
-                empty[owner[~full]] = True
+                empty |= np.bincount(owner[~full], minlength=len(docs)) > spare
                 inner = (at - base[owner]).astype(U64)
                 out_doc.append(docs[owner[full]])
                 out_sig.append(mix(sums[at[full]] + mix(inner[full] * _TAG + tag[owner[full]])))
@@ -114,7 +118,7 @@ def signatures(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> t
                     full = count[x] + count[y] > 0
                     empty[rows[~full]] = True
                     out_doc.append(docs[rows[full]])
-                    out_sig.append(mix(sums[x[full]] + mix(sums[y[full]] + mix(U64(a * 8 + b) * _TAG + tag[rows[full]]))))
+                    out_sig.append(mix(sums[x[full]] + mix(sums[y[full]] + mix(_DOMAINS[a * 5 + b] + tag[rows[full]]))))
             docs, k = docs[empty], k[empty]
     if not out_doc:
         return np.zeros(0, np.int64), np.zeros(0, U64)
@@ -235,7 +239,10 @@ def similarity_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
                                      bool(unit["i"].iloc[0] != unit["j"].iloc[0]))
         return pd.DataFrame({"a": ids, "b": roots, "links": links})
 
-    texts = base.join(units, F.col("doc_id") == F.col("node")).dropDuplicates(["node", "text", "component", "i", "j"])
+    small = units.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    texts = base.join(F.broadcast(units) if small else units, F.col("doc_id") == F.col("node"))
+    if mapped.groupBy("doc_id").count().where("count > 1").limit(1).count():  # the same row, given twice
+        texts = texts.dropDuplicates(["node", "text", "component", "i", "j"])
     linked = cut(texts.select("node", "copies", "component", "i", "j", "block", "text").groupBy(
         "component", "i", "j").applyInPandas(verify, "a long, b long, links long"))
     classes = components(linked.select("a", "b"))
