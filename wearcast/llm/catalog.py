@@ -1,4 +1,4 @@
 """Imports every query module so that its queries register."""
 
-from . import chat, compression, decontaminate, jaccard, licenses, packing, pii, quality_rules, sharding  # noqa: F401
+from . import chat, compression, decontaminate, jaccard, licenses, packing, pii, quality_rules, sharding, suffixes  # noqa: F401
 from .book import ORACLE, QUERIES  # noqa: F401
