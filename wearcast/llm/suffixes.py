@@ -197,8 +197,9 @@ def _open_and_closed(parts: list[tuple], length: int) -> pa.RecordBatch:
                                       ["key", "context", "doc_id", "th", "first", "last", "closed"])
 
 
-def _packed(spans: DataFrame) -> DataFrame:
-    """One row per document: its (first, last, key) rows as packed integers."""
+def _packed(spans: DataFrame, length: int | None = None) -> DataFrame:
+    """One row per document: its (first, last, key) rows as packed integers;
+    with ``length``, runs of starts whose strings touch are merged into one."""
     rows = spans.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("first", "last", "key"))).alias("rows"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,6 +207,10 @@ def _packed(spans: DataFrame) -> DataFrame:
             col = b.column("rows")
             flat, off = col.flatten(), np.asarray(col.offsets) - col.offsets[0].as_py()
             raw = np.stack([np.asarray(flat.field(k)) for k in range(3)], axis=1).astype("<i8")
+            if length:
+                run, first, end = _merged(np.repeat(np.arange(len(off) - 1), np.diff(off)), raw[:, 0], raw[:, 1] + length)
+                raw = np.stack([first, end - length, np.zeros_like(first)], axis=1).astype("<i8")
+                off = np.searchsorted(run, np.arange(len(off)))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("th"),
                  pa.array([raw[a:z].tobytes() for a, z in zip(off[:-1], off[1:])], pa.binary())], ["doc_id", "th", "rows"])
@@ -343,7 +348,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, most: int = MOST_CONTE
     if not hashed.groupBy("doc_id").agg(F.min("th").alias("a"), F.max("th").alias("b")).where("a <> b").limit(1).count():
         hashed = base.withColumn("th", F.lit(0).cast("long"))  # ids tell the documents apart
     found = repeated_spans(hashed, length, most)
-    lists = cut(_packed(found.withColumn("key", F.lit(0).cast("long"))))
+    lists = cut(_packed(found.withColumn("key", F.lit(0).cast("long")), length))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
