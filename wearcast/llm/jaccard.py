@@ -14,10 +14,15 @@ An agreement of empty parts proves nothing.  A set with so many empty parts
 that the agreeing ones could all be empty also signs under another hash of the
 domain, and after ``SCHEMES`` of them it signs the elements of its prefix (two
 similar sets share one), so no link is lost.  The spare parts s keep such sets
-rare: about 1 % of the parts are empty.
+rare: a few of a hundred parts are empty.
 
-Signatures are matched by one shuffle.  Each member is joined to the first of
-its signature, and the connected groups hold every possible link.  Groups
+With s spare parts, at most s / 2 of them empty, two similar sets share more
+than s / 2 signatures.  So each set may leave out its s / 2 most frequent ones
+(in the same order for all sets, by count and value): the rarest shared one
+stays.  That drops the parts that consist of a widely shared passage alone.
+
+Signatures are counted and matched by shuffles.  Each member is joined to the
+first of its signature, and the connected groups hold every possible link.  Groups
 are verified exactly, as units of bounded size: a larger group is cut into
 blocks, and every two blocks form a unit.  Equal sets are one set throughout.
 """
@@ -38,9 +43,11 @@ from .common import U64, Words, blocks, cut, distinct_sets, mix, raw_text, segme
 from .graph import components
 
 SHINGLE, PERCENT = 5, 80
-SCHEMES, SPARE = 4, 25
+SCHEMES, SPARE = 4, 10
+#: A signature's low bits: group parity, then how many frequent ones may be left out.
+_PARITY, _DROP = U64(1), 127
 UNIT_SHINGLES = 150_000
-#: Members of the units (about 100 bytes each) are broadcast up to this count, else joined by shuffle.
+#: Members of the groups (about 100 bytes each) are broadcast up to this count, else joined by shuffle.
 BROADCAST_ROWS = 500_000
 _SEEN = 200_000
 _TAG = U64(0xD6E8FEB86659FD93)
@@ -97,9 +104,10 @@ def signatures(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> t
                 first = np.searchsorted(row, np.arange(len(docs)))
                 keep = np.arange(len(row)) - first[row[order]] < (n[docs] + (-(percent * n[docs]) // 100) + 1)[row[order]]
                 out_doc.append(docs[row[order]][keep])
-                out_sig.append(mix(e[order][keep] + tag[row[order]][keep]))
+                out_sig.append(mix(e[order][keep] + tag[row[order]][keep]) & ~U64(255) | (group[docs] & 1).astype(U64)[row[order]][keep])
                 break
-            few, spare = k <= 3, 1 + k // SPARE
+            few, spare = k <= 3, 2 + k // SPARE
+            low_bits = (group[docs] & 1).astype(U64)
             sums, count, base = _sums(d, e, docs, np.where(few, k + 2, k + 1 + spare), scheme)
             empty = np.zeros(len(docs), bool)
             wide = np.flatnonzero(~few)
@@ -107,10 +115,12 @@ def signatures(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> t
                 at = np.concatenate([np.arange(base[i], base[i + 1]) for i in wide])
                 owner = np.repeat(wide, k[wide] + 1 + spare[wide])
                 full = count[at] > 0
-                empty |= np.bincount(owner[~full], minlength=len(docs)) > spare
+                empty |= ~few & (np.bincount(owner[~full], minlength=len(docs)) > spare // 2)
                 inner = (at - base[owner]).astype(U64)
                 out_doc.append(docs[owner[full]])
-                out_sig.append(mix(sums[at[full]] + mix(inner[full] * _TAG + tag[owner[full]])))
+                drop = np.minimum(spare // 2, _DROP) if scheme == 0 else np.zeros(len(docs), np.int64)
+                end = low_bits | (drop.astype(U64) << _PARITY)
+                out_sig.append(mix(sums[at[full]] + mix(inner[full] * _TAG + tag[owner[full]])) & ~U64(255) | end[owner[full]])
             for size in np.unique(k[few]):
                 rows = np.flatnonzero(few & (k == size))
                 for a, b in combinations(range(int(size) + 2), 2):
@@ -118,7 +128,8 @@ def signatures(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> t
                     full = count[x] + count[y] > 0
                     empty[rows[~full]] = True
                     out_doc.append(docs[rows[full]])
-                    out_sig.append(mix(sums[x[full]] + mix(sums[y[full]] + mix(_DOMAINS[a * 5 + b] + tag[rows[full]]))))
+                    out_sig.append(mix(sums[x[full]] + mix(sums[y[full]] + mix(_DOMAINS[a * 5 + b] + tag[rows[full]])))
+                                   & ~U64(255) | low_bits[rows[full]])
             docs, k = docs[empty], k[empty]
     if not out_doc:
         return np.zeros(0, np.int64), np.zeros(0, U64)
@@ -218,8 +229,13 @@ def similarity_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     mapped = cut(full.join(sets, ["n", "h1", "h2"]).select("doc_id", "n", "rep", "copies"))
 
     signed = base.where("doc_id IS NOT NULL").mapInArrow(sign, "sig long, doc_id long")
+    shared = signed.withColumn("count", F.count("*").over(Window.partitionBy("sig"))).where("count > 1")
+    # the most frequent signatures of a document in a group, as many as may be left out
+    frequent = F.row_number().over(Window.partitionBy("doc_id", F.col("sig").bitwiseAND(F.lit(1))).orderBy(F.desc("count"), "sig"))
+    drop = F.shiftright(F.col("sig"), 1).bitwiseAND(F.lit(_DROP))
+    left = shared.withColumn("nth", frequent).where(F.col("nth") > drop).select("sig", "doc_id")
     hub = F.first("doc_id").over(Window.partitionBy("sig").orderBy("doc_id"))
-    near = cut(signed.select(F.col("doc_id").alias("a"), hub.alias("b")).where("a <> b").distinct())
+    near = cut(left.select(F.col("doc_id").alias("a"), hub.alias("b")).where("a <> b").distinct())
     rep = mapped.select("doc_id", "rep").distinct()
     near = near.join(rep.toDF("a", "ra"), "a").join(rep.toDF("b", "rb"), "b").where("ra <> rb")
     groups = cut(components(near.select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
@@ -229,8 +245,7 @@ def similarity_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     blocked = members.join(total, "component").withColumn(
         "blocks", F.ceil(F.col("total") / unit_shingles).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    units = cut(blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "node", "copies", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block"))
+    placed = cut(blocked.select("node", "copies", "component", "block", "blocks"))
 
     def verify(unit: pd.DataFrame) -> pd.DataFrame:
         doc, h, n = _sets(pa.array(unit["text"], pa.large_string()), k)
@@ -239,11 +254,14 @@ def similarity_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
                                      bool(unit["i"].iloc[0] != unit["j"].iloc[0]))
         return pd.DataFrame({"a": ids, "b": roots, "links": links})
 
-    small = units.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    texts = base.join(F.broadcast(units) if small else units, F.col("doc_id") == F.col("node"))
+    small = placed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    texts = base.join(F.broadcast(placed) if small else placed, F.col("doc_id") == F.col("node"))
     if mapped.groupBy("doc_id").count().where("count > 1").limit(1).count():  # the same row, given twice
-        texts = texts.dropDuplicates(["node", "text", "component", "i", "j"])
-    linked = cut(texts.select("node", "copies", "component", "i", "j", "block", "text").groupBy(
+        texts = texts.dropDuplicates(["node", "text"])
+    units = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "node", "copies", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "block", "text")
+    linked = cut(units.groupBy(
         "component", "i", "j").applyInPandas(verify, "a long, b long, links long"))
     classes = components(linked.select("a", "b"))
     degree = linked.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
