@@ -46,10 +46,10 @@ def test_type_partition_prunes(spark, tmp_path):
     assert out.count() == 100
 
 
-def test_split_ranks_rows_in_buckets_not_classes(spark, tmp_path):
+def test_split_has_no_window_over_a_class(spark, tmp_path):
     _, df = _readings_table(spark, tmp_path)
     plan = _plan(M.stratified_split(df))
-    # the row-level window is partitioned by (class, bucket, salt); the only
-    # single-partition steps are on the per-class allocation (k rows)
-    assert re.search(r"hashpartitioning\(target#\d+, _b#\d+", plan)  # constant salt folded away
-    assert "BroadcastExchange" in plan
+    # ranks come from running totals over range-partitioned rows; rows are never
+    # dealt by class, and the class table (k rows) is broadcast
+    assert not re.search(r"hashpartitioning\(target#\d+, \d+\)[^\n]*\n[^\n]*Window", plan)
+    assert "BroadcastExchange" in plan and "SortMergeJoin" not in plan

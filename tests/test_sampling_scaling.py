@@ -63,20 +63,35 @@ def test_constant_column_scale_is_one(spark):
     assert T.scaler_fit(df, ["a"]).first()["scale"] == 1.0
 
 
-def test_hot_id_copies_are_salted_and_sizes_exact(spark):
-    # a third of the rows are copies of one id: its bucket is split by salt
-    rows = [("hot", 0)] * 1000 + [(f"id{i}", int(i % 25 == 0)) for i in range(2000)]
-    df = spark.createDataFrame(rows, "reading_id string, target int")
-    sp = M.stratified_split(df, max_bucket_rows=100)
-    got = {(r["split"], r["target"]): r["n"] for r in sp.groupBy("split", "target").agg(F.count("*").alias("n")).collect()}
-    counts = {0: 1000 + 1920, 1: 80}
-    alloc = {r["target"]: r for r in M.allocation(spark.createDataFrame(list(counts.items()), "target int, n_c long")).collect()}
-    assert got[("test", 0)] == alloc[0]["n_test"] and got[("test", 1)] == alloc[1]["n_test"]
-    assert sp.count() == 3000
-    ranks = M.class_ranks(df, "reading_id", max_bucket_rows=100).where("target = 0").select("_rank").toPandas()
+def members(df, col):
+    from collections import Counter
+
+    return Counter((r["reading_id"], r["target"], r["x"], r[col]) for r in df.collect())
+
+
+def test_membership_does_not_depend_on_partitions(spark):
+    # a third of the rows are copies of one id (some identical), and some labels are missing
+    rows = [("hot", 0, i % 3) for i in range(1000)] + [(f"id{i}", int(i % 25 == 0), 1) for i in range(2000)]
+    rows += [(f"none{i}", None, 1) for i in range(30)]
+    df = spark.createDataFrame(rows, "reading_id string, target int, x int")
+    splits = [members(M.stratified_split(df.repartition(p)), "split") for p in (2, 7)]
+    folds = [members(M.stratified_folds(df.repartition(p)), "fold") for p in (2, 7)]
+    assert splits[0] == splits[1] and folds[0] == folds[1]
+    assert sum(splits[0].values()) == sum(folds[0].values()) == 3030
+    assert all((k[3] is None) == (k[1] is None) for k in [*splits[0], *folds[0]])
+    sizes = {c: sum(n for k, n in splits[0].items() if k[1] == c and k[3] == "test") for c in (0, 1)}
+    alloc = {r["target"]: r for r in M.allocation(spark.createDataFrame([(0, 2920), (1, 80)], "target int, n_c long")).collect()}
+    assert sizes == {c: alloc[c]["n_test"] for c in (0, 1)}
+    ranks = M.class_ranks(df, "reading_id").where("target = 0").select("_rank").toPandas()
     assert sorted(ranks["_rank"]) == list(range(1, 2921))  # exact, gap-free ranks
 
 
+def test_weights_of_ten_thousand_classes(spark):
+    df = spark.range(20_000).select((F.col("id") % 10_000).cast("int").alias("target"), F.col("id"))
+    out = M.attach_weights(df.unionByName(spark.createDataFrame([(None, -1)], "target int, id long")), M.class_weights(df))
+    assert out.count() == 20_001 and out.where("weight = 1.0").count() == 20_000 and out.where("weight IS NULL").count() == 1
+
+
 def test_processing_report_golden(spark, golden):
     """Q20: the recorded report's scaled air-temperature statistics (std n−1)."""
     from wearcast.functions.features import extract_features

@@ -1,12 +1,11 @@
 """Exact stratified split and folds, random batch, class weights (M1-M6).
 
 Order within a class is ``md5(id ‖ ':' ‖ seed)`` (hex, identical in every
-engine).  Exact ranks come without a per-class window over all rows (96 % of
-rows are one class): the first hex digits of the hash split each class into
-16^d equal buckets, a histogram (map-side combined, ≤ classes·16^d rows)
-gives each bucket's offset, and the local rank inside a bucket comes from a
-window partitioned by (class, bucket) — every task holds ~N/16^d rows.
-Buckets made hot by copies of one id are salted (see ``class_ranks``).
+engine), then the id, then a hash of the whole row, so it depends on neither
+the size nor the partitioning of the data.  Identical rows are collapsed to
+one row with a count first; exact ranks come from distributed running totals
+over (class, hash, id, row hash) (``prefix.running_totals``), not from a
+per-class window over all rows (96 % of rows are one class).
 """
 
 from __future__ import annotations
@@ -15,76 +14,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..session import cut_lineage
+from .prefix import running_totals
 
 
 def hash_key(id_col: str, seed: int) -> F.Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
 
 
-MAX_BUCKET_ROWS = 4_000_000
-
-
-def _bucket_hist(keyed: DataFrame, keys: list[str]) -> DataFrame:
-    """(target, bucket[, salt]) counts: ≤ classes·16^d (+ salts) rows,
-    materialised once (it is read by the planning decisions and the plan)."""
-    return cut_lineage(keyed.groupBy(*keys).agg(F.count("*").alias("_cnt")))
-
-
-def class_ranks(df: DataFrame, id_col: str, target: str = S.TARGET, seed: int = S.SPLIT_SEED,
-                digits: int | None = None, test_size: float | None = None,
-                max_bucket_rows: int = MAX_BUCKET_ROWS) -> DataFrame:
-    """Adds ``_rank`` (1-based rank of the row in its class by hash order)
-    and ``_n_class`` (class size); with ``test_size`` also ``n_test``.
-
-    Buckets are the first ``digits`` hex digits of the hash (4 by default,
-    more when the data would put over ``max_bucket_rows`` rows in a bucket).
-    The hash is uniform, so only copies of one id can make a bucket hot;
-    such a bucket is split into ``ceil(count / max_bucket_rows)`` salt
-    buckets (by a row id) and ordered by (salt, hash) inside it — sizes stay
-    exact, no task holds more than ``max_bucket_rows`` rows."""
-    h = hash_key(id_col, seed)
-    d = digits or 4
-    keyed = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, d))
-    hist = _bucket_hist(keyed, [target, "_b"])
-    n, biggest = hist.agg(F.sum("_cnt"), F.max("_cnt")).first()  # one tiny job
-    if digits is None:
-        want = d
-        while (n or 0) / (16 ** want) > max_bucket_rows / 4 and want < 8:
-            want += 1
-        if want != d:
-            d = want
-            keyed = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, d))
-            hist = _bucket_hist(keyed, [target, "_b"])
-            biggest = hist.agg(F.max("_cnt")).first()[0]
-    hot = hist.where(F.col("_cnt") > max_bucket_rows).select(
-        target, "_b", F.ceil(F.col("_cnt") / max_bucket_rows).cast("long").alias("_salts"))
-    # ≤ N / max_bucket_rows buckets, and only looked at when one exists
-    hot_rows = hot.limit(100_001).collect() if (biggest or 0) > max_bucket_rows else []
-    if hot_rows:
-        if len(hot_rows) > 100_000:
-            raise ValueError("too many hot buckets; raise max_bucket_rows")
-        # a small table by construction (hot buckets only): broadcast
-        keyed = keyed.join(F.broadcast(hot), [target, "_b"], "left").withColumn(
-            "_s", F.when(F.col("_salts").isNull(), F.lit(0).cast("long"))
-            .otherwise(F.pmod(F.monotonically_increasing_id(), F.col("_salts")))).drop("_salts")
-        hist = _bucket_hist(keyed, [target, "_b", "_s"])
-    else:
-        keyed = keyed.withColumn("_s", F.lit(0).cast("long"))
-        hist = hist.withColumn("_s", F.lit(0).cast("long"))
-    w = Window.partitionBy(target).orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, -1)
-    offs = hist.select(
-        target, "_b", "_s",
-        F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy(target)).alias("_n_class"),
-    )
-    if test_size is not None:
-        counts = offs.select(target, F.col("_n_class").alias("n_c")).distinct()
-        offs = offs.join(allocation(counts, target, test_size).select(target, "n_test"), target)
-    # ≤ classes·16^d + salts rows, bounded by the parameters: broadcast
-    joined = keyed.join(F.broadcast(offs), [target, "_b", "_s"])
-    local = F.row_number().over(Window.partitionBy(target, "_b", "_s").orderBy("_h", id_col))
-    return joined.withColumn("_rank", F.col("_off") + local).drop("_off", "_b", "_s")
+def class_ranks(df: DataFrame, id_col: str, target: str = S.TARGET, seed: int = S.SPLIT_SEED) -> DataFrame:
+    """The rows with a label, plus ``_rank``: the 1-based rank of the row in
+    its class by hash order.  Copies of a row get consecutive ranks."""
+    cols = df.columns
+    rows = df.where(F.col(target).isNotNull()).groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count("*").alias("_copies"))
+    keyed = rows.withColumns({"_h": hash_key(id_col, seed), "_id": F.col(id_col), "_row": F.xxhash64(*[F.col(f"`{c}`") for c in cols])})
+    ranked = running_totals(keyed, [target], ["_h", "_id", "_row"], ["_copies"])
+    first = F.col("_copies_before").cast("long") + 1
+    ranks = F.explode(F.sequence(first, first + F.col("_copies") - 1))
+    return ranked.withColumn("_rank", ranks).select(*[F.col(f"`{c}`") for c in cols], "_rank")
 
 
 def allocation(counts: DataFrame, target: str = S.TARGET, test_size: float = S.SPLIT_TEST_SIZE) -> DataFrame:
@@ -104,23 +50,25 @@ def allocation(counts: DataFrame, target: str = S.TARGET, test_size: float = S.S
 
 
 def stratified_split(df: DataFrame, id_col: str = "reading_id", target: str = S.TARGET,
-                     test_size: float = S.SPLIT_TEST_SIZE, seed: int = S.SPLIT_SEED, digits: int | None = None,
-                     max_bucket_rows: int = MAX_BUCKET_ROWS) -> DataFrame:
+                     test_size: float = S.SPLIT_TEST_SIZE, seed: int = S.SPLIT_SEED) -> DataFrame:
     """Adds ``split`` ∈ {train, test}: exact class-proportional sizes; the
-    first n_test rows of each class in hash order are the test rows."""
-    out = class_ranks(df, id_col, target, seed, digits, test_size, max_bucket_rows)
-    return out.withColumn("split", F.when(F.col("_rank") <= F.col("n_test"), "test").otherwise("train")).drop(
-        "_h", "_rank", "_n_class", "n_test"
-    )
+    first n_test rows of each class in hash order are the test rows.  Rows
+    without a label are kept with a NULL split and do not count in the sizes."""
+    counts = df.where(F.col(target).isNotNull()).groupBy(target).agg(F.count("*").alias("n_c"))
+    sizes = allocation(counts, target, test_size).select(F.col(target).alias("_class"), "n_test")
+    ranked = class_ranks(df, id_col, target, seed)
+    out = ranked.join(_classes(sizes), F.col(target) == F.col("_class")).withColumn(
+        "split", F.when(F.col("_rank") <= F.col("n_test"), "test").otherwise("train")).drop("_rank", "_class", "n_test")
+    return out.unionByName(df.where(F.col(target).isNull()).withColumn("split", F.lit(None).cast("string")))
 
 
 def stratified_folds(df: DataFrame, k: int = S.CV_FOLDS, id_col: str = "reading_id", target: str = S.TARGET,
-                     seed: int = S.SPLIT_SEED, digits: int | None = None,
-                     max_bucket_rows: int = MAX_BUCKET_ROWS) -> DataFrame:
+                     seed: int = S.SPLIT_SEED) -> DataFrame:
     """Adds ``fold`` ∈ [0, k): rank in class (hash order) mod k, so every
-    fold gets each class in proportion (sizes differ by at most one)."""
-    ranked = class_ranks(df, id_col, target, seed, digits, None, max_bucket_rows)
-    return ranked.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_h", "_rank", "_n_class")
+    fold gets each class in proportion (sizes differ by at most one).  Rows
+    without a label are kept with a NULL fold."""
+    ranked = class_ranks(df, id_col, target, seed).withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank")
+    return ranked.unionByName(df.where(F.col(target).isNull()).withColumn("fold", F.lit(None).cast("int")))
 
 
 def random_batch(df: DataFrame, n: int = S.BATCH_SIZE, id_col: str = "reading_id", seed: int = S.BATCH_SEED,
@@ -145,23 +93,21 @@ def class_weights(df: DataFrame, target: str = S.TARGET) -> DataFrame:
     )
 
 
-MAX_CLASSES = 10000
+#: Class tables up to this many rows are broadcast, larger ones joined by shuffle.
+MAX_BROADCAST_CLASSES = 100_000
+
+
+def _classes(table: DataFrame) -> DataFrame:
+    """One row per class: broadcast after its count is checked (a join by
+    shuffle would put the majority class in one task)."""
+    small = table.limit(MAX_BROADCAST_CLASSES + 1).count() <= MAX_BROADCAST_CLASSES
+    return F.broadcast(table) if small else table
 
 
 def attach_weights(df: DataFrame, weights: DataFrame, target: str = S.TARGET, weight_col: str = "weight") -> DataFrame:
-    """Per-row weight by class, as a ``CASE`` over the (few) class weights.
-
-    A join on the label would put 96 % of the rows on one reducer (the
-    majority class) unless broadcast; the class table is instead brought to
-    the driver once (checked to be at most ``MAX_CLASSES`` rows) and becomes
-    a literal expression — no shuffle, no broadcast, codegen'd."""
-    rows = weights.select(target, "weight").limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes; not a classification label")
-    expr = F.lit(None).cast("double")
-    for r in rows:
-        expr = F.when(F.col(target) == F.lit(r[target]), F.lit(float(r["weight"]))).otherwise(expr)
-    return df.withColumn(weight_col, expr)
+    """Per-row weight by class; NULL for a label without a weight."""
+    table = weights.select(F.col(target).alias("_class"), F.col("weight").cast("double").alias(weight_col))
+    return df.join(_classes(table), F.col(target) == F.col("_class"), "left").drop("_class")
 
 
 def split_summary(split_df: DataFrame, weights: DataFrame, n_features: int, target: str = S.TARGET) -> DataFrame:

@@ -229,12 +229,12 @@ def _fixed_sql() -> str:
         f"round(({exprs[c]} - CAST({m!r} AS DOUBLE)) / CAST({s!r} AS DOUBLE), 6) AS {c}"
         for c, (m, s) in S.SERVING_SCALER.items()
     )
-    return with_ctes(X.READINGS_SQL, body=f"SELECT reading_id, {cols} FROM readings WHERE type = 'L'")
+    return with_ctes(X.READINGS_SQL, body=f"SELECT reading_id, {cols} FROM readings")
 
 
 @register("fixed_scaler", _fixed_sql())
 def fixed_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = extract_serving_features(R.filter_type(X.readings(spark, sf_dir)), keep=("reading_id",))
+    f = extract_serving_features(X.readings(spark, sf_dir), keep=("reading_id",))
     return rounded(T.fixed_scaler(f))
 
 
