@@ -46,16 +46,18 @@ def test_quantiles_single_row_and_ties(spark):
     assert quantiles(one, ["x"], [0.25]).first()["quantile"] == 3.0
 
 
-def test_both_exact_paths_agree(spark):
+def test_brackets_that_miss_are_widened(spark):
+    """A coarse sketch gives the same quantiles; a column without values stays as NULL rows."""
     rng = np.random.default_rng(9)
-    pdf = pd.DataFrame({"a": rng.normal(size=999), "b": rng.integers(0, 7, 999).astype(float)})
-    df = spark.createDataFrame(pdf)
-    fast = {(r["feature"], r["prob"]): r["quantile"] for r in quantiles(df, ["a", "b"], [0.1, 0.5, 0.9]).collect()}
-    dist = {(r["feature"], r["prob"]): r["quantile"]
-            for r in quantiles(df, ["a", "b"], [0.1, 0.5, 0.9], max_task_values=5).collect()}
-    for k, v in fast.items():
-        assert v == pytest.approx(dist[k], rel=1e-12, abs=1e-12)
-        assert v == pytest.approx(pdf[k[0]].quantile(k[1]), rel=1e-12, abs=1e-12)
+    pdf = pd.DataFrame({"a": rng.normal(size=5999), "b": rng.integers(0, 7, 5999).astype(float), "c": np.inf})
+    df = spark.createDataFrame(pdf).withColumn("none", F.lit(None).cast("double")).repartition(7)
+    for accuracy in (10000, 3):
+        got = {(r["feature"], r["prob"]): r["quantile"]
+               for r in quantiles(df, ["a", "b", "c", "none"], [0.0, 0.1, 0.5, 0.9, 1.0], accuracy=accuracy).collect()}
+        assert len(got) == 20 and all(got["none", p] is None for p in (0.0, 0.5))
+        for (c, p), v in got.items():
+            if c in "ab":
+                assert v == pytest.approx(pdf[c].quantile(p), rel=1e-12, abs=1e-12)
 
 
 def test_mixed_running_aggregates_one_pass(spark):

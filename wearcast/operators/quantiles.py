@@ -2,42 +2,44 @@
 
 Exact (default) = linear interpolation between order statistics, the same
 definition as pandas ``quantile``, Spark ``percentile`` and DuckDB
-``quantile_cont``.  It does not use ``percentile``'s per-column value map
-(which a global aggregate merges in one task); instead:
+``quantile_cont``.  One path at every size, bracket and refine:
 
-1. one narrow pass emits (feature, value) pairs and aggregates them to
-   distinct-value counts (map-side combine: a hot value is one row per task);
-2. exact ranks of each distinct value come from distributed running totals
-   (``prefix.running_totals``);
-3. the ≤ 2·|features|·|probs| target ranks are a broadcast table joined with
-   a range condition.
+1. one pass counts the cells and takes ``percentile_approx`` sketches (a
+   proven rank error) a little below and above each wanted rank: a bracket;
+2. one pass counts exactly what lies below each bracket, and one collects the
+   distinct values inside with their counts (map-side combined);
+3. distributed running totals (``prefix.running_totals``) rank those few
+   values; a rank that its bracket misses is looked up again in a bracket of
+   all values.
 
-``method="approx"`` uses ``percentile_approx`` (one pass, bounded memory).
+``method="approx"`` uses ``percentile_approx`` alone (one pass, bounded memory).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
 from .prefix import running_totals
 
 
-def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(feature, value) for every non-missing cell; a generator in the same
-    stage as the scan, not a materialised 10x table."""
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
-    )
-    out = df.select(pairs.alias("kv")).select("kv.feature", "kv.value")
-    return out.where(F.col("value").isNotNull() & ~F.isnan("value"))
+def _cells(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns as doubles c0, c1, ..., NaN as NULL."""
+    return df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"c{i}")
+                       for i, c in enumerate(cols)])
 
 
-MAX_TASK_VALUES = 1_000_000
+def _inside(cells: DataFrame, wanted: dict[int, tuple[int, float, float]]) -> tuple[dict[int, int], DataFrame]:
+    """For each wanted (column, low, high): the number of cells below low, and
+    the distinct values in [low, high] as (t, value, n)."""
+    below = cells.agg(*[F.count_if(F.col(f"c{c}") < F.lit(low)).alias(f"b{t}") for t, (c, low, _) in wanted.items()]).first()
+    found = F.explode(F.filter(F.array(*[
+        F.struct(F.lit(t).alias("t"), F.when(F.col(f"c{c}").between(low, high), F.col(f"c{c}")).alias("value"))
+        for t, (c, low, high) in wanted.items()]), lambda x: x["value"].isNotNull()))
+    hist = cells.select(found.alias("x")).select("x.*").groupBy("t", "value").agg(F.count("*").alias("n"))
+    return {t: below[f"b{t}"] for t in wanted}, hist
 
 
 def quantiles(
@@ -45,96 +47,51 @@ def quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     method: str = "exact",
-    accuracy: int = 100000,
-    max_task_values: int = MAX_TASK_VALUES,
+    accuracy: int = 10000,
 ) -> DataFrame:
-    """Long result: (feature, prob, quantile).
-
-    Exact: when every feature has at most ``max_task_values`` distinct
-    values (counted on the aggregated histogram), one task per feature can
-    hold its (value, count) map, so Spark's exact ``percentile`` with the
-    counts as frequencies finishes it; above that bound the distributed
-    running-totals path ranks the values instead."""
-    probs = [float(p) for p in probs]
-    if method == "approx":
-        agg = df.agg(
-            *[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(c) for c in cols]
-        )
-        rows = F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("feature"), F.lit(p).alias("prob"), F.col(c)[i].alias("quantile"))
-                    for c in cols
-                    for i, p in enumerate(probs)
-                ]
-            )
-        )
-        return agg.select(rows.alias("r")).select("r.*")
-    if method != "exact":
+    """Long result: (feature, prob, quantile), one row for every column and
+    probability; a column without values has NULL quantiles.  The driver sees
+    counts, brackets and results: |cols|·|probs| numbers."""
+    cols, probs = list(cols), [float(p) for p in probs]
+    if method not in ("exact", "approx"):
         raise ValueError("method must be 'exact' or 'approx'")
-
-    # feature as a small int while shuffling/sorting; names come back at the end
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("fi"), F.col(c).cast("double").alias("value"))
-                                for i, c in enumerate(cols)]))
-    cells = df.select(pairs.alias("kv")).select("kv.fi", "kv.value").where(
-        F.col("value").isNotNull() & ~F.isnan("value"))
-    hist = cells.groupBy("fi", "value").agg(F.count("*").alias("n"))
-    # one scan of the source: the ranking and the per-feature sizes both
-    # read this (spillable, recomputable) cache of distinct-value counts
-    hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
-    distinct = hist.groupBy("fi").agg(F.count("*").alias("d"))
-    widest = distinct.agg(F.max("d")).first()[0] or 0  # ≤ len(cols) rows
-    if widest <= max_task_values:
-        per = hist.groupBy("fi").agg(F.percentile(F.col("value"), F.array(*[F.lit(p) for p in probs]), F.col("n")).alias("q"))
-        names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("fi") + 1)
-        out = per.select(names.alias("feature"), F.explode(F.arrays_zip(
-            F.array(*[F.lit(p) for p in probs]).alias("prob"), F.col("q").alias("quantile"))).alias("z")
-        ).select("feature", F.col("z.prob").alias("prob"), F.col("z.quantile").alias("quantile"))
-        out = cut_lineage(out)
-        hist.unpersist()
-        return out
-    ranked = running_totals(hist, ["fi"], ["value"], ["n"])
-    ranked = ranked.withColumn("n_after", F.col("n_before") + F.col("n"))
-    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("fi") + 1)
-    sizes = hist.groupBy("fi").agg(F.sum("n").cast("double").alias("total")).withColumn("feature", names)
-    probs_df = df.sparkSession.createDataFrame([(p,) for p in probs], "prob double")
-    # h = q·(N−1); need order statistics floor(h) and floor(h)+1 (capped)
-    targets = (
-        sizes.crossJoin(F.broadcast(probs_df))
-        .withColumn("h", F.col("prob") * (F.col("total") - 1))
-        .withColumn("lo", F.floor("h"))
-        .withColumn("hi", F.least(F.col("lo") + 1, F.col("total") - 1))
-        .withColumn("frac", F.col("h") - F.col("lo"))
-    )
-    wanted = targets.select(
-        F.col("fi").alias("w_fi"), F.col("feature").alias("w_feature"), F.col("prob").alias("w_prob"),
-        F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("lo").alias("r")),
-                          F.struct(F.lit(1).alias("side"), F.col("hi").alias("r")))).alias("t"),
-    ).select("w_fi", "w_feature", "w_prob", "t.side", "t.r")
-    # |features|·|probs|·2 rows: broadcast; range lookup on the rank interval
-    cond = (
-        (F.col("fi") == F.col("w_fi"))
-        & (F.col("n_before") <= F.col("r"))
-        & (F.col("r") < F.col("n_after"))
-    )
-    hits = ranked.join(F.broadcast(wanted), cond).select(
-        F.col("w_feature").alias("feature"), F.col("w_prob").alias("prob"), "side", "value"
-    )
-    ends = hits.groupBy("feature", "prob").agg(
-        F.max(F.when(F.col("side") == 0, F.col("value"))).alias("v_lo"),
-        F.max(F.when(F.col("side") == 1, F.col("value"))).alias("v_hi"),
-    )
-    out = ends.join(targets.select("feature", "prob", "frac"), ["feature", "prob"])
-    out = out.select(
-        "feature",
-        "prob",
-        (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("quantile"),
-    )
-    # |features|·|probs| rows; materialised once so every later use (bounds,
-    # pivots, joins) reads this small table instead of re-ranking
-    out = cut_lineage(out)
-    hist.unpersist()
-    return out
+    cells = _cells(df, cols)
+    slack = 2.0 / accuracy
+    asked = probs if method == "approx" else [min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)]
+    first = cells.agg(*[x for i in range(len(cols)) for x in (
+        F.count(f"c{i}").alias(f"n{i}"), F.min(f"c{i}").alias(f"lo{i}"), F.max(f"c{i}").alias(f"hi{i}"),
+        F.percentile_approx(f"c{i}", asked, accuracy).alias(f"q{i}"))]).first()
+    result: dict[tuple[int, int], float | None] = {(i, j): None for i in range(len(cols)) for j in range(len(probs))}
+    if method == "approx":
+        result |= {(i, j): first[f"q{i}"][j] for i, j in result if first[f"n{i}"]}
+    else:
+        # order statistics floor(h) and floor(h) + 1 (capped), h = p·(N − 1)
+        ranks = {}
+        for i, j in result:
+            if n := first[f"n{i}"]:
+                low = int(probs[j] * (n - 1))
+                ranks[i, j] = (low, min(low + 1, n - 1), probs[j] * (n - 1) - low)
+        todo = {i * len(probs) + j: (i, *first[f"q{i}"][2 * j : 2 * j + 2]) for i, j in ranks}
+        while todo:
+            below, hist = _inside(cells, todo)
+            ranked = running_totals(hist, ["t"], ["value"], ["n"])
+            start = F.col("n_before").cast("long") + F.get(F.array(*[F.lit(below.get(t, 0)) for t in range(max(todo) + 1)]), "t")
+            want = [(t, k, r) for t in todo for k, r in enumerate(ranks[divmod(t, len(probs))][:2])]
+            hit = F.filter(F.array(*[F.struct(F.lit(t).alias("wt"), F.lit(k).alias("k"), F.lit(r).cast("long").alias("r")) for t, k, r in want]),
+                           lambda w: (w["wt"] == F.col("t")) & (w["r"] >= start) & (w["r"] < start + F.col("n")))
+            got = {(r["t"], r["k"]): r["value"] for r in ranked.select("t", "value", F.explode(hit).alias("w")).select(
+                "t", "value", "w.k").collect()}
+            missed = {}
+            for t, (c, _, _) in todo.items():
+                i, j = divmod(t, len(probs))
+                if (t, 0) in got and (t, 1) in got:
+                    a, b = got[t, 0], got[t, 1]
+                    result[i, j] = a if a == b else a + (b - a) * ranks[i, j][2]
+                else:
+                    missed[t] = (c, first[f"lo{c}"], first[f"hi{c}"])
+            todo = missed
+    rows = [(cols[i], probs[j], v) for (i, j), v in result.items()]
+    return df.sparkSession.createDataFrame(rows, "feature string, prob double, quantile double")
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], prob: float, method: str = "exact",
