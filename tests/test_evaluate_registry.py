@@ -3,6 +3,7 @@ import itertools
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from wearcast.operators import evaluate as E
 from wearcast.operators import registry as G
@@ -73,6 +74,17 @@ def test_roc_curve_drops_collinear_points(spark):
     assert sorted(kept["threshold"].tolist()) == [0.1, 0.7, 0.9, float("inf")]
 
 
+def test_auc_of_one_class_and_of_many_rows(spark):
+    """A group with one class has no area; P·N passes the BIGINT range."""
+    df = spark.createDataFrame([("a", 1, 0.9), ("a", 1, 0.2), ("b", 1, 0.9), ("b", 0, 0.1)], "g string, y int, score double")
+    assert {r["g"]: r["auc"] for r in E.roc_auc(df, by=["g"]).collect()} == {"a": None, "b": 1.0}
+    many = spark.createDataFrame([(1, 0.9, 2**33), (0, 0.1, 2**33), (0, 0.9, 2**32)], "y int, score double, n long")
+    counts = many.groupBy("score").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("pos"),
+                                       F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("neg"))
+    auc = E.area(counts, "score").first()["auc"]
+    assert auc == pytest.approx((2**33 + 2**31) / (2**33 + 2**32))
+
+
 def test_empty_inputs(spark):
     from wearcast.operators.quantiles import quantiles
 
@@ -80,7 +92,6 @@ def test_empty_inputs(spark):
     r = E.roc_auc(empty).collect()  # a global aggregate: one row, NULL area
     assert len(r) == 1 and r[0]["auc"] is None
     assert E.roc_curve(empty).count() == 1  # only the start point
-    assert quantiles(empty.select("score"), ["score"], [0.5]).count() == 0
-    assert quantiles(empty.select("score"), ["score"], [0.5], max_task_values=0).count() == 0
+    assert [r["quantile"] for r in quantiles(empty.select("score"), ["score"], [0.5]).collect()] == [None]
     v = spark.createDataFrame([], "name string, version int, f1 double")
     assert G.champion_decisions(v).count() == 0

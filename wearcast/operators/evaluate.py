@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..session import cut_lineage
 from .prefix import running_totals
 
 
@@ -106,13 +107,19 @@ def _score_counts(df: DataFrame, label: str, score: str, by: Sequence[str]) -> D
 
 def roc_auc(df: DataFrame, label: str = "y", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve, ties count half:
-    Σ pos·(neg_below + neg/2) / (P·N) over distinct scores."""
+    Σ pos·(neg_below + neg/2) / (P·N) over distinct scores.  NULL for a group
+    with one class only; the sums and their product are DOUBLE (P·N passes
+    the BIGINT range near 10^10 rows)."""
+    return area(_score_counts(df, label, score, list(by)), score, by)
+
+
+def area(counts: DataFrame, score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """``roc_auc`` from the positives and negatives (pos, neg) of each distinct score."""
     by = list(by)
-    cnt = _score_counts(df, label, score, by)
-    ranked = running_totals(cnt, by, [score], ["neg"])
+    ranked = running_totals(counts, by, [score], ["neg"])
     return ranked.groupBy(*by).agg(
-        (F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0))
-         / (F.sum("pos") * F.sum("neg"))).alias("auc")
+        F.try_divide(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)),
+                     F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc")
     )
 
 
@@ -122,7 +129,7 @@ def roc_curve(df: DataFrame, label: str = "y", score: str = "score", drop_interm
     points collinear with both neighbours: point j stays iff it is the
     first or last, or its (pos, neg) counts differ from the next lower
     score's — exactly where the second differences of (fps, tps) are not 0."""
-    cnt = _score_counts(df, label, score, [])
+    cnt = cut_lineage(_score_counts(df, label, score, []))  # read three times: one scan of the source
     # one ranking pass: running sums of the counts and, for the neighbour
     # test, the running max of the score (= the next lower distinct score)
     ranked = running_totals(cnt.withColumn("_sv", F.col(score).cast("double")), [], [score],
@@ -148,16 +155,24 @@ def roc_curve(df: DataFrame, label: str = "y", score: str = "score", drop_interm
 
 
 def model_comparison(metrics: DataFrame, model: str = "model", split: str = "split",
-                     gap_limit: float = S.OVERFIT_GAP) -> DataFrame:
+                     gap_limit: float = S.OVERFIT_GAP, cv: DataFrame | None = None) -> DataFrame:
     """From (model, split, metric…) rows to one row per model and metric
-    with train, test, |train − test| and an overfit flag (> gap_limit)."""
+    with train, test, |train − test| and an overfit flag (> gap_limit).
+    ``cv`` — (model, fold, metric…) rows of out-of-fold predictions — adds the
+    mean over the folds as ``cv`` (NULL without it)."""
     names = [c for c in metrics.columns if c not in (model, split)]
     long = metrics.select(model, split, F.explode(F.array(*[
         F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names
     ])).alias("m")).select(model, split, "m.metric", "m.value")
     wide = long.groupBy(model, "metric").pivot(split, ["train", "test"]).agg(F.first("value"))
     gap = F.abs(F.col("train") - F.col("test"))
-    return wide.withColumn("gap", gap).withColumn("overfit", F.coalesce(gap > gap_limit, F.lit(False)))
+    out = wide.withColumn("gap", gap).withColumn("overfit", F.coalesce(gap > gap_limit, F.lit(False)))
+    if cv is None:
+        return out.withColumn("cv", F.lit(None).cast("double"))
+    means = cv.groupBy(model).agg(*[F.avg(F.col(n).cast("double")).alias(n) for n in names])
+    folds = means.select(model, F.explode(F.array(*[
+        F.struct(F.lit(n).alias("metric"), F.col(n).alias("cv")) for n in names])).alias("m")).select(model, "m.metric", "m.cv")
+    return out.join(folds, [model, "metric"], "left")  # models × metrics rows
 
 
 def best_model(comparison: DataFrame, order: DataFrame, metric: str = "f1_score", model: str = "model") -> DataFrame:

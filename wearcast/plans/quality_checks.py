@@ -147,14 +147,13 @@ _RAW_SPECS = _RAW_SPECS[:5] + [s for c in S.SENSORS for s in _RAW_SPECS[5:] if s
 
 _RAW_GATE_SQL = with_ctes(
     X.READINGS_SQL,
-    "l AS (SELECT " + ", ".join(S.SENSORS) + ", target FROM readings WHERE type = 'L')",
+    "l AS (SELECT * FROM readings WHERE type = 'L')",
     "s AS (SELECT count(*) AS rows, avg(target) AS rate, "
     + " + ".join(f"count_if({c} IS NULL)" for c in [*S.SENSORS, "target"])
     + " AS missing, "
     + ", ".join(f"min({c}) AS min_{c}, max({c}) AS max_{c}" for c in S.SENSORS)
     + " FROM l)",
-    "d AS (SELECT coalesce(sum(n - 1), 0) AS duplicates FROM (SELECT count(*) AS n FROM l GROUP BY "
-    + ", ".join([*S.SENSORS, "target"]) + ") g)",
+    "d AS (SELECT coalesce(sum(n - 1), 0) AS duplicates FROM (SELECT *, count(*) AS n FROM l GROUP BY ALL) g)",
     "sd AS (SELECT * FROM s CROSS JOIN d)",
     body=checks_sql("sd", _RAW_SPECS),
 )
@@ -166,12 +165,11 @@ def _rounded_checks(df: DataFrame) -> DataFrame:
 
 @register("raw_quality_gate", _RAW_GATE_SQL)
 def raw_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l_rows = select_sensors(R.filter_type(X.readings(spark, sf_dir)))
-    return _rounded_checks(Q.raw_quality_gate(l_rows))
+    return _rounded_checks(Q.raw_quality_gate(R.filter_type(X.readings(spark, sf_dir))))
 
 
 # ------------------------------------------------------------- Q9, Q10 ---
-_F5 = S.SENSORS
+_F5 = S.FEATURES
 _FP_STATS = with_ctes(
     X.READINGS_SQL,
     FEATURES_SQL,
