@@ -82,7 +82,9 @@ def assembler(cols: Sequence[str] = S.FEATURES, out: str = VEC, prefix: str = SC
 
 def random_forest(num_trees: int = 100, max_depth: int = 10, min_leaf: int = 2, seed: int = 42,
                   weight_col: str | None = "weight", label: str = S.TARGET) -> RandomForestClassifier:
-    rf = RandomForestClassifier(featuresCol=VEC, labelCol=label, numTrees=num_trees, maxDepth=min(max_depth, 30),
+    if max_depth > 30:
+        raise ValueError("Spark trees have at most 30 levels")
+    rf = RandomForestClassifier(featuresCol=VEC, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
                                 minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed,
                                 maxMemoryInMB=1024, cacheNodeIds=True)
     if weight_col:
@@ -100,14 +102,15 @@ def boosted_trees(max_iter: int = 100, max_depth: int = 6, step: float = 0.1, su
 
 
 def prepare_training(df: DataFrame, partitions: int | None = None, id_col: str = "reading_id") -> DataFrame:
-    """Tree learners depend on row placement: a fixed hash partitioning on
-    the id plus a sort inside partitions makes fits reproducible.  Learners
+    """Tree learners depend on row placement: rows are dealt evenly (copies of
+    one id do not meet in one task; Spark sorts before dealing, so a rerun
+    deals alike) and sorted inside partitions, which makes fits reproducible.  Learners
     scan their input several times, so the prepared rows are written once
     to the shared checkpoint folder (lineage cut, survives executor loss)
     instead of re-running the feature/split plan on every pass."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     if id_col in df.columns:
-        df = df.repartition(n, id_col).sortWithinPartitions(id_col)
+        df = df.repartition(n).sortWithinPartitions(id_col)
     return cut_lineage(df)
 
 
@@ -224,6 +227,29 @@ def random_forest_grid(rf: RandomForestClassifier) -> list:
             .addGrid(rf.minInstancesPerNode, [1, 2]).addGrid(rf.featureSubsetStrategy, ["sqrt"]).build())
 
 
+def kernel_svm_search(train: DataFrame, scaler: Mapping[str, tuple[float, float]], folds: int = S.CV_FOLDS,
+                      n_components: int = 300) -> tuple[Pipeline, list, list[str]]:
+    """(pipeline, grid, setting names) of C ∈ {1, 10} × gamma ∈ {scale, auto};
+    the penalty is scaled to the weights that a fold's training rows have."""
+    d = len(S.FEATURES)
+    var = feature_variance(train, scaler)
+    wsum = train.agg(F.sum("weight")).first()[0] * (folds - 1) / folds
+    base = kernel_svm_pipeline(scaler, 1.0, 1.0 / d, wsum, n_components=n_components)
+    rff, svc = base.getStages()[2], base.getStages()[3]
+    grid, names = [], []
+    for g in ("scale", "auto"):
+        for c in (1.0, 10.0):
+            grid.append({rff.gamma: gamma_value(g, d, var), svc.regParam: 1.0 / (c * wsum)})
+            names.append(f"C={c:g}, gamma={g}")
+    return base, grid, names
+
+
+def best_setting(cv_model) -> dict:
+    """The parameters of the best grid setting."""
+    scores = cv_model.avgMetrics
+    return cv_model.getEstimatorParamMaps()[max(range(len(scores)), key=scores.__getitem__)]
+
+
 def cv_table(cv_model, names: Sequence[str] | None = None) -> DataFrame:
     """(setting, mean_score, std_score) from a fitted CrossValidatorModel;
     std is the population std over folds."""
@@ -290,6 +316,8 @@ def feature_importance(model: PipelineModel, cols: Sequence[str] = S.FEATURES, t
         imp = np.abs(last.coefficients.toArray())
     else:
         raise ValueError("model exposes no importances")
+    if len(imp) != len(cols):
+        raise ValueError(f"the last stage weighs {len(imp)} inputs, not the {len(cols)} features")
     tot = float(imp.sum()) or 1.0
     rows = [(c, float(v), float(v) / tot) for c, v in zip(cols, imp)]
     from pyspark.sql import SparkSession, Window

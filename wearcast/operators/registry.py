@@ -44,11 +44,20 @@ def current_aliases(decisions: DataFrame, name: str = "name", version: str = "ve
     return base.join(prev, name, "left").select(name, "champion", "previous", "candidate")
 
 
+def newest_experiment(runs: DataFrame, experiment: str = "experiment", start: str = "start_time") -> DataFrame:
+    """The runs of the experiment that began last (its first run; ties to the
+    larger name)."""
+    began = runs.groupBy(experiment).agg(F.min(start).alias("_began"))
+    newest = began.agg(F.max(F.struct("_began", experiment)).alias("_m")).select(F.col(f"_m.{experiment}").alias("_newest"))
+    return runs.join(F.broadcast(newest), F.col(experiment) == F.col("_newest")).drop("_newest")  # one row
+
+
 def recent_runs(runs: DataFrame, now: F.Column | None = None, minutes: int = S.RUN_WINDOW_MINUTES,
-                limit: int = S.RUN_LIMIT, start: str = "start_time", run_id: str = "run_id") -> DataFrame:
-    """Runs started in the last ``minutes`` before ``now``, newest first, at
-    most ``limit`` (a top-k, not a full sort).  ``now`` defaults to the
-    newest start time in the table (a scalar subquery)."""
+                limit: int | None = S.RUN_LIMIT, start: str = "start_time", run_id: str = "run_id") -> DataFrame:
+    """Runs started in the last ``minutes`` before ``now``; with ``limit`` the
+    newest of them (the listing: a top-k, not a full sort), without it all
+    (what counts and lookups read).  ``now`` defaults to the newest start time
+    in the table (a scalar subquery)."""
     if now is None:
         latest = runs.agg(F.max(start).alias("_now"))
         base = runs.crossJoin(F.broadcast(latest))  # one row
@@ -57,18 +66,19 @@ def recent_runs(runs: DataFrame, now: F.Column | None = None, minutes: int = S.R
         base = runs.withColumn("_now", now)
         now = F.col("_now")
     recent = base.where(F.col(start) >= now - F.expr(f"INTERVAL {int(minutes)} MINUTES")).drop("_now")
-    return recent.orderBy(F.desc(start), F.desc(run_id)).limit(limit)
+    return recent if limit is None else recent.orderBy(F.desc(start), F.desc(run_id)).limit(limit)
 
 
 def main_run(recent: DataFrame, tag_col: str = "algorithm", tag_value: str = "model_comparison",
-             metrics: tuple[str, ...] = ("f1",), start: str = "start_time") -> DataFrame:
+             metrics: tuple[str, ...] = ("f1",), labels: tuple[str, ...] = (), start: str = "start_time") -> DataFrame:
     """The newest recent run carrying the tag, with its metrics (0 when no
-    such run exists): one row."""
+    such run exists) and text fields (NULL then): one row."""
     hit = recent.where(F.col(tag_col) == tag_value)
-    newest = hit.agg(F.max_by(F.struct("run_id", *metrics), F.struct(start, "run_id")).alias("m"))
+    newest = hit.agg(F.max_by(F.struct("run_id", *metrics, *labels), F.struct(start, "run_id")).alias("m"))
     return newest.select(
         F.col("m.run_id").alias("run_id"),
         *[F.coalesce(F.col(f"m.{m}"), F.lit(0.0)).alias(m) for m in metrics],
+        *[F.col(f"m.{c}").alias(c) for c in labels],
     )
 
 
@@ -77,10 +87,11 @@ def runs_per_algorithm(recent: DataFrame, tag_col: str = "algorithm") -> DataFra
 
 
 def latest_versions(versions: DataFrame, name: str = "name", version: str = "version",
-                    metric: str = "f1") -> DataFrame:
-    return versions.groupBy(name).agg(
-        F.max(version).alias("latest_version"), F.max_by(metric, version).alias(metric)
-    )
+                    metric: str = "f1", fields: tuple[str, ...] = ()) -> DataFrame:
+    """Per model the newest version with its metric and further ``fields``
+    (such as its stage and creation time)."""
+    return versions.groupBy(name).agg(F.max(version).alias("latest_version"),
+                                      *[F.max_by(c, version).alias(c) for c in (metric, *fields)])
 
 
 def serving_version(aliases: DataFrame, name: str = "name") -> DataFrame:
@@ -90,16 +101,17 @@ def serving_version(aliases: DataFrame, name: str = "name") -> DataFrame:
 
 
 def registry_listing(models: DataFrame, versions: DataFrame, aliases: DataFrame, name: str = "name",
-                     version: str = "version") -> DataFrame:
-    """Every model with all its versions and each version's alias; models
-    without versions keep one row with NULLs.
+                     version: str = "version", fields: tuple[str, ...] = ()) -> DataFrame:
+    """Every model with all its versions, their ``fields`` (source, run id,
+    status, tags) and each version's alias; models without versions keep one
+    row with NULLs.
 
     Written as inner join ∪ anti join instead of ``models ⟕ versions``: one
     model may own a third of all versions, and adaptive skew handling can
     split a hot key of an inner join but not of the right side of a left
     outer join.  ``aliases`` has one row per model."""
     v = versions.join(aliases, name, "left").select(
-        name, version, "f1",
+        name, version, "f1", *fields,
         F.when(F.col(version) == F.col("champion"), "champion")
         .when(F.col(version) == F.col("previous"), "previous")
         .when(F.col(version) == F.col("candidate"), "candidate").alias("alias"),
@@ -107,7 +119,8 @@ def registry_listing(models: DataFrame, versions: DataFrame, aliases: DataFrame,
     with_versions = models.join(v, name, "inner")
     without = models.join(versions.select(name).distinct(), name, "left_anti").select(
         "*", F.lit(None).cast(versions.schema[version].dataType).alias(version),
-        F.lit(None).cast(versions.schema["f1"].dataType).alias("f1"), F.lit(None).cast("string").alias("alias"))
+        *[F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in ("f1", *fields)],
+        F.lit(None).cast("string").alias("alias"))
     return with_versions.unionByName(without)
 
 

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.columns import add_metadata
-from ..functions.features import add_features
-from .learn import probabilities
+from .learn import DERIVED, probabilities
 
 
 def batch_score(model: PipelineModel, readings: DataFrame, version: str, stage: str, keep: Sequence[str] = (),
@@ -24,9 +23,9 @@ def batch_score(model: PipelineModel, readings: DataFrame, version: str, stage:
     """features → saved pipeline (scaler + model) → class, probability per
     class, confidence = max probability, model metadata.  Works unchanged
     on a streaming DataFrame."""
-    feats = add_features(readings)
-    pred = probabilities(model.transform(feats))
-    cols = [*keep, *S.FEATURES, "predicted_class", "prob_class_0", "prob_class_1", "confidence"]
+    pred = probabilities(model.transform(readings))
+    own = [F.col(f"{DERIVED}{c}").alias(c) for c in S.DERIVED]  # the pipeline's own features stage
+    cols = [*keep, *S.SENSORS, *own, "predicted_class", "prob_class_0", "prob_class_1", "confidence"]
     return add_metadata(pred.select(*cols), version, stage, with_timestamp)
 
 

@@ -146,7 +146,12 @@ def _model_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     preds = _model_preds(spark, sf_dir)
     mets = E.classification_metrics(preds, by=["model", "split"])
-    return E.model_comparison(mets)
+    folds = _train_folds(spark, sf_dir)
+    held = None
+    for name, t in MODELS:
+        part = folds.select(F.lit(name).alias("model"), "fold", "y", (F.col("score") > t).cast("int").alias("prediction"))
+        held = part if held is None else held.unionByName(part)
+    return E.model_comparison(mets, cv=E.classification_metrics(held, by=["model", "fold"]))
 
 
 _SPLIT_SCORED = split_cte(source="scored", target="y", name="ssplit")
@@ -171,10 +176,30 @@ def _comparison_sql() -> tuple[str, ...]:
             cmp_, cmp2)
 
 
+_FOLDS_SQL = ("folds AS (SELECT *, CAST((row_number() OVER (PARTITION BY y ORDER BY h, reading_id) - 1) % "
+              f"{S.CV_FOLDS} AS INTEGER) AS fold FROM ssplit WHERE split = 'train')")
+
+
+def _cv_sql() -> tuple[str, ...]:
+    """Mean of every metric over the folds, as cvm (model, metric, cv)."""
+    held = " UNION ALL ".join(f"SELECT '{name}' AS model, fold, y, CAST(score > {t!r} AS INTEGER) AS prediction FROM folds"
+                              for name, t in MODELS)
+    cm = ("fcm AS (SELECT model, fold, count_if(y = 0 AND prediction = 0) AS tn, count_if(y = 0 AND prediction = 1) AS fp, "
+          "count_if(y = 1 AND prediction = 0) AS fn, count_if(y = 1 AND prediction = 1) AS tp FROM held GROUP BY model, fold)")
+    chain = _binary_metrics_sql("fcm").replace("pc AS", "fpc AS").replace("pc2 AS", "fpc2 AS").replace(
+        "FROM pc)", "FROM fpc)").replace("FROM pc2)", "FROM fpc2)").replace("bm AS", "fbm AS")
+    long = "flong AS (" + " UNION ALL ".join(
+        f"SELECT model, fold, '{n}' AS metric, {n} AS value FROM (SELECT model, fold, {_METRIC_COLS} FROM fbm)"
+        for n in _METRIC_NAMES) + ")"
+    return (_FOLDS_SQL, f"held AS ({held})", cm, chain, long,
+            "cvm AS (SELECT model, metric, avg(value) AS cv FROM flong GROUP BY model, metric)")
+
+
 @register(
     "model_comparison",
-    with_ctes(*_comparison_sql(), body="SELECT model, metric, round(train, 6) AS train, round(test, 6) AS test, "
-              "round(gap, 6) AS gap, overfit FROM cmp2"),
+    with_ctes(*_comparison_sql(), *_cv_sql(), body="SELECT c.model, c.metric, round(train, 6) AS train, "
+              "round(test, 6) AS test, round(gap, 6) AS gap, overfit, round(cv, 6) AS cv "
+              "FROM cmp2 c JOIN cvm f ON c.model = f.model AND c.metric = f.metric"),
 )
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(comparison(spark, sf_dir))
@@ -210,12 +235,15 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
               "WHERE c.metric = 'f1_score')",
               body=f"SELECT model, round(f1_score, 6) AS f1_score, round(gap, 6) AS gap, overfit, "
               f"f1_score >= {S.PRODUCTION_MIN_F1!r} AS quality_passed, "
-              f"f1_score >= {S.PRODUCTION_MIN_F1!r} AND gap <= {S.PRODUCTION_MAX_GAP!r} AS production_ready "
+              f"f1_score >= {S.PRODUCTION_MIN_F1!r} AND gap <= {S.PRODUCTION_MAX_GAP!r} AS production_ready, "
+              f"CASE WHEN f1_score >= {S.PRODUCTION_MIN_F1!r} THEN format('F1 ok: {{:.4f}}', f1_score) "
+              f"ELSE format('F1 below minimum: {{:.4f}} < {S.PRODUCTION_MIN_F1!r}', f1_score) END || '; ' || "
+              f"CASE WHEN gap <= {S.PRODUCTION_MAX_GAP!r} THEN format('no overfitting: gap {{:.4f}}', gap) "
+              f"ELSE format('possible overfitting: gap {{:.4f}} > {S.PRODUCTION_MAX_GAP!r}', gap) END AS recommendations "
               "FROM b WHERE r = 1"),
 )
 def production_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = G.production_gate(_best(spark, sf_dir))
-    return rounded(out.drop("recommendations"))
+    return rounded(G.production_gate(_best(spark, sf_dir)))
 
 
 # ------------------------------------------------------------- L5, L8 ---
@@ -224,10 +252,6 @@ def _train_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.stratified_folds(sp.where(F.col("split") == "train"), target="y")
 
 
-_FOLDS_SQL = ("folds AS (SELECT *, CAST((row_number() OVER (PARTITION BY y ORDER BY h, reading_id) - 1) % "
-              f"{S.CV_FOLDS} AS INTEGER) AS fold FROM ssplit WHERE split = 'train')")
-
-
 @register(
     "cv_accuracy",
     with_ctes(X.SCORED_SQL, _SPLIT_SCORED, _FOLDS_SQL,
@@ -304,10 +328,11 @@ def current_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "latest_versions",
     with_ctes(X.MODEL_VERSIONS_SQL, body="SELECT name, max(version) AS latest_version, "
-              "arg_max(f1, version) AS f1 FROM model_versions GROUP BY name"),
+              "arg_max(f1, version) AS f1, arg_max(stage, version) AS stage, arg_max(created, version) AS created "
+              "FROM model_versions GROUP BY name"),
 )
 def latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.latest_versions(X.model_versions(spark, sf_dir))
+    return G.latest_versions(X.model_versions(spark, sf_dir), fields=("stage", "created"))
 
 
 @register(
@@ -324,7 +349,7 @@ def serving_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     "registry_listing",
     with_ctes(X.MODEL_VERSIONS_SQL, _DECISIONS_SQL, *_ALIASES_SQL,
               "models AS (SELECT c_custkey AS name, c_name AS model_label FROM customer)",
-              body="SELECT m.name, m.model_label, v.version, v.f1, "
+              body="SELECT m.name, m.model_label, v.version, v.f1, v.source, v.run_id, v.status, v.tags, "
               "CASE WHEN v.version = a.champion THEN 'champion' WHEN v.version = a.previous THEN 'previous' "
               "WHEN v.version = a.candidate THEN 'candidate' END AS alias "
               "FROM models m LEFT JOIN (model_versions v LEFT JOIN aliases a ON v.name = a.name) ON m.name = v.name"),
@@ -334,36 +359,46 @@ def registry_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("name"), F.col("c_name").alias("model_label"))
     versions = X.model_versions(spark, sf_dir)
     aliases = G.current_aliases(G.champion_decisions(versions))
-    out = G.registry_listing(models, versions, aliases)
-    return out.select("name", "model_label", "version", "f1", "alias")
+    fields = ("source", "run_id", "status", "tags")
+    out = G.registry_listing(models, versions, aliases, fields=fields)
+    return out.select("name", "model_label", "version", "f1", *fields, "alias")
 
 
 _RECENT_SQL = (
-    "rr AS (SELECT * FROM runs WHERE start_time >= (SELECT max(start_time) FROM runs) - INTERVAL 600 MINUTE "
-    f"ORDER BY start_time DESC, run_id DESC LIMIT {S.RUN_LIMIT})"
+    "ex AS (SELECT experiment FROM runs GROUP BY experiment ORDER BY min(start_time) DESC, experiment DESC LIMIT 1), "
+    "er AS (SELECT * FROM runs WHERE experiment = (SELECT experiment FROM ex)), "
+    "rr AS (SELECT * FROM er WHERE start_time >= (SELECT max(start_time) FROM er) - INTERVAL 600 MINUTE), "
+    f"listed AS (SELECT * FROM rr ORDER BY start_time DESC, run_id DESC LIMIT {S.RUN_LIMIT})"
 )
 
 
-def _recent(spark, sf_dir):
-    return G.recent_runs(X.runs(spark, sf_dir), minutes=600)
+def _recent(spark, sf_dir, limit=None):
+    """Runs of the newest experiment in its last hours; uncut unless listed."""
+    return G.recent_runs(G.newest_experiment(X.runs(spark, sf_dir)), minutes=600, limit=limit)
 
 
 @register("recent_runs", with_ctes(X.RUNS_SQL, _RECENT_SQL,
-                                   body="SELECT run_id, start_time, algorithm, round(f1, 6) AS f1 FROM rr"))
+                                   body="SELECT run_id, start_time, algorithm, round(f1, 6) AS f1, experiment, status "
+                                   "FROM listed"))
 def recent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_recent(spark, sf_dir))
+    return rounded(_recent(spark, sf_dir, S.RUN_LIMIT).select("run_id", "start_time", "algorithm", "f1", "experiment", "status"))
 
 
 @register(
     "main_run",
     with_ctes(X.RUNS_SQL, _RECENT_SQL,
               "hit AS (SELECT * FROM rr WHERE algorithm = 'purchase' ORDER BY start_time DESC, run_id DESC LIMIT 1)",
-              body="SELECT (SELECT run_id FROM hit) AS run_id, round(coalesce((SELECT f1 FROM hit), 0.0), 6) AS f1"),
+              body="SELECT (SELECT run_id FROM hit) AS run_id, round(coalesce((SELECT f1 FROM hit), 0.0), 6) AS f1, "
+              "round(coalesce((SELECT accuracy FROM hit), 0.0), 6) AS accuracy, "
+              "round(coalesce((SELECT train_test_gap FROM hit), 0.0), 6) AS train_test_gap, "
+              "(SELECT best_model FROM hit) AS best_model, (SELECT run_name FROM hit) AS run_name, "
+              "(SELECT status FROM hit) AS status"),
 )
 def main_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest recent run of the tagged kind ('purchase' events stand in for
-    the comparison runs) with its f1."""
-    return rounded(G.main_run(_recent(spark, sf_dir), tag_value="purchase"))
+    the comparison runs) with its metrics, best model, name and status."""
+    return rounded(G.main_run(_recent(spark, sf_dir), tag_value="purchase", metrics=("f1", "accuracy", "train_test_gap"),
+                              labels=("best_model", "run_name", "status")))
 
 
 @register(

@@ -134,10 +134,16 @@ def write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(back.drop("generated_at"))
 
 
-@register("source_profile")
+_LINEITEM = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+             "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@register("source_profile", "SELECT count(*) AS total_samples, " + f"CAST({len(_LINEITEM)} AS BIGINT)" + " AS n_columns, CAST(" + " + ".join(
+    f"count_if({c} IS NULL)" for c in _LINEITEM) + " AS BIGINT) AS missing_values, true AS has_size FROM lineitem")
 def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, columns, missing cells and input size of a source table."""
-    return sinks.source_profile(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    out = sinks.source_profile(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    return out.select("total_samples", "n_columns", "missing_values", (F.col("file_size_mb") > 0).alias("has_size"))
 
 
 # ------------------------------------------------------------ P1 .. P7 ---
@@ -210,12 +216,11 @@ def select_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     "add_metadata",
     with_ctes(
         X.READINGS_SQL,
-        FEATURES_SQL,
-        body="SELECT reading_id, target, 'v1' AS model_version, 'champion' AS model_stage FROM features",
+        body="SELECT reading_id, target, 'v1' AS model_version, 'champion' AS model_stage FROM readings",
     ),
 )
 def add_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = type_l_features(spark, sf_dir).select("reading_id", "target")
+    f = X.readings(spark, sf_dir).select("reading_id", "target")
     return C.add_metadata(f, "v1", "champion", with_timestamp=False)
 
 
@@ -240,10 +245,10 @@ SELECT reading_id, round(air_temperature, 6) AS air_temperature, round(process_t
        round(torque / (rotational_speed + 1e-6), 9) AS mechanical_stress,
        round(process_temperature / (air_temperature + 1e-6), 9) AS thermal_efficiency,
        round(tool_wear / (rotational_speed + 1e-6), 9) AS wear_per_operation
-FROM readings WHERE type = 'L'""",
+FROM readings""",
     ),
 )
 def features_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = extract_serving_features(R.filter_type(X.readings(spark, sf_dir)), keep=("reading_id",))
+    f = extract_serving_features(X.readings(spark, sf_dir), keep=("reading_id",))
     small = {"mechanical_stress", "thermal_efficiency", "wear_per_operation"}
     return f.select("reading_id", *[F.round(c, 9 if c in small else 6).alias(c) for c in S.FEATURES])

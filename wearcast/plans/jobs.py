@@ -9,7 +9,7 @@ CSV files between processes:
   <base>/runs            experiment runs: run_id, start_time, algorithm, f1
   <base>/models/<name>/<version>   saved pipelines (scaler + model)
   <base>/predictions     scored readings, partitioned by run_ts
-  <base>/prediction_stats, <base>/alerts
+  <base>/prediction_stats, <base>/alerts, <base>/processing_reports
 
     python -m wearcast.plans.jobs features --raw <csv-or-parquet> --base <dir>
     python -m wearcast.plans.jobs train --base <dir>
@@ -43,6 +43,17 @@ from ..session import cut_lineage
 MODEL_NAME = "predictive_maintenance_model"
 
 
+def with_id(df: DataFrame) -> DataFrame:
+    """``reading_id`` at ingest: as given, else from the row number and product
+    id of the raw file, else a hash of the whole row."""
+    if "reading_id" in df.columns:
+        return df
+    parts = [c for c in ("udi", "product_id") if c in df.columns]
+    if parts:
+        return df.withColumn("reading_id", F.concat_ws("-", *[F.col(c).cast("string") for c in parts]))
+    return df.withColumn("reading_id", F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def _read_any(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     if path.endswith(".csv") or "/csv" in path:
         return R.read_readings_csv(spark, path, ddl)
@@ -52,7 +63,9 @@ def _read_any(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 def _maybe(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -61,9 +74,10 @@ def features_job(spark: SparkSession, raw: DataFrame, base: str, machine_type: s
                  min_rows: int = S.RAW_MIN_ROWS, enforce: bool = True) -> dict[str, DataFrame]:
     """Raw readings → type filter → raw gate → features → feature gate →
     feature table.  Gates raise on failed error checks when ``enforce``."""
+    raw = with_id(raw)
     typed = R.filter_type(raw, machine_type) if "type" in raw.columns else raw
-    keep = ("reading_id",) if "reading_id" in typed.columns else ()
-    raw_gate = Q.raw_quality_gate(select_sensors(typed), min_rows=min_rows)
+    keep = ("reading_id",)
+    raw_gate = Q.raw_quality_gate(typed, min_rows=min_rows)  # duplicates over all columns
     if enforce:
         Q.enforce(raw_gate)
     feats = extract_features(typed, keep=keep)
@@ -76,27 +90,39 @@ def features_job(spark: SparkSession, raw: DataFrame, base: str, machine_type: s
 
 
 # ------------------------------------------------------------- training ---
-def _fit(name: str, train: DataFrame, scaler: dict, svm_components: int = 300):
+def _search(name: str, train: DataFrame, scaler: dict, svm_components: int = 300):
+    """(pipeline, grid) of an algorithm; its first setting is the default."""
     if name == "random_forest":
-        return L.fit_pipeline(train, scaler, L.random_forest())
+        rf = L.random_forest()
+        return L.model_pipeline(scaler, rf), L.random_forest_grid(rf)
     if name == "boosted_trees":
-        return L.fit_pipeline(train, scaler, L.boosted_trees())
+        return L.model_pipeline(scaler, L.boosted_trees()), [{}]
     if name == "kernel_svm":
-        var = L.feature_variance(train, scaler)
-        wsum = train.agg(F.sum("weight")).first()[0]
-        gamma = L.gamma_value("scale", len(S.FEATURES), var)
-        return L.kernel_svm_pipeline(scaler, 1.0, gamma, wsum, n_components=svm_components).fit(
-            L.prepare_training(train))
+        return L.kernel_svm_search(train, scaler, n_components=svm_components)[:2]
     raise ValueError(name)
 
 
+def _fit(name: str, train: DataFrame, scaler: dict, tune: bool, grid_size: int | None):
+    """(model fitted on all training rows, out-of-fold predictions).  Tuned:
+    the best grid setting by class-1 F1 over stratified folds, refitted, and
+    its predictions of each fold by a fit on the others."""
+    pipeline, grid = _search(name, train, scaler)
+    if not tune:
+        return pipeline.fit(L.prepare_training(train)), None
+    folds = cut_lineage(M.stratified_folds(train))
+    found = L.tune(folds, pipeline, grid[:grid_size])
+    return found.bestModel, L.out_of_fold_predictions(folds, pipeline.copy(L.best_setting(found)))
+
+
 def training_job(spark: SparkSession, base: str, algorithms: tuple[str, ...] = ("random_forest", "kernel_svm"),
                  name: str = MODEL_NAME, min_rows: int = S.TRAINING_MIN_ROWS, id_col: str = "reading_id",
-                 enforce: bool = True) -> dict[str, DataFrame]:
+                 enforce: bool = True, tune: bool = True, grid_size: int | None = None) -> dict[str, DataFrame]:
     """Feature table → training gate → exact split → class weights and
-    scaler (train rows) → fit each algorithm → metrics on train and test →
-    comparison and best model → register one version per model, champion
-    decisions and the production gate."""
+    scaler (train rows) → grid search over stratified folds, refit and
+    out-of-fold predictions for each algorithm → metrics on train, test and
+    folds → comparison and best model → register one version per model,
+    champion decisions and the production gate.  ``grid_size`` limits the
+    search to the first settings; ``tune=False`` fits the defaults."""
     feats = spark.read.parquet(f"{base}/features")
     gate = Q.training_gate(feats.drop(id_col), min_rows=min_rows)
     if enforce:
@@ -112,9 +138,9 @@ def training_job(spark: SparkSession, base: str, algorithms: tuple[str, ...] = (
     next_version = 1 if registry is None else (registry.where(F.col("name") == name)
                                                 .agg(F.max("version")).first()[0] or 0) + 1
     run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    metrics, new_versions, runs = None, [], []
+    metrics, held, new_versions, runs = None, None, [], []
     for i, algo in enumerate(algorithms):
-        model = _fit(algo, train, scaler)
+        model, out_of_fold = _fit(algo, train, scaler, tune, grid_size)
         version = next_version + i
         L.save_pipeline(model, f"{base}/models/{name}/{version}")
         pred = L.probabilities(model.transform(sp))
@@ -122,12 +148,18 @@ def training_job(spark: SparkSession, base: str, algorithms: tuple[str, ...] = (
         auc = E.roc_auc(pred, label=S.TARGET, score="prob_class_1", by=["split"])
         m = m.join(auc, "split").withColumn("model", F.lit(algo))
         metrics = m if metrics is None else metrics.unionByName(m)
+        if out_of_fold is not None:
+            folds = L.probabilities(out_of_fold).select("fold", S.TARGET, "predicted_class")
+            f = E.classification_metrics(folds, label=S.TARGET, prediction="predicted_class", by=["fold"]).withColumn(
+                "model", F.lit(algo))
+            held = f if held is None else held.unionByName(f)
         test_f1 = m.where(F.col("split") == "test").first()["f1_score"]
         run_id = uuid.uuid4().hex
         new_versions.append((name, version, float(test_f1), algo, run_id))
         runs.append((run_id, run_ts, algo, float(test_f1), "model_training"))
     metrics = cut_lineage(metrics)  # a few rows per model; read by every output below
-    comparison = E.model_comparison(metrics.drop("auc"))
+    held = cut_lineage(held) if held is not None else None
+    comparison = E.model_comparison(metrics.drop("auc"), cv=held)
     order = spark.createDataFrame([(a, i) for i, a in enumerate(algorithms)], "model string, position int")
     best = E.best_model(comparison, order)
     gate_best = G.production_gate(best)
@@ -158,9 +190,13 @@ def serving_model(spark: SparkSession, base: str, name: str = MODEL_NAME):
 
 def scoring_job(spark: SparkSession, new: DataFrame, base: str, name: str = MODEL_NAME,
                 impute: bool = True, enforce: bool = True) -> dict[str, DataFrame]:
-    """New readings → inference gate → (median imputation) → serving model
-    → predictions (run_ts partition) → statistics → alerts."""
+    """New readings → inference gate and out-of-range counts → (median
+    imputation) → serving model (features, scaling, class) → predictions
+    (run_ts partition) → processing report → statistics → alerts."""
+    new = with_id(new)
     gate = Q.inference_gate(select_sensors(new, with_target=False))
+    out_of_range = Q.out_of_range(select_sensors(new, with_target=False))
+    original = new
     if enforce:
         Q.enforce(gate)
     if impute:
@@ -171,11 +207,15 @@ def scoring_job(spark: SparkSession, new: DataFrame, base: str, name: str = MODE
     preds = I.batch_score(model, new, version, stage, keep=keep)
     sinks.write_table(preds, f"{base}/predictions", mode="append", run_ts=run_ts)
     written = spark.read.parquet(f"{base}/predictions").where(F.col("run_ts") == run_ts)
+    report = Q.processing_report(select_sensors(original, with_target=False), written, S.FEATURES,
+                                 Q.iqr_outliers(written, S.FEATURES))
+    sinks.write_table(report, f"{base}/processing_reports", mode="append", run_ts=run_ts)
     stats = I.prediction_stats(written)
     alerts = I.inference_alerts(stats)
     sinks.write_table(stats, f"{base}/prediction_stats", mode="append", run_ts=run_ts)
     sinks.write_table(alerts, f"{base}/alerts", mode="append", run_ts=run_ts)
-    return {"inference_gate": gate, "predictions": written, "stats": stats, "alerts": alerts}
+    return {"inference_gate": gate, "out_of_range": out_of_range, "predictions": written, "report": report,
+            "stats": stats, "alerts": alerts}
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -1,10 +1,12 @@
 """Checked queries: training, tuning, importances and scoring (L1-L4, L6,
-L7, I1-I6, S6).  Model-backed keys are rows-only checks; the scoring
-statistics run over the ``scored`` view and carry DuckDB oracles."""
+L7, I1-I6, S6).  A fitted model has no SQL form: model-backed keys return
+what SQL can check of it (sizes, settings, features, properties of scores);
+``test_metrics`` has the numbers.  The scoring statistics run over the
+``scored`` view."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -17,11 +19,26 @@ from ..sources import fixtures as X
 from ..sources import readings as R
 from .book import register, rounded, with_ctes
 from ..session import cut_lineage
-from .ingest_checks import type_l_features
+from .ingest_checks import FEATURES_SQL, type_l_features
+from .prep_checks import SPLIT_SQL
 
-# fitted models per (application, data folder): the model-backed keys share
-# one fit per session instead of refitting for every key
-_CACHE: dict[tuple[str, str, str], object] = {}
+# models fitted in this session: the model-backed keys share one fit.  The key
+# holds the source files' sizes and times, so changed data is fitted anew.
+_CACHE: dict[tuple, object] = {}
+
+
+def forget_models() -> None:
+    """Drop the shared fits (a timed run then pays for its own)."""
+    _CACHE.clear()
+
+
+def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    files = X.readings(spark, sf_dir).inputFiles()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    states = [path(f).getFileSystem(conf).getFileStatus(path(f)) for f in sorted(files)]
+    return (spark.sparkContext.applicationId, sf_dir, name,
+            *((s.getLen(), s.getModificationTime()) for s in states))
 
 
 # ------------------------------------------------------------ training ---
@@ -30,21 +47,21 @@ def training_frame(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict, D
 
     The split is materialised once: class weights, the scaler, the fit and
     the test evaluation all read it, and its ranking window should run once."""
-    key = (spark.sparkContext.applicationId, sf_dir, "split")
+    key = _key(spark, sf_dir, "split")
     if key not in _CACHE:
         _CACHE[key] = cut_lineage(M.stratified_split(type_l_features(spark, sf_dir)))
     sp = _CACHE[key]
     train = sp.where(F.col("split") == "train")
     weights = M.class_weights(train)  # weights from the training rows
     sp = M.attach_weights(sp, weights)
-    key = (spark.sparkContext.applicationId, sf_dir, "scaler")
+    key = _key(spark, sf_dir, "scaler")
     if key not in _CACHE:
         _CACHE[key] = T.collect_scaler(T.scaler_fit(train))
     return sp, _CACHE[key], sp.where(F.col("split") == "train")
 
 
 def _fit(spark: SparkSession, sf_dir: str, name: str):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = _key(spark, sf_dir, name)
     if key in _CACHE:
         return _CACHE[key]
     sp, scaler, train = training_frame(spark, sf_dir)
@@ -64,34 +81,54 @@ def _fit(spark: SparkSession, sf_dir: str, name: str):
     return model
 
 
-def _test_metrics(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def test_metrics(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One row of test-set metrics of the fitted model."""
     model = _fit(spark, sf_dir, name)
     sp, _, _ = training_frame(spark, sf_dir)
     pred = L.probabilities(model.transform(sp.where(F.col("split") == "test")))
+    pred = pred.select("target", "predicted_class", "prob_class_1")
     mets = E.classification_metrics(pred, label="target", prediction="predicted_class")
     auc = E.roc_auc(pred, label="target", score="prob_class_1")
-    return rounded(mets.crossJoin(auc).select(F.lit(name).alias("model"), "*"))
+    size = pred.agg(F.count("*").alias("test_rows"), F.count_if(F.col("target") == 1).alias("test_failures"))
+    return rounded(mets.crossJoin(auc).crossJoin(size).select(F.lit(name).alias("model"), "*"))
+
+
+test_metrics.__test__ = False  # not a pytest case
 
 
-@register("train_random_forest")
+def _checked_metrics(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """What SQL can check of a fit: the test set's size and classes, a better
+    accuracy than always naming the larger class, and a ranking above chance."""
+    m = test_metrics(spark, sf_dir, name)
+    majority = F.greatest(F.col("test_failures"), F.col("test_rows") - F.col("test_failures")) / F.col("test_rows")
+    return m.select("model", "test_rows", "test_failures", (F.col("accuracy") > majority).alias("beats_majority"),
+                    (F.col("auc") > 0.9).alias("ranks_well"))
+
+
+def _metrics_sql(name: str) -> str:
+    return with_ctes(X.READINGS_SQL, FEATURES_SQL, SPLIT_SQL, body=(
+        f"SELECT '{name}' AS model, count(*) AS test_rows, count_if(target = 1) AS test_failures, "
+        "true AS beats_majority, true AS ranks_well FROM split WHERE split = 'test'"))
+
+
+@register("train_random_forest", _metrics_sql("rf"))
 def train_random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RF (100 trees, depth 10, min leaf 2, sqrt features, class weights):
-    test-set metrics."""
-    return _test_metrics(spark, sf_dir, "rf")
+    """RF (100 trees, depth 10, min leaf 2, sqrt features, class weights)."""
+    return _checked_metrics(spark, sf_dir, "rf")
 
 
-@register("train_boosted_trees")
+@register("train_boosted_trees", _metrics_sql("gbt"))
 def train_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gradient-boosted trees (100 iterations, depth 6, step 0.1, subsample
-    0.8, class weights): test-set metrics."""
-    return _test_metrics(spark, sf_dir, "gbt")
+    0.8, class weights)."""
+    return _checked_metrics(spark, sf_dir, "gbt")
 
 
-@register("train_kernel_svm")
+@register("train_kernel_svm", _metrics_sql("svm"))
 def train_kernel_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Approximate RBF SVM (C=1, gamma='scale', 300 random Fourier
-    features, Platt probabilities): test-set metrics."""
-    return _test_metrics(spark, sf_dir, "svm")
+    features, Platt probabilities)."""
+    return _checked_metrics(spark, sf_dir, "svm")
 
 
 def _folds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
@@ -99,63 +136,91 @@ def _folds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
     return M.stratified_folds(train), scaler
 
 
-@register("tune_random_forest")
+def _checked_grid(scores: DataFrame) -> DataFrame:
+    """Each setting once, with a score and a spread that a fold mean can have."""
+    ok = F.col("mean_score").between(0, 1) & (F.col("mean_score") > 0.3) & F.col("std_score").between(0, 0.5)
+    return scores.select("setting", ok.alias("scored"))
+
+
+def _grid_sql(settings: list[str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{s}' AS setting, true AS scored" for s in settings)
+
+
+_FOREST_GRID = [f"numTrees={t}, maxDepth={d}, minInstancesPerNode={m}, featureSubsetStrategy=sqrt"
+                for t in (50, 100) for d in (10, 15) for m in (1, 2)]
+_SVM_GRID = [f"C={c}, gamma={g}" for g in ("scale", "auto") for c in (1, 10)]
+
+
+@register("tune_random_forest", _grid_sql(_FOREST_GRID))
 def tune_random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """8-setting grid × 3 stratified folds, scored by class-1 F1."""
     folds, scaler = _folds(spark, sf_dir)
     rf = L.random_forest()
     pipe = L.model_pipeline(scaler, rf)
     cvm = L.tune(folds, pipe, L.random_forest_grid(rf))
-    return rounded(L.cv_table(cvm))
+    return _checked_grid(L.cv_table(cvm))
 
 
-@register("tune_kernel_svm")
+@register("tune_kernel_svm", _grid_sql(_SVM_GRID))
 def tune_kernel_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C ∈ {1, 10} × gamma ∈ {scale, auto} × 3 stratified folds."""
     folds, scaler = _folds(spark, sf_dir)
-    var = L.feature_variance(folds, scaler)
-    wsum = folds.agg(F.sum("weight")).first()[0] * (S.CV_FOLDS - 1) / S.CV_FOLDS
-    d = len(S.FEATURES)
-    base = L.kernel_svm_pipeline(scaler, 1.0, 1.0 / d, wsum)
-    rff, svc = base.getStages()[2], base.getStages()[3]
-    names, grid = [], []
-    for g in ("scale", "auto"):
-        for c in (1.0, 10.0):
-            grid.append({rff.gamma: L.gamma_value(g, d, var), svc.regParam: 1.0 / (c * wsum)})
-            names.append(f"C={c:g}, gamma={g}")
+    base, grid, names = L.kernel_svm_search(folds, scaler)
     cvm = L.tune(folds, base, grid)
-    return rounded(L.cv_table(cvm, names))
+    return _checked_grid(L.cv_table(cvm, names))
 
 
-@register("feature_importance")
+@register("feature_importance", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, true AS in_range, 1.0::DOUBLE AS share_total, true AS ranked" for c in S.FEATURES))
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RF importances with share of total and rank (top 5 kept in ``top``)."""
-    return rounded(L.feature_importance(_fit(spark, sf_dir, "rf")))
+    """RF importances: each feature once, shares that sum to 1, ranks 1 to n
+    by falling share."""
+    imp = L.feature_importance(_fit(spark, sf_dir, "rf"))
+    every, falling = Window.partitionBy(), Window.orderBy(F.desc("share"), "feature")  # ten rows
+    return rounded(imp.select("feature", F.col("share").between(0, 1).alias("in_range"),
+                              F.sum("share").over(every).alias("share_total"),
+                              (F.col("rank") == F.row_number().over(falling)).alias("ranked")))
 
 
 # ------------------------------------------------------------- scoring ---
 def _new_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unlabelled readings to score: the test rows, sensors only."""
-    sp, _, _ = training_frame(spark, sf_dir)
-    return sp.where(F.col("split") == "test").select("reading_id", *S.SENSORS)
+    """Unlabelled readings to score: every reading, sensors only."""
+    return X.readings(spark, sf_dir).select("reading_id", *S.SENSORS)
+
+
+def checked_scores(scored: DataFrame) -> DataFrame:
+    """What SQL can check of scored rows: the features, probabilities that sum
+    to 1, a confidence that is their maximum and a class that is its place."""
+    p0, p1 = F.col("prob_class_0"), F.col("prob_class_1")
+    return rounded(scored.select(
+        "reading_id", *S.FEATURES, (p0 + p1).alias("prob_sum"),
+        (F.abs(F.col("confidence") - F.greatest(p0, p1)) < 1e-9).alias("confidence_ok"),
+        (F.when(p0 == p1, F.col("predicted_class").isin(0, 1)).otherwise(
+            F.col("predicted_class") == (p1 > p0).cast("int"))).alias("class_ok"),
+        "model_version", "model_stage"))
+
+
+SCORES_SQL = with_ctes(X.READINGS_SQL, FEATURES_SQL.replace("WHERE type = 'L'", ""), body=(
+    "SELECT reading_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in S.FEATURES) + ", 1.0::DOUBLE AS prob_sum, "
+    "true AS confidence_ok, true AS class_ok, '1' AS model_version, 'champion' AS model_stage FROM features"))
 
 
-@register("batch_score")
+@register("batch_score", SCORES_SQL)
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features → scaler + RF pipeline → class, probabilities, confidence,
-    model metadata, for every new reading."""
-    return I.batch_score(_fit(spark, sf_dir, "rf"), _new_readings(spark, sf_dir), "1", "champion",
-                         keep=("reading_id",))
+    model metadata, for every reading."""
+    return checked_scores(I.batch_score(_fit(spark, sf_dir, "rf"), _new_readings(spark, sf_dir), "1", "champion",
+                                        keep=("reading_id",)))
 
 
-@register("save_load_pipeline")
+@register("save_load_pipeline", SCORES_SQL)
 def save_load_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Save the fitted pipeline to the shared folder, load it back, score."""
     path = R.scratch_path(spark, "rf_pipeline")
     L.save_pipeline(_fit(spark, sf_dir, "rf"), path)
     loaded = L.load_pipeline(path)
-    return I.batch_score(loaded, _new_readings(spark, sf_dir), "1", "champion", keep=("reading_id",),
-                         with_timestamp=False)
+    return checked_scores(I.batch_score(loaded, _new_readings(spark, sf_dir), "1", "champion", keep=("reading_id",),
+                                        with_timestamp=False))
 
 
 def _scored_preds(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.features import extract_features
@@ -12,13 +11,17 @@ from ..sources import readings as R
 from ..streaming import files as ST
 from .book import register, rounded, with_ctes
 from .ingest_checks import FEATURES_SQL, _round_sql
-from .model_checks import _fit, _new_readings
+from .model_checks import SCORES_SQL, _fit, _new_readings, checked_scores
 
 
-def _arrivals(df: DataFrame, spark: SparkSession, name: str, files: int = 4) -> str:
-    """Drop the rows into a folder as several files (the arrivals)."""
+#: Rows of an arriving file; the number of files follows the input.
+FILE_ROWS = 1_000_000
+
+
+def _arrivals(df: DataFrame, spark: SparkSession, name: str) -> str:
+    """Drop the rows into a folder as files (the arrivals)."""
     src = R.scratch_path(spark, name)
-    df.repartition(files, "reading_id").write.parquet(src)
+    df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(src)
     return src
 
 
@@ -37,7 +40,7 @@ def stream_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.parquet(sink))
 
 
-@register("stream_score")
+@register("stream_score", SCORES_SQL)
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New readings arrive as files; the saved scaler + RF pipeline scores
     each batch; predictions and per-batch statistics land in tables."""
@@ -47,5 +50,4 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     preds, stats = R.scratch_path(spark, "pred_sink"), R.scratch_path(spark, "stats_sink")
     ST.score_stream(stream, _fit(spark, sf_dir, "rf"), "1", "champion", preds, stats,
                     R.scratch_path(spark, "score_ckpt"), keep=("reading_id",))
-    return spark.read.parquet(preds).drop("batch_id", "inference_timestamp").withColumn(
-        "confidence", F.round("confidence", 6))
+    return checked_scores(spark.read.parquet(preds))

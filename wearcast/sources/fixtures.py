@@ -122,6 +122,12 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("start_time"),
         F.col("event_type").alias("algorithm"),
         (F.col("value") / 500).alias("f1"),
+        (F.col("value") / 400).alias("accuracy"),
+        (F.col("user_id") % 20 / 100).alias("train_test_gap"),
+        F.date_format("ts", "yyyyMMdd").alias("experiment"),
+        F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("run_name"),
+        F.when(F.col("event_type") == "error", "FAILED").otherwise("FINISHED").alias("status"),
+        F.concat(F.lit("model_"), (F.col("user_id") % 3).cast("string")).alias("best_model"),
     )
 
 
@@ -132,6 +138,13 @@ def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("name"),
         F.col("o_orderkey").alias("version"),
         (F.col("o_totalprice") / 500000).alias("f1"),
+        F.when(F.col("o_orderstatus") == "F", "Production").when(F.col("o_orderstatus") == "O", "Staging").otherwise(
+            "None").alias("stage"),
+        F.col("o_orderdate").alias("created"),
+        F.concat(F.lit("models/"), F.col("o_orderkey").cast("string")).alias("source"),
+        F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("run_id"),
+        F.lit("READY").alias("status"),
+        F.concat(F.lit("priority="), F.col("o_orderpriority")).alias("tags"),
     )
 
 
@@ -222,11 +235,17 @@ scored AS (
 
 RUNS_SQL = """
 runs AS (
-  SELECT event_id AS run_id, ts AS start_time, event_type AS algorithm, value / 500 AS f1
+  SELECT event_id AS run_id, ts AS start_time, event_type AS algorithm, value / 500 AS f1, value / 400 AS accuracy,
+         CAST(user_id % 20 AS DOUBLE) / 100 AS train_test_gap, strftime(ts, '%Y%m%d') AS experiment,
+         'run_' || user_id AS run_name, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'FINISHED' END AS status,
+         'model_' || (user_id % 3) AS best_model
   FROM events
 )"""
 
 MODEL_VERSIONS_SQL = """
 model_versions AS (
-  SELECT o_custkey AS name, o_orderkey AS version, o_totalprice / 500000 AS f1 FROM orders
+  SELECT o_custkey AS name, o_orderkey AS version, o_totalprice / 500000 AS f1,
+         CASE o_orderstatus WHEN 'F' THEN 'Production' WHEN 'O' THEN 'Staging' ELSE 'None' END AS stage,
+         o_orderdate AS created, 'models/' || o_orderkey AS source, 'r' || o_orderkey AS run_id, 'READY' AS status,
+         'priority=' || o_orderpriority AS tags FROM orders
 )"""

@@ -64,7 +64,9 @@ def type_partition(df: DataFrame, path: str, machine_type: str = "L") -> DataFra
     spark = df.sparkSession
     try:
         table = spark.read.parquet(path)
-    except AnalysisException:  # not written yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         write_type_partitioned(df, path)
         table = spark.read.parquet(path)
     return filter_type(table, machine_type)

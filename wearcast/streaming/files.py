@@ -32,13 +32,23 @@ def file_stream(spark: SparkSession, src_dir: str, schema: str, fmt: str = "parq
     return r.load(src_dir)
 
 
+def _finished(q: StreamingQuery, timeout_s: int | None) -> StreamingQuery:
+    """The query once it has ended; one still active at the timeout is
+    stopped and raises, as its sink holds only a part of the files."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"the stream did not finish within {timeout_s} s")
+    return q
+
+
 def run_available_now(stream: DataFrame, sink_dir: str, checkpoint_dir: str, fmt: str = "parquet",
                       timeout_s: int | None = None) -> StreamingQuery:
     """Append the stream's rows to ``sink_dir`` for every new file, then stop."""
     q = (stream.writeStream.format(fmt).option("path", sink_dir).option("checkpointLocation", checkpoint_dir)
          .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    return q
+    return _finished(q, timeout_s)
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -63,5 +73,4 @@ def score_stream(stream: DataFrame, model: PipelineModel, version: str, stage: s
 
     q = (scored.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    return q
+    return _finished(q, timeout_s)
