@@ -18,10 +18,15 @@ def base(text):
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(cover))
 
 
+def pair(a, b):
+    """Hash of two 64-bit words, the first one's hash seeding the second's."""
+    return xxhash.xxh64_intdigest(b.to_bytes(8, "little"), xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42))
+
+
 def grams(text):
     w = [x.encode() for x in WORD.findall(text or "")]
     one = [xxhash.xxh64_intdigest(x, 42) for x in w]
-    two = [xxhash.xxh64_intdigest(b, h) for h, b in zip(one, w[1:])]
+    two = [pair(a, b) for a, b in zip(one, one[1:])]
     return [h & (Q.BUCKETS - 1) for h in one + two]
 
 

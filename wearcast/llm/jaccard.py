@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .book import query
-from .common import U64, Words, blocks, cut, distinct_sets, mix, raw_text, segment_sum, shingles, table
+from .common import U64, Words, blocks, cut, distinct_sets, drop_cut, mix, raw_text, segment_sum, shingles, table
 from .graph import components
 
 SHINGLE, PERCENT = 5, 80
@@ -237,8 +237,8 @@ def similarity_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     hub = F.first("doc_id").over(Window.partitionBy("sig").orderBy("doc_id"))
     near = cut(left.select(F.col("doc_id").alias("a"), hub.alias("b")).where("a <> b").distinct())
     rep = mapped.select("doc_id", "rep").distinct()
-    near = near.join(rep.toDF("a", "ra"), "a").join(rep.toDF("b", "rb"), "b").where("ra <> rb")
-    groups = cut(components(near.select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
+    named = near.join(rep.toDF("a", "ra"), "a").join(rep.toDF("b", "rb"), "b").where("ra <> rb")
+    groups = cut(components(named.select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
 
     members = groups.join(mapped.where("doc_id = rep").select(F.col("rep").alias("node"), "n", "copies").distinct(), "node")
     total = members.groupBy("component").agg(F.sum("n").alias("total"))
@@ -263,6 +263,8 @@ def similarity_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
         "block", "text")
     linked = cut(units.groupBy(
         "component", "i", "j").applyInPandas(verify, "a long, b long, links long"))
+    for done in (near, groups, placed):
+        drop_cut(done)
     classes = components(linked.select("a", "b"))
     degree = linked.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     named = classes.withColumnRenamed("node", "rep").join(degree, "rep", "left")

@@ -21,8 +21,8 @@ from .common import table
 BUCKETS = 1 << 14
 SMOOTHING = 1.0
 THRESHOLD = -0.07
-#: Trusted ids up to this count (16 bytes each) are broadcast; more are joined by shuffle.
-BROADCAST_IDS = 2_000_000
+#: Trusted ids up to this count (80 bytes each) are broadcast; more are joined by shuffle.
+BROADCAST_IDS = 500_000
 _GAP = "\x20\x09\x0a\x0b\x0c\x0d"
 _SYMBOLS = "#*$%&|<>"
 
@@ -38,25 +38,30 @@ def _bound(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def ngram_buckets(words: Column) -> Column:
-    """Hash buckets of a text's unigrams and bigrams."""
+def word_hashes(words: Column) -> Column:
+    """64-bit hashes of the words: longer grams hash these, not the strings."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def ngram_buckets(hashes: Column) -> Column:
+    """Hash buckets of a text's unigrams and bigrams, from its word hashes."""
     mask = F.lit(BUCKETS - 1).cast("long")
 
-    def both(ws: Column) -> Column:
-        one = F.transform(ws, lambda w: F.xxhash64(w).bitwiseAND(mask).cast("int"))
-        two = F.transform(F.slice(ws, 1, F.greatest(F.size(ws) - 1, F.lit(0))),
-                          lambda w, i: F.xxhash64(w, F.get(ws, i + 1)).bitwiseAND(mask).cast("int"))
+    def both(hs: Column) -> Column:
+        one = F.transform(hs, lambda h: h.bitwiseAND(mask).cast("int"))
+        two = F.transform(F.slice(hs, 1, F.greatest(F.size(hs) - 1, F.lit(0))),
+                          lambda h, i: F.xxhash64(h, F.get(hs, i + 1)).bitwiseAND(mask).cast("int"))
         return F.concat(one, two)
 
-    return _bound(words, both)
+    return _bound(hashes, both)
 
 
-def repeated_words(words: Column) -> Column:
+def repeated_words(hashes: Column) -> Column:
     """Words covered by 3-word windows that occur at least twice in the text."""
 
-    def windows(ws: Column) -> Column:
-        return F.transform(F.slice(ws, 1, F.greatest(F.size(ws) - 2, F.lit(0))),
-                           lambda w, i: F.xxhash64(w, F.get(ws, i + 1), F.get(ws, i + 2)))
+    def windows(hs: Column) -> Column:
+        return F.transform(F.slice(hs, 1, F.greatest(F.size(hs) - 2, F.lit(0))),
+                           lambda h, i: F.xxhash64(h, F.get(hs, i + 1), F.get(hs, i + 2)))
 
     def starts(s: Column) -> Column:
         same = lambda x, j: F.coalesce(F.get(s, j)["h"] == x["h"], F.lit(False))
@@ -71,17 +76,17 @@ def repeated_words(words: Column) -> Column:
         return F.when(F.size(F.array_distinct(h)) < F.size(h), _bound(_bound(pairs, starts), covered)).otherwise(
             F.lit(0).cast("long"))
 
-    return F.coalesce(_bound(_bound(words, windows), count), F.lit(0).cast("long"))
+    return F.coalesce(_bound(_bound(hashes, windows), count), F.lit(0).cast("long"))
 
 
-def base_counts(text: Column, words: Column) -> dict[str, Column]:
+def base_counts(text: Column, hashes: Column) -> dict[str, Column]:
     lines = F.filter(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(_GAP)) != "")
     return {
-        "n_words": F.size(words).cast("long"),
+        "n_words": F.size(hashes).cast("long"),
         "word_chars": F.length(F.translate(text, _GAP, "")).cast("long"),
         "n_symbols": (F.length(text) - F.length(F.translate(text, _SYMBOLS, ""))).cast("long"),
         "n_dup_lines": _bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": repeated_words(words),
+        "n_repeat_words": repeated_words(hashes),
     }
 
 
@@ -96,7 +101,7 @@ def ngram_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
         trusted = F.broadcast(trusted)
     text = F.coalesce("text", F.lit(""))
     grams = docs.join(trusted, docs["doc_id"] == F.col("_good"), "left").select(
-        F.col("_good").isNotNull().cast("long").alias("t"), F.explode(ngram_buckets(words_of(text))).alias("b"))
+        F.col("_good").isNotNull().cast("long").alias("t"), F.explode(ngram_buckets(word_hashes(words_of(text)))).alias("b"))
     counted = grams.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
     total = counted.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("n_raw"),
                         F.coalesce(F.sum("target"), F.lit(0)).alias("n_target"))
@@ -117,9 +122,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     weights = ngram_weights(docs, labels).first()["weights"]
     text = F.coalesce("text", F.lit(""))
-    worded = docs.select("doc_id", text.alias("text"), words_of(text).alias("words"))
-    counted = worded.select("doc_id", *[c.alias(k) for k, c in base_counts(F.col("text"), F.col("words")).items()],
-                            ngram_buckets(F.col("words")).alias("grams"))
+    worded = docs.select("doc_id", text.alias("text"), word_hashes(words_of(text)).alias("hashes"))
+    counted = worded.select("doc_id", *[c.alias(k) for k, c in base_counts(F.col("text"), F.col("hashes")).items()],
+                            ngram_buckets(F.col("hashes")).alias("grams"))
     lookup = F.from_json(F.lit(json.dumps(weights)), "array<double>")  # folded to one literal
     total = F.aggregate("grams", F.lit(0.0), lambda acc, g: acc + F.get(lookup, g))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .book import query
-from .common import U64, _VALUES, _tables, blocks, cut, mix, raw_text, table
+from .common import U64, _VALUES, _tables, blocks, cut, drop_cut, mix, raw_text, table
 
 LENGTH, ANCHOR = 100, 40
 MOST_CONTEXTS = 4000
@@ -223,9 +223,9 @@ def _beside(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(lists) if size <= BROADCAST_BYTES else lists, ["doc_id", "th"], how)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, most: int = MOST_CONTEXTS) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, most: int = MOST_CONTEXTS) -> tuple[DataFrame, list[DataFrame]]:
     """(doc_id, th, first, last): runs of starts of repeated strings, of
-    ``docs`` with doc_id, th and text."""
+    ``docs`` with doc_id, th and text; and the tables that hold them."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for b in blocks(batches, "text"):
@@ -310,7 +310,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most: int = MOST_CONTE
         ranked = every.withColumn("rank", F.rank().over(Window.partitionBy("h", "g").orderBy("doc_id", "th", "at")))
         out = out.unionAll(ranked.where("rank > 1").select(
             "doc_id", "th", F.col("at").alias("first"), F.col("at").alias("last")))
-    return out
+    return out, [settled, wanted, gathered]
 
 
 def raw_text_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -347,8 +347,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, most: int = MOST_CONTE
     hashed = base.withColumn("th", F.xxhash64("text"))
     if not hashed.groupBy("doc_id").agg(F.min("th").alias("a"), F.max("th").alias("b")).where("a <> b").limit(1).count():
         hashed = base.withColumn("th", F.lit(0).cast("long"))  # ids tell the documents apart
-    found = repeated_spans(hashed, length, most)
+    found, held = repeated_spans(hashed, length, most)
     lists = cut(_packed(found.withColumn("key", F.lit(0).cast("long")), length))
+    for done in held:
+        drop_cut(done)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
