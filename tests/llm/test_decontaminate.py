@@ -24,16 +24,17 @@ def brute(rows, items, threshold=D.THRESHOLD, overlap=D.OVERLAP):
         m = sum(b.values())
         raw = {w: idf[w] * c * (D.K1 + 1) / (c + D.K1 * (1 - D.B + D.B * m / avg)) for w, c in b.items()}
         impact[i] = {w: v / sum(raw.values()) for w, v in raw.items()}
-    sh = lambda w: {tuple(w[a:a + D.SHINGLE]) for a in range(len(w) - D.SHINGLE + 1)} or ({tuple(w)} if w else set())
+    grams = lambda w, k: {tuple(w[a:a + k]) for a in range(len(w) - k + 1)}
     out = []
     for d, t in rows:
         w = words(t)
-        own = sh(w)
         passages = [set(w[a:a + size]) for a in range(0, max(1, len(w) - size // 2), size // 2)] if w else []
         for i in impact:
             best = max((sum(v for x, v in impact[i].items() if x in p) for p in passages), default=0)
-            q, a = (sh(words(x)) for x in D.split_item(dict(items)[i]))
-            share = [len(x & own) / len(x) if x else 1.0 for x in (q, a)]
+            share = []
+            for part in map(words, D.split_item(dict(items)[i])):
+                k = min(D.SHINGLE, len(part))
+                share.append(len(grams(part, k) & grams(w, k)) / len(grams(part, k)) if part else 1.0)
             if best >= threshold - 1e-9 and min(share) >= overlap:
                 out.append((d, i, round(best, 5), *(round(x, 5) for x in share)))
     return sorted(out, key=str)
@@ -42,7 +43,8 @@ def brute(rows, items, threshold=D.THRESHOLD, overlap=D.OVERLAP):
 def data(seed, nasty):
     rng = random.Random(seed)
     vocab = ["the", "of", "Ét", "and"] + [f"w{i}" for i in range(120)]
-    items = [(i, ". ".join(" ".join(rng.choices(vocab, k=rng.randint(4, 18))) for _ in range(rng.randint(1, 3)))) for i in range(30)]
+    items = [(i, ". ".join(" ".join(rng.choices(vocab, k=rng.randint(4, 18))) for _ in range(rng.randint(1, 3)))
+              + rng.choice([". Er.", ". Un deux", ""])) for i in range(30)]
     items += [(90, None), (91, "  "), (92, items[0][1])]
     rows = list(nasty)
     for i in range(100, 220):

@@ -9,7 +9,8 @@ the threshold are skipped, and the items of the others get their exact score.
 So every item at or above the threshold is retrieved.
 
 A retrieved item counts as a leak if the document holds at least ``OVERLAP``
-of the shingles of its question and of its answer.
+of the shingles of its question and of its answer (3 words each; a shorter
+part is one shingle of all its words).
 
 Passages have twice the words of the longest item and start every half
 passage, so a copied item lies whole in one.  The index is built on the driver
@@ -76,19 +77,25 @@ class Index:
     terms: np.ndarray
     block_max: np.ndarray
     impact: list[dict[int, float]]
-    parts: list[list[np.ndarray]]
+    parts: list[list[tuple[int, np.ndarray]]]
     passage: int
     bloom: np.ndarray = field(repr=False)
 
 
+def _part_shingles(words: Words, i: int) -> tuple[int, np.ndarray]:
+    """(words a shingle, distinct shingle hashes) of text i of a block."""
+    size = min(SHINGLE, int(words.count[i]))
+    doc, h = shingles(words, size, whole_short=False) if size else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    return size, np.unique(h[doc == i])
+
+
 def build_index(items: list[tuple[object, str, str]], idf: dict[int, float], average: float) -> Index:
     """Index of (id, question, answer) items; ``idf`` by term over all items."""
     bags, parts = [], []
     for _, question, answer in items:
         w = words_of(pa.array([question, answer], pa.string()))
         bags.append(Counter(w.hash.tolist()))
-        doc, h = distinct_sets(*shingles(w, SHINGLE))
-        parts.append([h[doc == 0], h[doc == 1]])
+        parts.append([_part_shingles(w, i) for i in (0, 1)])
     impact = []
     for bag in bags:
         n = sum(bag.values())
@@ -158,9 +165,21 @@ def search(index: Index, words: Words, threshold: float) -> dict[tuple[int, int]
     return found
 
 
-def _covered(part: np.ndarray, own: np.ndarray) -> float:
-    """Share of a part's shingles among a document's (an absent part: 1)."""
-    return float(np.isin(part, own).mean()) if len(part) else 1.0
+class _Shingles:
+    """Distinct shingles of each document of a block, by their number of words."""
+
+    def __init__(self, words: Words):
+        self.words, self.by = words, {}
+
+    def share(self, part: tuple[int, np.ndarray], d: int) -> float:
+        """Share of a part's shingles that document d holds (an absent part: 1)."""
+        size, wanted = part
+        if not size:
+            return 1.0
+        if size not in self.by:
+            self.by[size] = distinct_sets(*shingles(self.words, size, whole_short=False))
+        doc, h = self.by[size]
+        return float(np.isin(wanted, h[np.searchsorted(doc, d) : np.searchsorted(doc, d, "right")]).mean())
 
 
 def leaks_of(index: Index, col: pa.Array, threshold: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
@@ -169,11 +188,9 @@ def leaks_of(index: Index, col: pa.Array, threshold: float, overlap: float) -> l
     found = search(index, words, threshold)
     if not found:
         return []
-    doc, h = distinct_sets(*shingles(words, SHINGLE))
-    out = []
+    held, out = _Shingles(words), []
     for (d, i), score in sorted(found.items()):
-        own = h[np.searchsorted(doc, d) : np.searchsorted(doc, d, "right")]
-        question, answer = (_covered(p, own) for p in index.parts[i])
+        question, answer = (held.share(p, d) for p in index.parts[i])
         if question >= overlap and answer >= overlap:
             out.append((d, i, score, question, answer))
     return out
