@@ -2,9 +2,10 @@
 
 Two zstandard dictionaries are built from good and bad labelled texts.  A
 text is compressed with either, and without one; the size difference between
-the two, normalised by their sum, and the plain compressed share are mapped to
-the chance of label 1 by a logistic curve, fitted on labelled texts that the
-dictionaries have not seen and weighted to the labels' class shares.
+the two, normalised by their sum (over the text, and of its worst chunk), and
+the plain compressed share are mapped to the chance of label 1 by a logistic
+curve, fitted on labelled texts that the dictionaries have not seen and
+weighted to the labels' class shares.
 
 Fitting uses at most ``SAMPLE`` texts per class of up to ``SAMPLE_CHARS``
 characters each (those with the smallest hashed ids), a documented bound;
@@ -26,7 +27,7 @@ from .book import query
 from .common import table
 
 SAMPLE, SAMPLE_CHARS = 2000, 20_000
-DICT_BYTES, CHUNK, LEVEL = 1 << 16, 4096, 3
+DICT_BYTES, CHUNK, LEAST, LEVEL = 1 << 16, 4096, 64, 3
 FOLDS, HELD_OUT_FOLD, ACCEPT = 5, 0, 0.3
 
 
@@ -44,9 +45,11 @@ class Model:
 
 
 def _dictionary(texts: list[bytes]) -> bytes:
+    """Dictionary of short segments: long ones would memorise passages that
+    good texts may share with the bad ones of the sample."""
     chunks = [t[i : i + CHUNK] for t in texts for i in range(0, len(t), CHUNK)]
     try:
-        return zstandard.train_dictionary(DICT_BYTES, chunks, k=256, d=8).as_bytes()
+        return zstandard.train_dictionary(DICT_BYTES, chunks, k=32, d=6).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: its bytes are the dictionary
         return b"".join(chunks)[-DICT_BYTES:]
 
@@ -63,11 +66,17 @@ class Sizes:
             self.by.append(zstandard.ZstdCompressor(dict_data=d, **options))
 
     def features(self, text: bytes) -> list[float]:
-        view = memoryview(text)
-        plain, good, bad = (sum(len(c.compress(view[i : i + CHUNK])) for i in range(0, len(text), CHUNK)) for c in self.by)
-        n = max(1, len(text))
+        """Size differences and shares of a text that is not empty; a last
+        chunk under ``LEAST`` bytes is not judged alone."""
+        view, n = memoryview(text), len(text)
+        size = np.array([[len(c.compress(view[i : i + CHUNK])) for c in self.by] for i in range(0, n, CHUNK)])
+        length = np.minimum(CHUNK, n - np.arange(0, n, CHUNK))
+        plain, good, bad = size.sum(axis=0).tolist()
         share = min(plain / n, 2.0)
-        return [(bad - good) / max(1, bad + good), (bad - good) / n, share, share * share]
+        whole = length >= min(LEAST, n)
+        worst = ((size[:, 2] - size[:, 1]) / (size[:, 2] + size[:, 1]))[whole].min()
+        return [(bad - good) / (bad + good), (bad - good) / n, share, share * share, float(worst),
+                float((size[:, 0] / length)[whole].min()), min(1.0, float(np.log(n)) / 10)]
 
 
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
