@@ -107,7 +107,7 @@ def _checked_metrics(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _metrics_sql(name: str) -> str:
     return with_ctes(X.READINGS_SQL, FEATURES_SQL, SPLIT_SQL, body=(
-        f"SELECT '{name}' AS model, count(*) AS test_rows, count_if(target = 1) AS test_failures, "
+        f"SELECT '{name}' AS model, count(*) AS test_rows, CAST(count_if(target = 1) AS BIGINT) AS test_failures, "
         "true AS beats_majority, true AS ranks_well FROM split WHERE split = 'test'"))
 
 

@@ -22,6 +22,7 @@ _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
