@@ -36,12 +36,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .book import query
-from .common import U64, _VALUES, _tables, blocks, cut, drop_cut, mix, raw_text, table
+from .common import U64, _VALUES, _tables, blocks, cut, drop_cut, mix, raw_text, small_batches, table, tidy
 
 LENGTH, ANCHOR = 100, 40
 MOST_CONTEXTS = 4000
-BATCH_BYTES = 1 << 20
-GATHER = 300_000
+BATCH_BYTES = 1 << 19
+GATHER = 100_000
 #: Per-document lists are broadcast up to this many bytes, else joined by shuffle.
 BROADCAST_BYTES = 48 << 20
 _NO_ID = -(2**63)
@@ -241,13 +241,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most: int = MOST_CONTE
         if parts:
             yield _open_and_closed(parts, length)
 
-    found = docs.mapInArrow(find, _ROW).repartition("key")
+    found = docs.mapInArrow(tidy(find), _ROW).repartition("key")
     place = Window.partitionBy("key", "context").orderBy("doc_id", "th", "first")
     whole = Window.partitionBy("key")
     judged = found.withColumn("rank", F.rank().over(place)).withColumn(
         "several", F.min("context").over(whole) != F.max("context").over(whole))
-    settled = cut(judged.where("closed OR rank > 1 OR several").select(
-        "doc_id", "th", "first", "last", "key", (F.col("closed") | (F.col("rank") > 1)).alias("repeat")))
+    with small_batches(docs.sparkSession):
+        settled = cut(judged.where("closed OR rank > 1 OR several").select(
+            "doc_id", "th", "first", "last", "key", (F.col("closed") | (F.col("rank") > 1)).alias("repeat")))
 
     wanted = cut(_packed(settled.where("NOT repeat").distinct()))
 
@@ -264,8 +265,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most: int = MOST_CONTE
                 [pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 4 + [pa.binary()])], ["key", "doc_id", "th", "first", "bytes"])
 
     gathered = _beside(docs, wanted, "inner").mapInArrow(
-        contexts, "key long, doc_id long, th long, first long, bytes binary").dropDuplicates(["key", "doc_id", "th", "first"])
-    gathered = cut(gathered)
+        tidy(contexts), "key long, doc_id long, th long, first long, bytes binary").dropDuplicates(["key", "doc_id", "th", "first"])
+    with small_batches(docs.sparkSession):
+        gathered = cut(gathered)
     hot = F.broadcast(cut(gathered.groupBy("key").count().where(F.col("count") > most).select("key"))) \
         if gathered.count() > most else None  # at most count / most keys
     mild = gathered.join(hot, "key", "left_anti") if hot is not None else gathered
@@ -284,7 +286,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most: int = MOST_CONTE
 
     spans = "doc_id long, th long, first long, last long"
     out = settled.where("repeat").select("doc_id", "th", "first", "last").unionAll(
-        mild.repartition("key").sortWithinPartitions("key").mapInArrow(extend, spans))
+        mild.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(extend), spans))
     if hot is not None:
         def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -306,7 +308,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most: int = MOST_CONTE
                      pa.array(col("th")), pa.array(col("first") + shift)], ["h", "g", "doc_id", "th", "at"])
 
         every = gathered.join(hot, "key", "left_semi").select("doc_id", "th", "first", "bytes").mapInArrow(
-            strings, "h long, g long, doc_id long, th long, at long")
+            tidy(strings), "h long, g long, doc_id long, th long, at long")
         ranked = every.withColumn("rank", F.rank().over(Window.partitionBy("h", "g").orderBy("doc_id", "th", "at")))
         out = out.unionAll(ranked.where("rank > 1").select(
             "doc_id", "th", F.col("at").alias("first"), F.col("at").alias("last")))
@@ -348,12 +350,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, most: int = MOST_CONTE
     if not hashed.groupBy("doc_id").agg(F.min("th").alias("a"), F.max("th").alias("b")).where("a <> b").limit(1).count():
         hashed = base.withColumn("th", F.lit(0).cast("long"))  # ids tell the documents apart
     found, held = repeated_spans(hashed, length, most)
-    lists = cut(_packed(found.withColumn("key", F.lit(0).cast("long")), length))
+    with small_batches(docs.sparkSession, 10_000):
+        lists = cut(_packed(found.withColumn("key", F.lit(0).cast("long")), length))
     for done in held:
         drop_cut(done)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in blocks(batches, "text"):
             out = []
             for text, rows in zip(b.column("text").cast(pa.large_binary()), b.column("rows")):
                 raw = memoryview(text.as_buffer())
@@ -375,7 +378,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, most: int = MOST_CONTE
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     done = _beside(hashed, lists, "left").select("doc_id", "text", "rows").mapInArrow(
-        remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        tidy(remove), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return done.withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
 
 
