@@ -104,3 +104,23 @@ def test_stages_survive_an_empty_table(spark, sf_dir):
     docs = spark.read.parquet(f"{d}/documents.parquet").limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, docs, d).count() == 0
+
+
+def test_near_duplicates_go_row_by_row(spark, docs_of):
+    rng = random.Random(3)
+    text = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(60))
+    base, clean, other, hot, alone = (text() for _ in range(5))
+    near = lambda t: t.rsplit(" ", 1)[0] + " changed"
+    rows = [(3, base), (5, near(base)), (5, clean), (8, clean.upper()), (6, text()), (6, other), (6, None), (6, ""),
+            (None, alone), (None, text()), (None, near(other)), *[(None, hot + f" x{i}") for i in range(20)],
+            (9, hot), (9, hot), (2, near(hot)), (None, None)]
+    kept = P.near_duplicates(spark, docs_of(rows), None)
+    want = [r for r in rows if r[1] not in (near(base), clean.upper(), near(other), hot) and not (r[1] or "").startswith(hot + " x")]
+    assert kept.columns == docs_of(rows).columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_of_row_copies_without_an_id_one_stays(spark, docs_of):
+    rows = [(None, "one two three four five six seven")] * 12 + [(None, "others are here to stay as well")]
+    kept = P.near_duplicates(spark, docs_of(rows).repartition(5), None)
+    assert sorted(r["text"] for r in kept.collect()) == sorted({t for _, t in rows})
