@@ -71,6 +71,35 @@ def test_added_kinds_need_checksum_or_context(docs_of):
     assert got == {0: "iban:7:34", 1: "", 2: "ssn:11:22", 3: "", 4: "local_phone:5:19", 5: "", 6: "phone:5:22"}
 
 
+def mod97(x):
+    return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97
+
+
+def test_account_numbers_end_where_their_country_says(docs_of):
+    known = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO9386011117947", "BE68 5390 0754 7034",
+             "FR1420041010050500013M02606", "MT84MALT011000012345MTLCAST001S", "LC55 HEMM 0001 0001 0012 0012 0002 3015",
+             "GB82WEST12345698765432", "NL91 ABNA 0417 1643 00"]
+    other = next(x for x in (f"ZZ{c:02d}1234567890ABCDEFG" for c in range(2, 99)) if mod97(x) == 1)
+    tails = ["", " BIC COBADEFFXXX", " I use it", " 4711", " A", " 12 34 56 78 90", ".", " AND ALSO THE NEXT WORDS IN CAPITALS",
+             " AB12", ", SWIFT"]
+    want = {}
+    for a in [*known, other, f"{other[:4]} {other[4:8]} {other[8:]}"]:
+        for t in tails:
+            want[len(want)] = (f"pay {a}{t}", f"iban:4:{4 + len(a)}")
+    for pre in ("AB12 ", "BE68 ", "ZZ99 1234 "):  # something like the beginning of a number before it
+        want[len(want)] = (f"{pre}{known[1]}", f"iban:{len(pre)}:{len(pre) + len(known[1])}")
+    two = f"{known[0]} {known[3]}"
+    want[len(want)] = (two, f"iban:0:22,iban:23:{len(two)}")
+    for bad in ("DE88370400440532013000 BIC", "DE8937040044053201300 0BIC", "xDE89370400440532013000", "AB12 CD", "AB12"):
+        want[len(want)] = (bad, "")
+    got = pii.with_spans(docs_of([(i, t) for i, (t, _) in want.items()])).collect()
+    for r in got:
+        have = ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in r["pii_spans"] if s["kind"] == "iban")
+        assert have == want[r["doc_id"]][1], want[r["doc_id"]]
+    one = pii.mask_documents(docs_of([(1, "IBAN DE89370400440532013000 BIC COBADEFFXXX")])).first()
+    assert one["text"] == "IBAN <IBAN> BIC COBADEFFXXX"
+
+
 def test_masking_keeps_columns_and_clean_texts(docs_of, nasty):
     src = docs_of(nasty + [(50, "mail a@b.cd or +1 (743) 555-3824 é")])
     out = pii.mask_documents(src)

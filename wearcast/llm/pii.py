@@ -10,7 +10,9 @@ Base kinds (email, ip, card, phone) are kept whenever their rule holds; their
 score only reports confidence.  Added kinds are kept if the score, raised by
 a context word within ``WINDOW`` characters, reaches the threshold:
 
-* ``iban``: country code, check digits, 11 to 30 more characters, mod-97 = 1;
+* ``iban``: country code, check digits, as many more characters as the country
+  has, mod-97 = 1; for other codes or lengths, the shortest run of whole groups
+  with 11 to 30 more characters and mod-97 = 1;
 * ``ssn``: 3-2-4 digits with a valid area, group and serial;
 * ``local_phone``: 3-3-4 digits without a plus sign.
 """
@@ -30,6 +32,21 @@ WINDOW = 40
 THRESHOLD = 0.5
 BLOCK = 256
 
+#: Characters of an account number by country, check digits included.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_KNOWN = "(?:" + "|".join(
+    rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, codes in _IBAN_LENGTHS.items()
+) + ")(?![A-Za-z0-9])"
+#: A number of its country's length; else groups, up to where such a number
+#: begins.  A start that is followed by one too early is passed over.
+_IBAN = (rf"(?<![A-Za-z0-9])(?![A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{0,10}}\x20{_IBAN_KNOWN})"
+         rf"(?:{_IBAN_KNOWN}|[A-Z]{{2}}[0-9]{{2}}(?:(?!\x20{_IBAN_KNOWN})\x20?[A-Z0-9]){{11,30}}(?![A-Za-z0-9]))")
+
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 
 
@@ -56,8 +73,7 @@ KINDS = (
     Kind("card", 2, r"[0-9](?:[\x20-]?[0-9])++", r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", 0.7, 0.3,
          "card|credit|debit|visa|payment"),
     Kind("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.7, 0.3, "phone|tel|call|mobile|fax"),
-    Kind("iban", 4, r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}",
-         0.8, 0.2, "iban|account|bank|konto", base=False),
+    Kind("iban", 4, _IBAN, r"[A-Z]{2}[0-9]{2}", 0.8, 0.2, "iban|account|bank|konto", base=False),
     Kind("ssn", 5, r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"-[0-9]{2}-", 0.3, 0.4,
          "ssn|social|security", base=False),
     Kind("local_phone", 6, r"(?<![0-9+.(-])(?<!\+[0-9]{1,3}[\x20-]{1,2})\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])",
@@ -78,6 +94,15 @@ def _mod97(x: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), step)
 
 
+def _account(hit: Column) -> Column:
+    """The account number that a match of ``_IBAN`` begins with, or null."""
+    ends = F.filter(F.sequence(F.lit(15), F.length(hit)),
+                    lambda i: (F.substring(hit, i + 1, F.lit(1)).isin("", " ")) & (F.substring(hit, i, F.lit(1)) != " "))
+    ends = F.when(hit.rlike(f"^{_IBAN_KNOWN}$"), F.array(F.length(hit))).otherwise(ends)
+    return F.get(F.filter(F.transform(ends, lambda i: F.left(hit, i)),
+                          lambda x: (F.length(F.replace(x, F.lit(" "), F.lit(""))) >= 15) & (_mod97(x) == 1)), F.lit(0))
+
+
 def _confirmed(kind: str, hit: Column) -> Column:
     n = F.length(_digits(hit))
     if kind == "ip":
@@ -87,7 +112,7 @@ def _confirmed(kind: str, hit: Column) -> Column:
     if kind == "phone":
         return n.between(9, 15)
     if kind == "iban":
-        return _mod97(hit) == 1
+        return hit.isNotNull()
     if kind == "ssn":
         return ~hit.rlike("^(?:000|666|9)|-00-|-0000$")
     return F.lit(True)
@@ -134,8 +159,19 @@ def _in_blocks(parts: Column) -> Column:
     return F.transform(F.array(blocks), placed)[0]
 
 
+def _without_tail(s: Column) -> Column:
+    """The match cut to its account number; what it had behind is context."""
+    number = _account(s["hit"])
+    tail = F.substring(s["hit"], F.length(number) + 1, F.lit(100))
+    return F.struct(s["start"].alias("start"), (s["start"] + F.length(number)).alias("end"), s["left"].alias("left"),
+                    number.alias("hit"), F.left(F.concat(tail, s["right"]), F.lit(WINDOW)).alias("right"))
+
+
 def _spans(text: Column, kind: Kind) -> Column:
-    found = F.filter(_located(text, kind.pattern), lambda s: _confirmed(kind.name, s["hit"]))
+    found = _located(text, kind.pattern)
+    if kind.name == "iban":
+        found = F.transform(found, _without_tail)
+    found = F.filter(found, lambda s: _confirmed(kind.name, s["hit"]))
 
     def scored(s: Column) -> Column:
         near = F.lower(F.concat_ws(" ", s["left"], s["right"])).rlike(rf"\b(?:{kind.context})\b")
