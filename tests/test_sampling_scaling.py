@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from golden import GOLDEN
 from pyspark.sql import functions as F
 
 from wearcast import schema as S
@@ -51,7 +52,7 @@ def test_random_batch(six_thousand):
 
 def test_scaler_population_std_and_golden(spark, golden):
     stats = T.scaler_fit(golden, ["air_temperature"]).first()
-    vals = np.array([g[0] for g in __import__("conftest").GOLDEN])
+    vals = np.array([g[0] for g in GOLDEN])
     assert stats["mean"] == pytest.approx(vals.mean()) and stats["scale"] == pytest.approx(vals.std(ddof=0))
     fixed = spark.createDataFrame([("air_temperature", 300.016, 1.972413806)], "feature string, mean double, scale double")
     r = T.scaler_transform(golden.where("reading_id = 'r1'"), fixed, ["air_temperature"]).first()

@@ -1,4 +1,5 @@
 import pytest
+from golden import GOLDEN
 from pyspark.sql import functions as F
 
 from wearcast import schema as S
@@ -52,7 +53,6 @@ def test_stream_equals_batch_and_is_incremental(spark, tmp_path):
 
 
 def test_csv_arrivals_stream_with_trailing_blank(spark, tmp_path):
-    from conftest import GOLDEN
     from wearcast.streaming.files import file_stream, run_available_now
 
     src = tmp_path / "arrivals"
