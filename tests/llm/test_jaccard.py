@@ -95,3 +95,13 @@ def test_components_of_a_long_chain_and_a_star(spark):
 
 def test_empty_table(docs_of):
     assert J.similarity_classes(docs_of([(1, "a b c d e f")]).limit(0)).count() == 0
+
+
+def test_rearranged_words_are_different_shingles():
+    """Words of the same bytes in Thue-Morse order are no copies of each other."""
+    import pyarrow as pa
+
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    a, b = ("".join("ab"[x ^ flip] for x in bits) for flip in (0, 1))
+    _, h, n = J._sets(pa.array([f"{a} one two three", f"{b} one two three", f"{a} one two three"]), 4)
+    assert n.tolist() == [1, 1, 1] and h[0] == h[2] != h[1]

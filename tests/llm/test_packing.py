@@ -72,3 +72,21 @@ def test_pieces_cover_every_id_once(docs_of, nasty, tokenizer, cell_bytes):
 
 def test_empty_table(docs_of):
     assert P.pack_documents(docs_of([(1, "x")]).limit(0), P.default_tokenizer()).count() == 0
+
+
+def test_rearranged_words_keep_apart():
+    """Words of the same bytes in Thue-Morse order cancel out in polynomial
+    hashes modulo a power of two; they must keep their own hashes and ids."""
+    import pyarrow as pa
+
+    bits = np.array([bin(i).count("1") & 1 for i in range(2048)])
+    pairs = []
+    for a, b in ("ab", "xy"):
+        for n in (2, 64, 1024, 2048):
+            pairs += ["".join(a if x else b for x in bits[:n]), "".join(b if x else a for x in bits[:n])]
+    words, buf = P.tokens_of(pa.array(pairs))
+    assert len(set(words.hash.tolist())) == len(pairs)
+    encoder = P.Encoder(P.default_tokenizer())
+    ids, bounds = encoder.encode(words, buf)
+    for i, t in enumerate(pairs):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids

@@ -136,9 +136,10 @@ def _tables(n: int) -> list[np.ndarray]:
 class Words:
     """The words of a block: byte spans, document numbers and 64-bit hashes.
 
-    The hash is a polynomial over random byte values modulo 2^64, finalised
-    with the length; equal words have equal hashes, different words collide
-    with a chance near 2^-64."""
+    The hash sums one pseudo-random value a (place in the word, byte) pair
+    modulo 2^64, finalised with the length: equal words have equal hashes,
+    and no arrangement of the same bytes cancels out, as it can in a
+    polynomial modulo a power of two."""
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray, lower: np.ndarray | None = LOWER,
                  separator: np.ndarray = SPACE, cuts: np.ndarray | None = None):
@@ -165,11 +166,12 @@ class Words:
         self.first = np.searchsorted(self.start, offsets)
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(self.count)), self.count)
-        power, inverse = _tables(n)
-        value = _VALUES[lower[buf] if lower is not None else buf]
+        opens = np.append(0, self.start)
+        place = np.arange(n) - np.repeat(opens, np.diff(opens, append=n))
+        value = mix((place.view(U64) << U64(8) | (lower[buf] if lower is not None else buf)) * U64(_BASE) + _C1)
         total = np.zeros(n + 1, U64)
-        np.cumsum(value * power[:n], out=total[1:])
-        h = (total[self.end] - total[self.start]) * inverse[self.start]
+        np.cumsum(value, out=total[1:])
+        h = total[self.end] - total[self.start]
         self.hash = mix(h + (self.end - self.start).astype(U64) * U64(_BASE))
 
 
