@@ -112,3 +112,57 @@ def test_stream_score_writes_predictions_and_stats_once(spark, train_set, tmp_pa
     assert out.count() == 1200 and out.select("reading_id").distinct().count() == 1200
     st = spark.read.parquet(stats).where("metric = 'total_predictions'").agg(F.sum("value")).first()[0]
     assert st == 1200
+
+
+def test_forest_and_boosted_pipelines_save_score_and_rank(spark, train_set, tmp_path):
+    from wearcast.operators import trees as H
+
+    feats, scaler = train_set
+    ratio = L.class_ratio(feats)
+    n = feats.groupBy("target").count().collect()
+    n = {r["target"]: r["count"] for r in n}
+    assert ratio == n[0] / n[1]
+    models = {"forest": L.fit_forest(feats, scaler, H.Forest(trees=15, max_depth=6)),
+              "boosted": L.fit_boosted(feats, scaler, H.Boosting(rounds=15, max_depth=5, learning_rate=0.4, scale_pos_weight=ratio))}
+    for name, model in models.items():
+        L.save_pipeline(model, str(tmp_path / name))
+        back = L.load_pipeline(str(tmp_path / name))
+        raw = feats.select("reading_id", *S.SENSORS)  # no derived features at all
+        a = I.batch_score(model, raw, "1", "champion", keep=("reading_id",), with_timestamp=False)
+        b = I.batch_score(back, raw, "1", "champion", keep=("reading_id",), with_timestamp=False)
+        assert a.count() == 1200 and a.exceptAll(b).count() == 0
+        got = a.join(feats.select("reading_id", "target"), "reading_id").toPandas()
+        assert np.allclose(got.prob_class_0 + got.prob_class_1, 1) and ((got.prob_class_1 > 0.5) == got.predicted_class).all()
+        assert (got.predicted_class == got.target).mean() > 0.97, name
+        imp = L.feature_importance(model).toPandas()
+        assert imp["share"].sum() == pytest.approx(1.0) and len(imp) == 10
+        nodes = model.stages[-1].table(spark)
+        assert nodes.select("tree").distinct().count() == 15
+        inner, leaves = nodes.where("feature IS NOT NULL").count(), nodes.where("feature IS NULL").count()
+        assert leaves == inner + 15
+    # a heavier class 1 is found more often; the recorded run inverted the weight and lost it
+    low = L.fit_boosted(feats, scaler, H.Boosting(rounds=15, max_depth=5, scale_pos_weight=1 / ratio))
+    hits = [L.probabilities(m.transform(feats)).where("target = 1").agg(F.avg("predicted_class")).first()[0]
+            for m in (models["boosted"], low)]
+    assert hits[0] > hits[1]
+
+
+def test_tuned_forest_scores_folds_and_predicts_out_of_fold(spark, train_set):
+    feats, scaler = train_set
+    folds = M.stratified_folds(feats)
+    grid = [f for f in L.forest_grid() if f.max_depth == 10 and f.trees == 50]
+    assert len(L.forest_grid()) == 16 == len(set(map(L.setting_name, L.forest_grid())))
+    found = L.tune_forest(folds, scaler, grid)
+    scores = found.scores.toPandas()
+    assert len(scores) == len(grid) * 3 and set(scores.setting) == set(map(L.setting_name, grid))
+    assert (scores.train_f1 >= scores.test_f1 - 0.05).all()
+    held = L.probabilities(found.out_of_fold(folds)).select("fold", "target", "predicted_class").toPandas()
+    assert len(held) == 1200
+    best = scores[scores.setting == found.best].set_index("fold")
+    for k, part in held.groupby("fold"):
+        tp = ((part.target == 1) & (part.predicted_class == 1)).sum()
+        f1 = 2 * tp / (2 * tp + (part.target != part.predicted_class).sum())
+        assert best.test_f1[k] == pytest.approx(f1)
+        assert best.test_accuracy[k] == pytest.approx((part.target == part.predicted_class).mean())
+    top = found.table(top=2).collect()
+    assert len(top) == 2 and top[0]["setting"] == found.best or top[0]["mean_test_f1"] == top[1]["mean_test_f1"]

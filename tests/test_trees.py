@@ -172,15 +172,16 @@ def test_grid_has_a_score_for_every_setting_and_fold(spark):
     data = H.binned(df, COLS, "target", "weight", fold="fold")
     grid = [H.Forest(trees=t, max_depth=d, min_split=m, min_leaf=k, features=2)
             for t in (3, 6) for d in (2, 6) for m in (2, 40) for k in (1, 20)]
-    got = H.grid_scores(data, grid)
-    assert len(got) == 16 * 3 and len({(f, k) for f, k, *_ in got}) == 48
-    for f, k, train, test in got[::7]:
+    got = H.grid_search(data, grid)
+    assert len(got.test) == len(got.train) == 16 * 3
+    for f, k in list(got.test)[::7]:
         trees = H.grow_forests(data, [(f, k)])[0]
+        assert [nested(t) for t in trees] == [nested(t) for t in got.trees(f, k)]
         p = H.Scorer(H.to_json(trees, data.edges, "forest"))(pdf[COLS].to_numpy(float)) > 0.5
-        for part, counts in ((pdf.fold != k, train), (pdf.fold == k, test)):
+        for part, counts in ((pdf.fold != k, got.train), (pdf.fold == k, got.test)):
             cell = pdf.target[part] * 2 + p[part]
-            assert np.bincount(cell, minlength=4).tolist() == counts
-    distinct = {tuple(map(tuple, [x[2] for x in got if x[0] == f])) for f in grid}
+            assert np.bincount(cell, minlength=4).tolist() == counts[f, k]
+    distinct = {tuple(map(tuple, [got.test[f, k] for k in got.folds])) for f in grid}
     assert len(distinct) > 8  # the settings differ in effect
 
 

@@ -1,14 +1,14 @@
-"""Learning (L1-L8) as Spark MLlib jobs.
+"""Learning (L1-L8) as saveable Spark ML pipelines.
 
 The fitted scaler is frozen into a ``SQLTransformer`` (literals), so a saved
 ``PipelineModel`` carries scaling + model and scores batches and streams
 unchanged.  Class weights travel as a ``weightCol``.
 
-Parameter mapping from the reference's scikit-learn estimators:
-``n_estimators → numTrees``, ``max_depth → maxDepth`` (≤ 30 in Spark),
-``min_samples_leaf → minInstancesPerNode``, ``max_features='sqrt' →
-featureSubsetStrategy='sqrt'``; ``min_samples_split`` has no Spark
-counterpart and is dropped (so a 16-point grid becomes 8 distinct models).
+Forests and boosted trees are grown by ``trees`` (split minimum, second-order
+boosting, ``scale_pos_weight``) and score as the stage ``HistogramTrees``.
+MLlib's own tree estimators stay available: ``random_forest`` and
+``boosted_trees`` (``n_estimators → numTrees``, ``max_depth → maxDepth`` up to
+30, ``min_samples_leaf → minInstancesPerNode``; no ``min_samples_split``).
 The RBF SVM has no Spark counterpart: it is approximated with random
 Fourier features (Rahimi & Recht, 2007) + ``LinearSVC`` + Platt scaling
 (``LogisticRegression`` on the margin).
@@ -16,6 +16,7 @@ Fourier features (Rahimi & Recht, 2007) + ``LinearSVC`` + Platt scaling
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
 
@@ -32,6 +33,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -43,6 +45,7 @@ from pyspark.sql import types as T
 from .. import schema as S
 from ..functions.features import FEATURE_SQL
 from ..session import cut_lineage, ship_package
+from . import trees as H
 
 VEC = "features_vec"
 
@@ -120,6 +123,157 @@ def fit_pipeline(train: DataFrame, scaler: Mapping[str, tuple[float, float]], es
     return model_pipeline(scaler, estimator, cols).fit(prepare_training(train))
 
 
+# ------------------------------------------------------ histogram trees ---
+class HistogramTrees(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """A fitted ensemble of ``trees``: adds ``probability`` (vector) and
+    ``prediction`` (label 1 above one half).  The model is one text parameter,
+    so the stage saves and loads with its pipeline."""
+
+    model = Param(Params._dummy(), "model", "the ensemble as JSON", typeConverter=TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, inputCols=None, model=""):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    @property
+    def featureImportances(self):
+        found = json.loads(self.getOrDefault(self.model))["trees"]
+        return Vectors.dense(H.importances([H.Tree(feature=t["feature"], gain=t["gain"]) for t in found],
+                                           len(self.getInputCols())))
+
+    def table(self, spark) -> DataFrame:
+        """The trees, one row per node."""
+        return H.tree_table(spark, self.getOrDefault(self.model), self.getInputCols())
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        ship_package(df.sparkSession)
+        scorer = df.sparkSession.sparkContext.broadcast(H.Scorer(self.getOrDefault(self.model)))  # as large as the model
+
+        @F.pandas_udf(T.DoubleType())
+        def score(*series: pd.Series) -> pd.Series:
+            return pd.Series(scorer.value(np.column_stack([s.to_numpy(dtype="float64") for s in series])))
+
+        p = F.col("_p")
+        return df.withColumn("_p", score(*[F.col(c).cast("double") for c in self.getInputCols()])).withColumns({
+            "probability": array_to_vector(F.array(1 - p, p)),
+            "prediction": (p > 0.5).cast("double")}).drop("_p")
+
+
+def tree_pipeline(scaler: Mapping[str, tuple[float, float]], found: Sequence[H.Tree], data: H.Binned,
+                  kind: str) -> PipelineModel:
+    """features → scaler (literals) → fitted trees; takes raw sensor readings."""
+    return PipelineModel(stages=[feature_stage(), scaler_stage(scaler),
+                                 HistogramTrees(inputCols=data.cols, model=H.to_json(found, data.edges, kind))])
+
+
+def bin_training(train: DataFrame, scaler: Mapping[str, tuple[float, float]], cols: Sequence[str] = S.FEATURES,
+                 label: str = S.TARGET, weight_col: str | None = "weight", fold: str | None = None,
+                 id_col: str = "reading_id") -> H.Binned:
+    """Scaled training rows in bins: written once, read by every pass."""
+    ready = PipelineModel(stages=[feature_stage(), scaler_stage(scaler)]).transform(train)
+    return H.binned(ready, [f"{SCALED}{c}" for c in cols], label, weight_col, fold, id_col)
+
+
+def fit_forest(train: DataFrame, scaler: Mapping[str, tuple[float, float]], settings: H.Forest | None = None,
+               **columns) -> PipelineModel:
+    """Random forest with class weights, bootstrap and a split minimum."""
+    data = bin_training(train, scaler, **columns)
+    try:
+        return tree_pipeline(scaler, H.grow_forests(data, [(settings or H.Forest(), None)])[0], data, "forest")
+    finally:
+        data.release()
+
+
+def fit_boosted(train: DataFrame, scaler: Mapping[str, tuple[float, float]], settings: H.Boosting | None = None,
+                **columns) -> PipelineModel:
+    """Second-order boosted trees; the classes are balanced by ``scale_pos_weight``, not by row weights."""
+    data = bin_training(train, scaler, **{"weight_col": None, **columns})
+    try:
+        return tree_pipeline(scaler, H.boost(data, settings), data, "boosted")
+    finally:
+        data.release()
+
+
+def class_ratio(train: DataFrame, label: str = S.TARGET) -> float:
+    """Rows of label 0 per row of label 1: the usual ``scale_pos_weight``."""
+    n = train.agg(F.count_if(F.col(label) == 0).alias("neg"), F.count_if(F.col(label) == 1).alias("pos")).first()
+    return n["neg"] / n["pos"] if n["pos"] else 1.0
+
+
+def forest_grid(seed: int = 2024) -> list[H.Forest]:
+    """16 settings: depth × leaf minimum × split minimum × trees, in this order."""
+    return [H.Forest(trees=t, max_depth=d, min_leaf=k, min_split=m, seed=seed)
+            for d in (10, 15) for k in (1, 2) for m in (2, 5) for t in (50, 100)]
+
+
+def setting_name(f: H.Forest) -> str:
+    return f"max_depth={f.max_depth}, min_samples_leaf={f.min_leaf}, min_samples_split={f.min_split}, n_estimators={f.trees}"
+
+
+def _f1(counts: Sequence[int]) -> float:
+    _, fp, fn, tp = counts
+    return 2 * tp / (2 * tp + fp + fn) if tp else 0.0
+
+
+def _accuracy(counts: Sequence[int]) -> float:
+    return (counts[0] + counts[3]) / sum(counts) if sum(counts) else 0.0
+
+
+class Tuned:
+    """A finished grid search: ``scores`` (setting, fold, train and test F1 of
+    class 1, train and test accuracy), the ``best`` setting by mean test F1
+    (first of equals), the ``model`` refitted on all rows, and predictions of
+    every row by the model that did not see its fold."""
+
+    def __init__(self, spark, names: list[str], rows: list[tuple], model: PipelineModel, fold_models: dict[int, PipelineModel]):
+        self.scores = spark.createDataFrame(
+            rows, "setting string, fold int, train_f1 double, test_f1 double, train_accuracy double, test_accuracy double")
+        self.best, self.model, self.fold_models = best_name(names, rows), model, fold_models
+
+    def out_of_fold(self, rows: DataFrame, fold: str = "fold") -> DataFrame:
+        out = None
+        for k, m in self.fold_models.items():
+            part = m.transform(rows.where(F.col(fold) == k))
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    def table(self, top: int | None = None) -> DataFrame:
+        """Mean and population std of train and test F1 per setting, best first."""
+        agg = self.scores.groupBy("setting").agg(
+            *[f(c).alias(f"{n}_{c}") for c in ("test_f1", "train_f1") for n, f in (("mean", F.avg), ("std", F.stddev_pop))])
+        agg = agg.orderBy(F.desc("mean_test_f1"), "setting")
+        return agg.limit(top) if top else agg
+
+
+def best_name(names: Sequence[str], rows: Sequence[tuple]) -> str:
+    mean = {n: [r[3] for r in rows if r[0] == n] for n in names}
+    return max(names, key=lambda n: sum(mean[n]) / max(1, len(mean[n])))
+
+
+def score_row(setting: str, fold: int, train: Sequence[int], test: Sequence[int]) -> tuple:
+    return setting, int(fold), _f1(train), _f1(test), _accuracy(train), _accuracy(test)
+
+
+def tune_forest(train_with_folds: DataFrame, scaler: Mapping[str, tuple[float, float]],
+                grid: Sequence[H.Forest] | None = None, fold: str = "fold", **columns) -> Tuned:
+    """Grid search over precomputed folds in one search: the forests of all
+    folds and settings grow together, each fold is scored by its own, and the
+    best setting is grown on all rows."""
+    grid = list(grid or forest_grid())
+    data = bin_training(train_with_folds, scaler, fold=fold, **columns)
+    try:
+        found = H.grid_search(data, grid)
+        rows = [score_row(setting_name(f), k, found.train[f, k], found.test[f, k]) for f in grid for k in found.folds]
+        name = best_name([setting_name(f) for f in grid], rows)
+        best = next(f for f in grid if setting_name(f) == name)
+        model = tree_pipeline(scaler, H.grow_forests(data, [(best, None)])[0], data, "forest")
+        folds = {k: tree_pipeline(scaler, found.trees(best, k), data, "forest") for k in found.folds}
+    finally:
+        data.release()
+    return Tuned(train_with_folds.sparkSession, [setting_name(f) for f in grid], rows, model, folds)
+
+
 # ------------------------------------------------------- kernel approx ---
 def rff_matrix(n_in: int, n_components: int, gamma: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """w ~ N(0, 2γ I) (D × d), b ~ U(0, 2π): fixed by the seed, so a saved

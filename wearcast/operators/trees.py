@@ -18,7 +18,7 @@ any partitioning.
   subset per node.  Several forests (folds, leaf sizes) grow in the same
   passes.  A tree cut at a smaller depth or a larger split minimum is the tree
   that these settings would grow, so a grid needs one forest per fold and leaf
-  size (``grid_scores``).
+  size (``grid_search``).
 
 The per-partition steps run over an RDD of numpy blocks: iterative work on
 partition state, with a job per level whose latency is the cost of small data.
@@ -478,10 +478,10 @@ def grow_forests(data: Binned, wanted: Sequence[tuple[Forest, int | None]]) -> l
             first = last
 
 
-def _forest_counts(data: Binned, forests: list[tuple[list[Tree], int | None]]) -> dict:
+def _forest_counts(data: Binned, forests: list[list[Tree]]) -> dict:
     """Confusion counts {(forest, fold of the row): [tn, fp, fn, tp]} of every
     forest over all rows in one pass."""
-    shared = data.blocks.ctx.broadcast([[t.arrays() for t in trees] for trees, _ in forests])
+    shared = data.blocks.ctx.broadcast([[t.arrays() for t in trees] for trees in forests])
 
     def count(it):
         out = {}
@@ -499,27 +499,45 @@ def _forest_counts(data: Binned, forests: list[tuple[list[Tree], int | None]]) -
     return found
 
 
-def grid_scores(data: Binned, grid: Sequence[Forest]) -> list[tuple[Forest, int, list[int], list[int]]]:
-    """(setting, fold, counts on the other folds, counts on the fold) of every
-    setting and fold, counts as tn, fp, fn, tp.  One forest grows per fold and
-    choice of leaf size, features, seed; settings are cuts of it."""
+@dataclass
+class Search:
+    """A grid search: confusion counts (tn, fp, fn, tp) by setting and fold, on
+    the other folds and on the fold itself, and the forests behind them."""
+
+    grid: list[Forest]
+    folds: list[int]
+    train: dict
+    test: dict
+    grown: dict
+
+    def trees(self, setting: Forest, fold: int) -> list[Tree]:
+        """The forest of a setting that was grown without ``fold``."""
+        base, forest = self.grown[_family(setting), fold]
+        return [t.cut(setting.max_depth, setting.min_split) for t in forest[: setting.trees]]
+
+
+def _family(f: Forest) -> tuple:
+    """Settings that agree in these are cuts of one forest."""
+    return f.min_leaf, f.features, f.seed, f.bootstrap
+
+
+def grid_search(data: Binned, grid: Sequence[Forest]) -> Search:
+    """Every setting on every fold.  One forest grows per fold and family of
+    settings, all in the same passes; one more pass counts the hits of all."""
     base: dict[tuple, Forest] = {}
     for f in grid:
-        same = (f.min_leaf, f.features, f.seed, f.bootstrap)
-        b = base.get(same, f)
-        base[same] = Forest(max(f.trees, b.trees), max(f.max_depth, b.max_depth), min(f.min_split, b.min_split), *same)
+        b = base.get(_family(f), f)
+        base[_family(f)] = Forest(max(f.trees, b.trees), max(f.max_depth, b.max_depth), min(f.min_split, b.min_split),
+                                  *_family(f))
     wanted = [(b, k) for b in base.values() for k in data.folds]
-    grown = {(w[0], w[1]): forest for w, forest in zip(wanted, grow_forests(data, wanted))}
+    grown = {(_family(b), k): (b, forest) for (b, k), forest in zip(wanted, grow_forests(data, wanted))}
+    out = Search(list(grid), list(data.folds), {}, {}, grown)
     asked = [(f, k) for f in grid for k in data.folds]
-    cuts = []
-    for f, k in asked:
-        whole = grown[base[(f.min_leaf, f.features, f.seed, f.bootstrap)], k]
-        cuts.append(([t.cut(f.max_depth, f.min_split) for t in whole[: f.trees]], k))
-    counts = _forest_counts(data, cuts)
-    out = []
+    counts = _forest_counts(data, [out.trees(f, k) for f, k in asked])
+    none = np.zeros(4, np.int64)
     for i, (f, k) in enumerate(asked):
-        other = sum((counts.get((i, j), np.zeros(4, int)) for j in data.folds if j != k), np.zeros(4, int))
-        out.append((f, k, other.tolist(), np.asarray(counts.get((i, k), np.zeros(4, int))).tolist()))
+        out.train[f, k] = sum((counts.get((i, j), none) for j in data.folds if j != k), none).tolist()
+        out.test[f, k] = np.asarray(counts.get((i, k), none)).tolist()
     return out
 
 
