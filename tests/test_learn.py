@@ -166,3 +166,31 @@ def test_tuned_forest_scores_folds_and_predicts_out_of_fold(spark, train_set):
         assert best.test_accuracy[k] == pytest.approx((part.target == part.predicted_class).mean())
     top = found.table(top=2).collect()
     assert len(top) == 2 and top[0]["setting"] == found.best or top[0]["mean_test_f1"] == top[1]["mean_test_f1"]
+
+
+def test_kernel_machine_pipeline_takes_class_from_the_weighted_margin(spark, train_set, tmp_path):
+    feats, scaler = train_set
+    model = L.fit_kernel_svm(feats, scaler, landmarks=150)
+    assert model.stages[-1].kernelError < 0.1
+    L.save_pipeline(model, str(tmp_path / "svm"))
+    back = L.load_pipeline(str(tmp_path / "svm"))
+    a, b = (L.probabilities(m.transform(feats)).select("reading_id", "target", "margin", "predicted_class", "prob_class_1")
+            .toPandas().sort_values("reading_id", ignore_index=True) for m in (model, back))
+    assert a.equals(b) and ((a.margin > 0) == (a.predicted_class == 1)).all()
+    assert (a.predicted_class == a.target).mean() > 0.9
+    plain = L.probabilities(L.fit_kernel_svm(feats, scaler, landmarks=150, weight_col=None).transform(feats)).toPandas()
+    recall = [p[p.target == 1].predicted_class.mean() for p in (a, plain)]
+    assert recall[0] >= recall[1]
+    assert abs(a.prob_class_1.mean() - a.target.mean()) < 0.03  # calibrated to the unweighted share
+
+
+def test_tuned_kernel_svm_scores_and_out_of_fold(spark, train_set):
+    feats, scaler = train_set
+    folds = M.stratified_folds(feats)
+    found = L.tune_kernel_svm(folds, scaler, landmarks=80)
+    scores = found.scores.toPandas()
+    assert len(scores) == 12 and scores.setting.nunique() == 4 and found.best in set(scores.setting)
+    held = found.out_of_fold(folds).select("fold", "target", "prediction").toPandas()
+    for k, part in held.groupby("fold"):
+        want = scores[(scores.setting == found.best) & (scores.fold == k)].test_accuracy.iloc[0]
+        assert (part.target == part.prediction).mean() == pytest.approx(want, abs=0.003)

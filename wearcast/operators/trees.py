@@ -42,8 +42,8 @@ from ..session import cut_lineage
 
 #: Bins per feature at most (a bin number is one byte).
 BINS = 128
-#: Rows of a block, and bytes of statistics that a task holds in one pass.
-BLOCK_ROWS, PASS_BYTES = 1 << 16, 32 << 20
+#: Rows of a block, rows that are worth a partition, and bytes of statistics that a task holds in one pass.
+BLOCK_ROWS, PART_ROWS, PASS_BYTES = 1 << 16, 5_000, 32 << 20
 #: Up to so many partitions their sums go to the driver directly, beyond through a tree of tasks.
 DIRECT_PARTITIONS = 64
 #: Trees that are applied to a block anew in each pass before its margins are stored.
@@ -81,6 +81,11 @@ class Block:
     margin: np.ndarray | None = None
 
 
+def few(rdd, rows: float, per_part: int):
+    """No more partitions than the rows need: a pass over small data costs mostly its tasks."""
+    return rdd.coalesce(max(1, min(rdd.getNumPartitions(), math.ceil(rows / per_part))))
+
+
 def bin_edges(df: DataFrame, cols: Sequence[str], bins: int = BINS) -> list[np.ndarray]:
     """Distinct approximate quantiles of each column (one aggregation); a
     value's bin is the number of edges below it, missing values come last."""
@@ -146,7 +151,8 @@ def binned(df: DataFrame, cols: Sequence[str], label: str, weight: str | None =
                      np.frombuffer(r["fold"], np.int32), np.frombuffer(r["key"], np.int64).view(np.uint64))
 
     table = cut_lineage(rows.mapInArrow(pack, "x binary, y binary, w binary, fold binary, key binary"))
-    blocks = table.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
+    n = table.agg(F.sum(F.length("y"))).first()[0] or 0
+    blocks = few(table.rdd, n, PART_ROWS).map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
     facts = blocks.map(lambda b: (len(b.y), float(b.w.sum()), float(b.w.max(initial=0)), set(b.fold.tolist()))).collect()
     folds = sorted(set().union(*[f[3] for f in facts]) - {-1})
     return Binned(blocks, cols, edges, sum(f[0] for f in facts), math.fsum(f[1] for f in facts),
