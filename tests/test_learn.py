@@ -194,3 +194,32 @@ def test_tuned_kernel_svm_scores_and_out_of_fold(spark, train_set):
     for k, part in held.groupby("fold"):
         want = scores[(scores.setting == found.best) & (scores.fold == k)].test_accuracy.iloc[0]
         assert (part.target == part.prediction).mean() == pytest.approx(want, abs=0.003)
+
+
+def test_permutation_importance_equals_a_plain_shuffle(spark, train_set):
+    """Same permutation by sorting md5 values in one place; any partitioning; works for the kernel machine."""
+    import hashlib
+
+    from wearcast.plans.tree_checks import INPUTS, rule_model
+
+    feats, scaler = train_set
+    model = rule_model()
+    got = L.permutation_importance(model, feats, seed=9).toPandas().set_index("feature")
+    again = L.permutation_importance(model, feats.repartition(7), seed=9).toPandas().set_index("feature")
+    assert got.equals(again) and sorted(got["rank"]) == [1, 2, 3, 4, 5]
+    rows = model.stages[0].transform(feats).select("reading_id", "target", *INPUTS).toPandas()
+
+    def order(name):
+        return rows.iloc[np.argsort([hashlib.md5(f"{i}:9:{name}".encode()).hexdigest() for i in rows.reading_id])]
+
+    a, b = order("rows").reset_index(drop=True), order("values").reset_index(drop=True)
+    from wearcast.operators.trees import Scorer
+
+    score = Scorer(model.stages[-1].getOrDefault(model.stages[-1].model))
+    for c in INPUTS:
+        x = a[INPUTS].copy()
+        x[c] = b[c]
+        assert got.accuracy[c] == pytest.approx((((score(x.to_numpy()) > 0.5) == a.target).mean()))
+    svm = L.permutation_importance(L.fit_kernel_svm(feats, scaler, landmarks=60), feats)
+    assert svm.count() == 10 and svm.orderBy("rank").first()["accuracy_drop"] > 0.02
+    assert L.permutation_importance(model, feats.limit(0)).count() == 0

@@ -49,6 +49,7 @@ from ..functions.features import FEATURE_SQL
 from ..session import cut_lineage, ship_package
 from . import kernel as K
 from . import trees as H
+from .prefix import running_totals
 
 VEC = "features_vec"
 
@@ -553,7 +554,7 @@ def feature_importance(model: PipelineModel, cols: Sequence[str] = S.FEATURES, t
     elif hasattr(last, "coefficients"):
         imp = np.abs(last.coefficients.toArray())
     else:
-        raise ValueError("model exposes no importances")
+        raise ValueError("model exposes no importances; permutation_importance works for any")
     if len(imp) != len(cols):
         raise ValueError(f"the last stage weighs {len(imp)} inputs, not the {len(cols)} features")
     tot = float(imp.sum()) or 1.0
@@ -565,6 +566,50 @@ def feature_importance(model: PipelineModel, cols: Sequence[str] = S.FEATURES, t
     return df.where(F.col("rank") <= top) if top else df
 
 
+def permutation_importance(model: PipelineModel, df: DataFrame, label: str = S.TARGET, id_col: str = "reading_id",
+                           seed: int = 42) -> DataFrame:
+    """(feature, accuracy, accuracy_drop, f1_drop, rank): how much worse the
+    model scores when one of its inputs is shuffled, for any model.
+
+    Rows are ranked exactly in two hash orders of their ids; a row takes the
+    shuffled value from the row of equal rank in the other order.  So the
+    result follows from ids and seed alone, whatever the partitioning, and no
+    task holds a column.  All inputs are scored in one pass.  Rows without a
+    label are left out; ids should be unique (equal ids are ordered by value)."""
+    first = next(i for i, st in enumerate(model.stages) if st.hasParam("inputCols") and st.isDefined("inputCols"))
+    inputs, tail = model.stages[first].getInputCols(), PipelineModel(stages=model.stages[first:])
+    known = PipelineModel(stages=model.stages[:first]).transform(df.where(F.col(label).isNotNull()))
+    known = cut_lineage(known.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label"),
+                                     *[F.col(f"`{c}`").alias(f"_v{i}") for i, c in enumerate(inputs)]))
+
+    def ranked(order: str, names: list) -> DataFrame:
+        hashed = known.withColumns({"_hash": F.md5(F.concat_ws(":", "_id", F.lit(seed), F.lit(order))), "_one": F.lit(1)})
+        at = running_totals(hashed, [], ["_hash", "_id", *[f"_v{i}" for i in range(len(inputs))]], ["_one"])
+        return at.select(F.col("_one_before").cast("long").alias("_rank"), *names)
+
+    rows = ranked("rows", ["_label", *[f"_v{i}" for i in range(len(inputs))]])
+    values = ranked("values", [F.col(f"_v{i}").alias(f"_p{i}") for i in range(len(inputs))])
+    pairs = cut_lineage(rows.join(values, "_rank"))
+    each = pairs.withColumn("_which", F.explode(F.sequence(F.lit(-1), F.lit(len(inputs) - 1))))
+    each = each.select("_which", "_label", *[F.when(F.col("_which") == i, F.col(f"_p{i}")).otherwise(F.col(f"_v{i}")).alias(c)
+                                             for i, c in enumerate(inputs)])
+    hit, pos = F.col("prediction").cast("int"), F.col("_label") == 1
+    n = tail.transform(each).groupBy("_which").agg(
+        F.avg((hit == F.col("_label")).cast("double")).alias("accuracy"), F.count_if(pos & (hit == 1)).alias("tp"),
+        F.count_if(hit != F.col("_label")).alias("wrong"))
+    n = n.withColumn("f1", F.when(F.col("tp") == 0, 0.0).otherwise(2 * F.col("tp") / (2 * F.col("tp") + F.col("wrong"))))
+    found = {r["_which"]: r for r in n.collect()}  # a row per input
+    if not found:
+        rows = []
+    else:
+        whole = found[-1]
+        rows = [(c, found[i]["accuracy"], whole["accuracy"] - found[i]["accuracy"], whole["f1"] - found[i]["f1"])
+                for i, c in enumerate(inputs)]
+        rows.sort(key=lambda r: (-r[2], r[0]))
+    return df.sparkSession.createDataFrame([(*r, k + 1) for k, r in enumerate(rows)],
+                                           "feature string, accuracy double, accuracy_drop double, f1_drop double, rank int")
+
+
 # ------------------------------------------------------------- scoring ---
 def probabilities(pred: DataFrame, prob_col: str = "probability", pred_col: str = "prediction") -> DataFrame:
     """predicted_class, prob_class_0/1 and confidence = max probability."""

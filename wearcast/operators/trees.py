@@ -348,12 +348,12 @@ def boost(data: Binned, settings: Boosting | None = None) -> list[Tree]:
             gain, slot, at = _best(left, total, score, allowed) if bins > 1 else (np.full(len(active), -np.inf), [], [])
             tree.active = []
             for k, node in enumerate(active):
-                tree.value[node] = -s.learning_rate * total[k, 0] / (total[k, 1] + lam)
+                tree.value[node] = float(-s.learning_rate * total[k, 0] / (total[k, 1] + lam))
                 if gain[k] - s.gamma > 1e-9 and tree.depth(node) < s.max_depth:
                     first = tree.split(node, int(cols[slot[k]]), int(at[k]), float(gain[k]))
                     below = left[k, slot[k], at[k]]
                     for child, t in ((first, below), (first + 1, total[k] - below)):
-                        tree.value[child] = -s.learning_rate * t[0] / (t[1] + lam)
+                        tree.value[child] = float(-s.learning_rate * t[0] / (t[1] + lam))
                         if tree.depth(child) < s.max_depth:
                             tree.active.append(child)
         done.append(tree)

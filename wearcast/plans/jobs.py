@@ -36,6 +36,7 @@ from ..operators import registry as G
 from ..operators import sampling as M
 from ..operators import scaling as T
 from ..operators import score as I
+from ..operators import trees as H
 from ..sources import readings as R
 from ..sources import sinks
 from ..session import cut_lineage
@@ -90,28 +91,32 @@ def features_job(spark: SparkSession, raw: DataFrame, base: str, machine_type: s
 
 
 # ------------------------------------------------------------- training ---
-def _search(name: str, train: DataFrame, scaler: dict, svm_components: int = 300):
-    """(pipeline, grid) of an algorithm; its first setting is the default."""
-    if name == "random_forest":
-        rf = L.random_forest()
-        return L.model_pipeline(scaler, rf), L.random_forest_grid(rf)
-    if name == "boosted_trees":
-        return L.model_pipeline(scaler, L.boosted_trees()), [{}]
-    if name == "kernel_svm":
-        return L.kernel_svm_search(train, scaler, n_components=svm_components)[:2]
-    raise ValueError(name)
-
-
 def _fit(name: str, train: DataFrame, scaler: dict, tune: bool, grid_size: int | None):
     """(model fitted on all training rows, out-of-fold predictions).  Tuned:
     the best grid setting by class-1 F1 over stratified folds, refitted, and
-    its predictions of each fold by a fit on the others."""
-    pipeline, grid = _search(name, train, scaler)
+    each fold's predictions by the search's own model of the other folds."""
+    ratio = L.class_ratio(train)
+    plain = {
+        "random_forest": lambda rows: L.fit_forest(rows, scaler),
+        "boosted_trees": lambda rows: L.fit_boosted(rows, scaler, H.Boosting(scale_pos_weight=ratio)),
+        "kernel_svm": lambda rows: L.fit_kernel_svm(rows, scaler),
+    }
+    if name not in plain:
+        raise ValueError(name)
     if not tune:
-        return pipeline.fit(L.prepare_training(train)), None
+        return plain[name](train), None
     folds = cut_lineage(M.stratified_folds(train))
-    found = L.tune(folds, pipeline, grid[:grid_size])
-    return found.bestModel, L.out_of_fold_predictions(folds, pipeline.copy(L.best_setting(found)))
+    if name == "random_forest":
+        found = L.tune_forest(folds, scaler, L.forest_grid()[:grid_size])
+    elif name == "kernel_svm":
+        found = L.tune_kernel_svm(folds, scaler, [(c, g) for c in (1.0, 10.0) for g in ("scale", "auto")][:grid_size])
+    else:  # one setting
+        held = None
+        for k in range(S.CV_FOLDS):
+            part = plain[name](folds.where(F.col("fold") != k)).transform(folds.where(F.col("fold") == k))
+            held = part if held is None else held.unionByName(part)
+        return plain[name](train), held
+    return found.model, found.out_of_fold(folds)
 
 
 def training_job(spark: SparkSession, base: str, algorithms: tuple[str, ...] = ("random_forest", "kernel_svm"),

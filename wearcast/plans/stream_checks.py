@@ -11,7 +11,8 @@ from ..sources import readings as R
 from ..streaming import files as ST
 from .book import register, rounded, with_ctes
 from .ingest_checks import FEATURES_SQL, _round_sql
-from .model_checks import SCORES_SQL, _fit, _new_readings, checked_scores
+from .model_checks import _new_readings
+from .tree_checks import RULE_SCORES_SQL, rule_model
 
 
 #: Rows of an arriving file; the number of files follows the input.
@@ -40,14 +41,14 @@ def stream_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.parquet(sink))
 
 
-@register("stream_score", SCORES_SQL)
+@register("stream_score", RULE_SCORES_SQL)
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New readings arrive as files; the saved scaler + RF pipeline scores
+    """New readings arrive as files; a pipeline scores
     each batch; predictions and per-batch statistics land in tables."""
     new = _new_readings(spark, sf_dir)
     src = _arrivals(new, spark, "new_readings")
     stream = ST.file_stream(spark, src, "reading_id STRING, " + ", ".join(f"{c} DOUBLE" for c in S.SENSORS))
     preds, stats = R.scratch_path(spark, "pred_sink"), R.scratch_path(spark, "stats_sink")
-    ST.score_stream(stream, _fit(spark, sf_dir, "rf"), "1", "champion", preds, stats,
+    ST.score_stream(stream, rule_model(), "1", "champion", preds, stats,
                     R.scratch_path(spark, "score_ckpt"), keep=("reading_id",))
-    return checked_scores(spark.read.parquet(preds))
+    return rounded(spark.read.parquet(preds).drop("batch_id", "inference_timestamp"))
