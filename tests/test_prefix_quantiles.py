@@ -60,6 +60,29 @@ def test_brackets_that_miss_are_widened(spark):
                 assert v == pytest.approx(pdf[c].quantile(p), rel=1e-12, abs=1e-12)
 
 
+@pytest.mark.parametrize("few", [0, 3, 40])
+def test_many_rounds_of_brackets_give_the_same(spark, monkeypatch, few):
+    """With room for few values a bracket is narrowed again and again; heavy
+    ties at its ends, extreme and infinite values do not hold it up."""
+    import wearcast.operators.quantiles as module
+
+    monkeypatch.setattr(module, "FEW", few)
+    monkeypatch.setattr(module, "INNER", 20)
+    rng = np.random.default_rng(few)
+    n = 4000
+    pdf = pd.DataFrame({"a": rng.normal(size=n) * 10.0 ** rng.integers(-200, 200, n), "b": np.where(rng.random(n) < 0.9, 1.0, rng.normal(size=n)),
+                        "c": rng.integers(0, 3, n).astype(float), "d": rng.uniform(size=n)})
+    pdf.loc[:50, "d"] = np.inf
+    probs = [0.0, 0.05, 0.25, 0.5, 0.951, 1.0]
+    got = quantiles(spark.createDataFrame(pdf).repartition(5), list(pdf), probs, accuracy=30).collect()
+    for r in got:
+        values = np.sort(pdf[r["feature"]].to_numpy())
+        low = int(r["prob"] * (n - 1))
+        a, b = values[low], values[min(low + 1, n - 1)]
+        want = a if a == b else a + (b - a) * (r["prob"] * (n - 1) - low)
+        assert r["quantile"] == want or r["quantile"] == pytest.approx(want, rel=1e-12)
+
+
 def test_mixed_running_aggregates_one_pass(spark):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 800), "o": rng.permutation(800), "v": rng.integers(0, 9, 800),

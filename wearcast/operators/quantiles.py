@@ -2,15 +2,17 @@
 
 Exact (default) = linear interpolation between order statistics, the same
 definition as pandas ``quantile``, Spark ``percentile`` and DuckDB
-``quantile_cont``.  One path at every size, bracket and refine:
+``quantile_cont``.  One path at every size, by counting; no value is sorted
+or moved:
 
 1. one pass counts the cells and takes ``percentile_approx`` sketches (a
    proven rank error) a little below and above each wanted rank: a bracket;
-2. one pass counts exactly what lies below each bracket, and one collects the
-   distinct values inside with their counts (map-side combined);
-3. distributed running totals (``prefix.running_totals``) rank those few
-   values; a rank that its bracket misses is looked up again in a bracket of
-   all values.
+2. one pass counts exactly what lies below each bracket, on its two ends and
+   between them.  A rank on an end is found; ties, however many, end here;
+3. of a bracket that still has more than ``FEW`` cells between its ends, a
+   sketch of those cells gives a bracket some thousand times smaller, and step
+   2 follows again; a rank that its bracket misses goes on in what is left on
+   that side.  The other brackets' few values are counted and picked from.
 
 ``method="approx"`` uses ``percentile_approx`` alone (one pass, bounded memory).
 """
@@ -22,7 +24,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .prefix import running_totals
+
+#: Cells of a bracket whose distinct values are read by the driver.
+FEW = 10_000
+#: Least accuracy of a sketch inside a bracket.
+INNER = 1000
 
 
 def _cells(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -31,15 +37,68 @@ def _cells(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                        for i, c in enumerate(cols)])
 
 
-def _inside(cells: DataFrame, wanted: dict[int, tuple[int, float, float]]) -> tuple[dict[int, int], DataFrame]:
-    """For each wanted (column, low, high): the number of cells below low, and
-    the distinct values in [low, high] as (t, value, n)."""
-    below = cells.agg(*[F.count_if(F.col(f"c{c}") < F.lit(low)).alias(f"b{t}") for t, (c, low, _) in wanted.items()]).first()
+def _count(cells: DataFrame, brackets: dict[int, tuple[int, float, float]]) -> dict[int, list[int]]:
+    """Cells below, on the low end, between and on the high end of each bracket (column, low, high)."""
+    aggs = []
+    for t, (c, low, high) in brackets.items():
+        x, a, b = F.col(f"c{c}"), F.lit(low), F.lit(high)
+        parts = [x < a, x == a, (x > a) & (x < b), (x == b) & F.lit(low != high)]
+        aggs += [F.count_if(p).alias(f"k{t}_{i}") for i, p in enumerate(parts)]
+    row = cells.agg(*aggs).first()
+    return {t: [row[f"k{t}_{i}"] for i in range(4)] for t in brackets}
+
+
+def _between(cells: DataFrame, brackets: dict[int, tuple[int, float, float]]) -> dict[int, list[tuple[float, int]]]:
+    """The sorted distinct values between each bracket's ends, with their counts."""
     found = F.explode(F.filter(F.array(*[
-        F.struct(F.lit(t).alias("t"), F.when(F.col(f"c{c}").between(low, high), F.col(f"c{c}")).alias("value"))
-        for t, (c, low, high) in wanted.items()]), lambda x: x["value"].isNotNull()))
-    hist = cells.select(found.alias("x")).select("x.*").groupBy("t", "value").agg(F.count("*").alias("n"))
-    return {t: below[f"b{t}"] for t in wanted}, hist
+        F.struct(F.lit(t).alias("t"), F.when((F.col(f"c{c}") > low) & (F.col(f"c{c}") < high), F.col(f"c{c}")).alias("value"))
+        for t, (c, low, high) in brackets.items()]), lambda x: x["value"].isNotNull()))
+    out: dict[int, list[tuple[float, int]]] = {t: [] for t in brackets}
+    for r in cells.select(found.alias("x")).select("x.*").groupBy("t", "value").agg(F.count("*").alias("n")).collect():
+        out[r["t"]].append((r["value"], r["n"]))
+    return {t: sorted(v) for t, v in out.items()}
+
+
+def _ranked(cells: DataFrame, wanted: dict[int, tuple[int, int]], brackets: dict[int, tuple[int, float, float]],
+            ends: dict[int, tuple[float, float]], accuracy: int) -> dict[int, float]:
+    """The value of rank r in column c, for each wanted (c, r); ends holds each column's least and largest value."""
+    out: dict[int, float] = {}
+    while brackets:
+        refine: dict[int, tuple[float, float, float, float]] = {}
+        few: dict[int, tuple[int, float, float]] = {}
+        start: dict[int, int] = {}
+        counts = _count(cells, brackets)
+        missed = {}
+        for t, (c, low, high) in brackets.items():
+            below, at_low, inner, at_high = counts[t]
+            r = wanted[t][1]
+            if r < below:
+                missed[t] = (c, ends[c][0], low)
+            elif r >= below + at_low + inner + at_high:
+                missed[t] = (c, high, ends[c][1])
+            elif r < below + at_low:
+                out[t] = low
+            elif r >= below + at_low + inner:
+                out[t] = high
+            elif inner <= FEW:
+                few[t], start[t] = (c, low, high), below + at_low
+            else:
+                share, slack = (r - below - at_low) / inner, 2.0 / max(accuracy, INNER)
+                refine[t] = (low, high, max(0.0, share - slack), min(1.0, share + slack))
+        for t, values in (_between(cells, few) if few else {}).items():
+            at = start[t]
+            for v, n in values:
+                at += n
+                if wanted[t][1] < at:
+                    out[t] = v
+                    break
+        if refine:
+            row = cells.agg(*[F.percentile_approx(
+                F.when((F.col(f"c{wanted[t][0]}") > low) & (F.col(f"c{wanted[t][0]}") < high), F.col(f"c{wanted[t][0]}")),
+                [p, q], max(accuracy, INNER)).alias(f"r{t}") for t, (low, high, p, q) in refine.items()]).first()
+            missed |= {t: (wanted[t][0], *row[f"r{t}"]) for t in refine}
+        brackets = missed
+    return out
 
 
 def quantiles(
@@ -66,30 +125,20 @@ def quantiles(
         result |= {(i, j): first[f"q{i}"][j] for i, j in result if first[f"n{i}"]}
     else:
         # order statistics floor(h) and floor(h) + 1 (capped), h = p·(N − 1)
-        ranks = {}
+        ranks, wanted, brackets = {}, {}, {}
         for i, j in result:
             if n := first[f"n{i}"]:
                 low = int(probs[j] * (n - 1))
                 ranks[i, j] = (low, min(low + 1, n - 1), probs[j] * (n - 1) - low)
-        todo = {i * len(probs) + j: (i, *first[f"q{i}"][2 * j : 2 * j + 2]) for i, j in ranks}
-        while todo:
-            below, hist = _inside(cells, todo)
-            ranked = running_totals(hist, ["t"], ["value"], ["n"])
-            start = F.col("n_before").cast("long") + F.get(F.array(*[F.lit(below.get(t, 0)) for t in range(max(todo) + 1)]), "t")
-            want = [(t, k, r) for t in todo for k, r in enumerate(ranks[divmod(t, len(probs))][:2])]
-            hit = F.filter(F.array(*[F.struct(F.lit(t).alias("wt"), F.lit(k).alias("k"), F.lit(r).cast("long").alias("r")) for t, k, r in want]),
-                           lambda w: (w["wt"] == F.col("t")) & (w["r"] >= start) & (w["r"] < start + F.col("n")))
-            got = {(r["t"], r["k"]): r["value"] for r in ranked.select("t", "value", F.explode(hit).alias("w")).select(
-                "t", "value", "w.k").collect()}
-            missed = {}
-            for t, (c, _, _) in todo.items():
-                i, j = divmod(t, len(probs))
-                if (t, 0) in got and (t, 1) in got:
-                    a, b = got[t, 0], got[t, 1]
-                    result[i, j] = a if a == b else a + (b - a) * ranks[i, j][2]
-                else:
-                    missed[t] = (c, first[f"lo{c}"], first[f"hi{c}"])
-            todo = missed
+                for k, r in enumerate(dict.fromkeys(ranks[i, j][:2])):
+                    t = 2 * (i * len(probs) + j) + k
+                    wanted[t], brackets[t] = (i, r), (i, *first[f"q{i}"][2 * j : 2 * j + 2])
+        ends = {i: (first[f"lo{i}"], first[f"hi{i}"]) for i in range(len(cols))}
+        got = _ranked(cells, wanted, brackets, ends, accuracy)
+        for (i, j), (low, high, part) in ranks.items():
+            t = 2 * (i * len(probs) + j)
+            a, b = got[t], got[t + 1] if high != low else got[t]
+            result[i, j] = a if a == b else a + (b - a) * part
     rows = [(cols[i], probs[j], v) for (i, j), v in result.items()]
     return df.sparkSession.createDataFrame(rows, "feature string, prob double, quantile double")
 
