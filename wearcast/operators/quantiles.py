@@ -20,6 +20,7 @@ or moved:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,9 +51,11 @@ def _count(cells: DataFrame, brackets: dict[int, tuple[int, float, float]]) -> d
 
 def _between(cells: DataFrame, brackets: dict[int, tuple[int, float, float]]) -> dict[int, list[tuple[float, int]]]:
     """The sorted distinct values between each bracket's ends, with their counts."""
+    inner = {t: (F.col(f"c{c}") > low) & (F.col(f"c{c}") < high) for t, (c, low, high) in brackets.items()}
     found = F.explode(F.filter(F.array(*[
-        F.struct(F.lit(t).alias("t"), F.when((F.col(f"c{c}") > low) & (F.col(f"c{c}") < high), F.col(f"c{c}")).alias("value"))
-        for t, (c, low, high) in brackets.items()]), lambda x: x["value"].isNotNull()))
+        F.struct(F.lit(t).alias("t"), F.when(inner[t], F.col(f"c{c}")).alias("value")) for t, (c, _, _) in brackets.items()]),
+        lambda x: x["value"].isNotNull()))
+    cells = cells.where(reduce(lambda a, b: a | b, inner.values()))  # most rows end here
     out: dict[int, list[tuple[float, int]]] = {t: [] for t in brackets}
     for r in cells.select(found.alias("x")).select("x.*").groupBy("t", "value").agg(F.count("*").alias("n")).collect():
         out[r["t"]].append((r["value"], r["n"]))

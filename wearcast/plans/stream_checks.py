@@ -12,7 +12,7 @@ from ..streaming import files as ST
 from .book import register, rounded, with_ctes
 from .ingest_checks import FEATURES_SQL, _round_sql
 from .model_checks import _new_readings
-from .tree_checks import RULE_SCORES_SQL, rule_model
+from .tree_checks import RULE_SCORES_SQL, rule_model, rule_scores_sql
 
 
 #: Rows of an arriving file; the number of files follows the input.
@@ -52,3 +52,18 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     ST.score_stream(stream, rule_model(), "1", "champion", preds, stats,
                     R.scratch_path(spark, "score_ckpt"), keep=("reading_id",))
     return rounded(spark.read.parquet(preds).drop("batch_id", "inference_timestamp"))
+
+
+@register("stream_score_checked", rule_scores_sql(
+    X.READINGS_DIRTY_SQL, "m AS (SELECT " + ", ".join(f"median({c}) AS m_{c}" for c in S.SENSORS) + " FROM readings_dirty)",
+    "filled AS (SELECT reading_id, target, " + ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in S.SENSORS)
+    + " FROM readings_dirty CROSS JOIN m)", source="filled"))
+def stream_score_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings with missing cells arrive as files; the batch passes the gate,
+    is filled with its medians and scored."""
+    new = X.readings_dirty(spark, sf_dir).select("reading_id", *S.SENSORS)
+    src = _arrivals(new, spark, "dirty_readings")
+    stream = ST.file_stream(spark, src, "reading_id STRING, " + ", ".join(f"{c} DOUBLE" for c in S.SENSORS))
+    base = R.scratch_path(spark, "checked_stream")
+    ST.score_checked_stream(stream, rule_model(), "1", "champion", base, f"{base}/checkpoint", keep=("reading_id",))
+    return rounded(spark.read.parquet(f"{base}/predictions").drop("batch_id", "inference_timestamp"))

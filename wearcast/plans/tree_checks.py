@@ -69,11 +69,17 @@ def _share_sql(column=lambda c: c.removeprefix("f_")) -> str:
     return "(" + " + ".join(_rule_sql(r, column) for r in RULES) + f") / {len(RULES)}"
 
 
-RULE_SCORES_SQL = with_ctes(
-    X.READINGS_SQL, FEATURES_SQL.replace("WHERE type = 'L'", ""), f"p AS (SELECT *, {_share_sql()} AS p FROM features)",
-    body="SELECT reading_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in S.FEATURES) + ", CAST(p > 0.5 AS INTEGER) AS "
-    "predicted_class, round(1 - p, 6) AS prob_class_0, round(p, 6) AS prob_class_1, round(greatest(p, 1 - p), 6) AS confidence, "
-    "'1' AS model_version, 'champion' AS model_stage FROM p")
+def rule_scores_sql(*ctes: str, source: str) -> str:
+    """The rule model's scores of all rows of a CTE with the sensors."""
+    return with_ctes(
+        *ctes, FEATURES_SQL.replace("FROM readings WHERE type = 'L'", f"FROM {source}"),
+        f"p AS (SELECT *, {_share_sql()} AS p FROM features)",
+        body="SELECT reading_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in S.FEATURES) + ", CAST(p > 0.5 AS INTEGER) AS "
+        "predicted_class, round(1 - p, 6) AS prob_class_0, round(p, 6) AS prob_class_1, round(greatest(p, 1 - p), 6) AS confidence, "
+        "'1' AS model_version, 'champion' AS model_stage FROM p")
+
+
+RULE_SCORES_SQL = rule_scores_sql(X.READINGS_SQL, source="readings")
 
 
 @register("rule_scores", RULE_SCORES_SQL)
