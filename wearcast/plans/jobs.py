@@ -39,6 +39,7 @@ from ..operators import score as I
 from ..operators import trees as H
 from ..sources import readings as R
 from ..sources import sinks
+from ..sources import versions as V
 from ..session import cut_lineage
 
 MODEL_NAME = "predictive_maintenance_model"
@@ -140,21 +141,20 @@ def training_job(spark: SparkSession, base: str, algorithms: tuple[str, ...] = (
     scaler = T.collect_scaler(T.scaler_fit(train))
 
     registry = _maybe(spark, f"{base}/registry")
-    next_version = 1 if registry is None else (registry.where(F.col("name") == name)
-                                                .agg(F.max("version")).first()[0] or 0) + 1
+    listed = 0 if registry is None else registry.where(F.col("name") == name).agg(F.max("version")).first()[0] or 0
     run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     metrics, held, new_versions, runs = None, None, [], []
-    for i, algo in enumerate(algorithms):
+    for algo in algorithms:
         model, out_of_fold = _fit(algo, train, scaler, tune, grid_size)
-        version = next_version + i
-        L.save_pipeline(model, f"{base}/models/{name}/{version}")
-        pred = L.probabilities(model.transform(sp))
+        version = V.claim_version(spark, base, name, listed)  # another training may run
+        V.publish_model(spark, model, base, name, version)
+        pred = cut_lineage(L.probabilities(model.transform(sp)).select("split", S.TARGET, "predicted_class", "prob_class_1"))
         m = E.classification_metrics(pred, label=S.TARGET, prediction="predicted_class", by=["split"])
         auc = E.roc_auc(pred, label=S.TARGET, score="prob_class_1", by=["split"])
         m = m.join(auc, "split").withColumn("model", F.lit(algo))
         metrics = m if metrics is None else metrics.unionByName(m)
         if out_of_fold is not None:
-            folds = L.probabilities(out_of_fold).select("fold", S.TARGET, "predicted_class")
+            folds = cut_lineage(L.probabilities(out_of_fold).select("fold", S.TARGET, "predicted_class"))
             f = E.classification_metrics(folds, label=S.TARGET, prediction="predicted_class", by=["fold"]).withColumn(
                 "model", F.lit(algo))
             held = f if held is None else held.unionByName(f)
@@ -171,9 +171,9 @@ def training_job(spark: SparkSession, base: str, algorithms: tuple[str, ...] = (
 
     versions = spark.createDataFrame(new_versions, "name string, version long, f1 double, algorithm string, "
                                                    "run_id string")
-    versions.write.mode("append").parquet(f"{base}/registry")
-    spark.createDataFrame(runs, "run_id string, start_time timestamp_ntz, algorithm string, f1 double, "
-                                "experiment_type string").write.mode("append").parquet(f"{base}/runs")
+    V.append_rows(spark.createDataFrame(runs, "run_id string, start_time timestamp_ntz, algorithm string, f1 double, "
+                                              "experiment_type string"), f"{base}/runs")
+    V.append_rows(versions, f"{base}/registry")
     reg = spark.read.parquet(f"{base}/registry")
     decisions = G.champion_decisions(reg)
     aliases = G.current_aliases(decisions)
