@@ -1,26 +1,35 @@
 """Benchmark decontamination: BM25 over test items with block-max WAND.
 
-The test items form an inverted index (BM25 impacts, scaled so that an item's
-own text scores 1 against it), cut into blocks of items with the largest
-impact of each term in each block.  Every document is cut into overlapping
-passages of whole words, and every passage is a query.  The sum of the block
-maxima of its terms bounds what any item of a block can score; blocks below
-the threshold are skipped, and the items of the others get their exact score.
-So every item at or above the threshold is retrieved.
+The test items form an inverted index: for each term the items that hold it,
+with BM25 impacts scaled so that an item's own text scores 1 against it.
+Items lie in blocks; beside its postings a term has its largest impact in each
+block where it occurs, and overall.  Every document is cut into overlapping
+passages of whole words, and every passage is a query:
+
+* its terms are ordered by their largest impacts; from the pivot on, where the
+  running sum can reach the threshold, a term is essential, and only blocks
+  with an essential term are looked at;
+* the block maxima of all its terms bound what an item of a block can score,
+  and blocks below the threshold are skipped;
+* the items of the other blocks get their exact score from the postings.
 
-A retrieved item counts as a leak if the document holds at least ``OVERLAP``
-of the shingles of its question and of its answer (3 words each; a shorter
-part is one shingle of all its words).
+So every item at or above the threshold is retrieved.
 
-Passages have twice the words of the longest item and start every half
-passage, so a copied item lies whole in one.  The index is built on the driver
-for at most ``SHARD_BYTES`` of item text at a time and shipped to the tasks;
-more items are searched shard by shard.
+A retrieved item counts as a leak if a retrieved passage (with a margin of a
+quarter passage on both sides) holds at least ``OVERLAP`` of the shingles of
+its question and of its answer (3 words each; a shorter part is one shingle of
+all its words).
+
+Passages have twice the words of the longest of all items and start every half
+passage, so a copied item lies whole in one.  Term statistics are Spark
+aggregates over all items.  The index is built for at most ``SHARD_BYTES`` of
+item text at a time, in sparse arrays (some 20 bytes a posting), and
+``PASS_SHARDS`` of them are shipped to the tasks and searched in one scan of
+the documents.  Neither bound changes a result.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,13 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .book import query
-from .common import Words, blocks, distinct_sets, raw_text, shingles, table
+from .common import Words, blocks, cut, drop_cut, raw_text, shingles, table
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE = 0.5, 0.6, 3
 ITEMS_PER_BLOCK = 8
 MIN_PASSAGE = 32
-SHARD_BYTES = 8 << 20
+SHARD_BYTES, PASS_SHARDS = 8 << 20, 4
+_BLOOM = 1 << 20
 
 #: Words are runs of letters, digits and non-ASCII bytes; case is dropped for
 #: ASCII and (in ``_folded``) for the Latin-1 letters.
@@ -70,17 +80,27 @@ def split_item(text: str) -> tuple[str, str]:
 class Index:
     """Inverted index of one shard of items.
 
-    ``block_max[t, b]`` is the largest impact of term t in block b.  Postings
-    are ordered by item, so a block's postings of a term are neighbours."""
+    Term t's postings are ``item`` and ``impact`` from start[t] to start[t + 1],
+    by item; its block maxima are ``block`` and ``highest`` from first[t] to
+    first[t + 1]; ``most[t]`` is the largest of them."""
 
     ids: list
-    terms: np.ndarray
-    block_max: np.ndarray
-    impact: list[dict[int, float]]
     parts: list[list[tuple[int, np.ndarray]]]
     passage: int
+    terms: np.ndarray
+    start: np.ndarray
+    item: np.ndarray
+    impact: np.ndarray
+    first: np.ndarray
+    block: np.ndarray
+    highest: np.ndarray
+    most: np.ndarray
     bloom: np.ndarray = field(repr=False)
 
+    @property
+    def blocks(self) -> int:
+        return -(-len(self.ids) // ITEMS_PER_BLOCK)
+
 
 def _part_shingles(words: Words, i: int) -> tuple[int, np.ndarray]:
     """(words a shingle, distinct shingle hashes) of text i of a block."""
@@ -89,37 +109,49 @@ def _part_shingles(words: Words, i: int) -> tuple[int, np.ndarray]:
     return size, np.unique(h[doc == i])
 
 
-def build_index(items: list[tuple[object, str, str]], idf: dict[int, float], average: float) -> Index:
-    """Index of (id, question, answer) items; ``idf`` by term over all items."""
-    bags, parts = [], []
-    for _, question, answer in items:
-        w = words_of(pa.array([question, answer], pa.string()))
-        bags.append(Counter(w.hash.tolist()))
-        parts.append([_part_shingles(w, i) for i in (0, 1)])
-    impact = []
-    for bag in bags:
-        n = sum(bag.values())
-        raw = {t: idf[t] * c * (K1 + 1) / (c + K1 * (1 - B + B * n / average)) for t, c in bag.items()}
-        own = sum(raw.values())
-        impact.append({t: v / own for t, v in raw.items()} if own else {})
-    terms = np.array(sorted({t for bag in bags for t in bag}), dtype=np.uint64)
-    at = {int(t): i for i, t in enumerate(terms)}
-    block_max = np.zeros((len(terms), -(-len(items) // ITEMS_PER_BLOCK)), np.float32)
-    for i, scored in enumerate(impact):
-        for t, v in scored.items():
-            cell = (at[t], i // ITEMS_PER_BLOCK)
-            block_max[cell] = max(block_max[cell], np.nextafter(np.float32(v), np.float32(2)))
-    longest = max((sum(b.values()) for b in bags), default=0)
-    bloom = np.zeros(1 << 20, bool)
-    bloom[terms & np.uint64((1 << 20) - 1)] = True
-    by_term = [{at[t]: v for t, v in scored.items()} for scored in impact]
-    return Index([i for i, _, _ in items], terms, block_max, by_term, parts, 2 * max(longest, MIN_PASSAGE), bloom)
+@dataclass(frozen=True)
+class Facts:
+    """Of all items: their number, mean and largest number of words."""
+
+    items: int
+    average: float
+    longest: int
+
+    @property
+    def passage(self) -> int:
+        return 2 * max(self.longest, MIN_PASSAGE)
+
+
+def build_index(shard: list, facts: Facts) -> Index:
+    """Index of rows (item_id, question, answer, words, postings of (term, count, items with it))."""
+    parts, item, term, value = [], [], [], []
+    for i, r in enumerate(shard):
+        w = words_of(pa.array([r["question"], r["answer"]], pa.string()))
+        parts.append([_part_shingles(w, k) for k in (0, 1)])
+        t, c, n = (np.array([p[k] for p in r["postings"]], kind) for k, kind in enumerate((np.int64, float, float)))
+        idf = np.log(1 + (facts.items - n + 0.5) / (n + 0.5))
+        raw = idf * c * (K1 + 1) / (c + K1 * (1 - B + B * r["words"] / max(1.0, facts.average)))
+        item.append(np.full(len(t), i))
+        term.append(t.view(np.uint64))
+        value.append(raw / raw.sum())
+    item, term, value = np.concatenate(item), np.concatenate(term), np.concatenate(value)
+    order = np.lexsort((item, term))
+    item, term, value = item[order], term[order], value[order]
+    terms, start = np.unique(term, return_index=True)
+    own = item // ITEMS_PER_BLOCK
+    opens = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (own[1:] != own[:-1])))
+    highest = np.maximum.reduceat(value, opens)
+    first = np.searchsorted(opens, np.append(start, len(term)))
+    bloom = np.zeros(_BLOOM, bool)
+    bloom[terms & np.uint64(_BLOOM - 1)] = True
+    return Index([r["item_id"] for r in shard], parts, facts.passage, terms, np.append(start, len(term)), item.astype(np.int32),
+                 value, first, own[opens].astype(np.int32), highest, np.maximum.reduceat(highest, first[:-1]), bloom)
 
 
 def _term_numbers(index: Index, h: np.ndarray) -> np.ndarray:
     """Term number of every word, -1 if it is in no item."""
     out = np.full(len(h), -1, np.int32)
-    maybe = np.flatnonzero(index.bloom[h & np.uint64((1 << 20) - 1)])
+    maybe = np.flatnonzero(index.bloom[h & np.uint64(_BLOOM - 1)])
     at = np.searchsorted(index.terms, h[maybe])
     at[at == len(index.terms)] = 0
     known = index.terms[at] == h[maybe]
@@ -137,9 +169,36 @@ def _passages(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return doc, first, np.minimum(first + size, words.first[doc + 1])
 
 
-def search(index: Index, words: Words, threshold: float) -> dict[tuple[int, int], float]:
-    """Best score of every (document, item) at or above the threshold."""
-    found: dict[tuple[int, int], float] = {}
+def _lists(bounds: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Places of all entries of the terms' lists."""
+    size = bounds[terms + 1] - bounds[terms]
+    ends = np.cumsum(size)
+    return np.repeat(bounds[terms] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def retrieve(index: Index, own: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(items, scores) at or above the threshold for a query of distinct terms."""
+    most = index.most[own]
+    order = np.argsort(most, kind="stable")
+    essential = own[order[np.cumsum(most[order]) >= threshold - 1e-6]]
+    if not len(essential):
+        return np.zeros(0, np.int64), np.zeros(0)
+    candidate = np.zeros(index.blocks, bool)
+    candidate[index.block[_lists(index.first, essential)]] = True
+    at = _lists(index.first, own)
+    candidate &= np.bincount(index.block[at], index.highest[at], index.blocks) >= threshold - 1e-6
+    if not candidate.any():
+        return np.zeros(0, np.int64), np.zeros(0)
+    at = _lists(index.start, own)
+    at = at[candidate[index.item[at] // ITEMS_PER_BLOCK]]
+    score = np.bincount(index.item[at], index.impact[at], len(index.ids))
+    found = np.flatnonzero(score >= threshold - 1e-9)
+    return found, score[found]
+
+
+def search(index: Index, words: Words, threshold: float) -> dict[tuple[int, int], list[tuple[float, int, int]]]:
+    """(score, first, last word) of the passages that retrieve an item, by (document, item)."""
+    found: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
     if not len(index.ids) or not len(words.hash):
         return found
     term = _term_numbers(index, words.hash)
@@ -149,91 +208,107 @@ def search(index: Index, words: Words, threshold: float) -> dict[tuple[int, int]
     low, high = np.searchsorted(at, first), np.searchsorted(at, last)
     # the sum over all words, repeats included, bounds the sum over terms
     total = np.zeros(len(term) + 1)
-    np.cumsum(index.block_max.max(axis=1)[term], out=total[1:])
-    alive = np.flatnonzero(total[high] - total[low] >= threshold - 1e-6)
-    for p in alive:
-        own = np.unique(term[low[p] : high[p]])
-        bound = index.block_max[own].sum(axis=0)
-        for block in np.flatnonzero(bound >= threshold - 1e-4):
-            have = set(own.tolist())
-            for i in range(block * ITEMS_PER_BLOCK, min((block + 1) * ITEMS_PER_BLOCK, len(index.ids))):
-                scored = index.impact[i]
-                value = sum(v for t, v in scored.items() if t in have)
-                if value >= threshold - 1e-9:
-                    key = (int(doc[p]), i)
-                    found[key] = max(found.get(key, 0.0), value)
+    np.cumsum(index.most[term], out=total[1:])
+    for p in np.flatnonzero(total[high] - total[low] >= threshold - 1e-6):
+        for i, score in zip(*(x.tolist() for x in retrieve(index, np.unique(term[low[p] : high[p]]), threshold))):
+            found.setdefault((int(doc[p]), i), []).append((score, int(first[p]), int(last[p])))
     return found
 
 
 class _Shingles:
-    """Distinct shingles of each document of a block, by their number of words."""
+    """Shingles of a block by their number of words, with the word each begins at."""
 
     def __init__(self, words: Words):
         self.words, self.by = words, {}
 
-    def share(self, part: tuple[int, np.ndarray], d: int) -> float:
-        """Share of a part's shingles that document d holds (an absent part: 1)."""
+    def share(self, part: tuple[int, np.ndarray], first: int, last: int) -> float:
+        """Share of a part's shingles between two words (an absent part: 1)."""
         size, wanted = part
         if not size:
             return 1.0
         if size not in self.by:
-            self.by[size] = distinct_sets(*shingles(self.words, size, whole_short=False))
-        doc, h = self.by[size]
-        return float(np.isin(wanted, h[np.searchsorted(doc, d) : np.searchsorted(doc, d, "right")]).mean())
-
-
-def leaks_of(index: Index, col: pa.Array, threshold: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
-    """(document, item, score, question overlap, answer overlap) of the leaks in a block."""
-    words = words_of(col)
-    found = search(index, words, threshold)
-    if not found:
-        return []
-    held, out = _Shingles(words), []
-    for (d, i), score in sorted(found.items()):
-        question, answer = (held.share(p, d) for p in index.parts[i])
-        if question >= overlap and answer >= overlap:
-            out.append((d, i, score, question, answer))
+            doc = self.words.doc
+            begins = np.flatnonzero(doc[: max(0, len(doc) - size + 1)] == doc[size - 1 :])
+            self.by[size] = begins, shingles(self.words, size, whole_short=False)[1]
+        begins, h = self.by[size]
+        held = h[np.searchsorted(begins, first) : np.searchsorted(begins, last - size, "right")]
+        return float(np.isin(wanted, held).mean())
+
+
+def leaks_of(index: Index, words: Words, threshold: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
+    """(document, item, score, question overlap, answer overlap) of the leaks in
+    a block, each by the passage with the largest overlaps, then score."""
+    held, out, margin = _Shingles(words), [], index.passage // 4
+    for (d, i), passages in sorted(search(index, words, threshold).items()):
+        best = None
+        for score, first, last in passages:
+            first, last = max(first - margin, int(words.first[d])), min(last + margin, int(words.first[d + 1]))
+            question, answer = (held.share(p, first, last) for p in index.parts[i])
+            if question >= overlap and answer >= overlap:
+                best = max(best or (0.0, 0.0, 0.0, 0.0), (question + answer, score, question, answer))
+        if best:
+            out.append((d, i, *best[1:]))
     return out
 
 
-def item_shards(items: DataFrame, limit: int = SHARD_BYTES) -> Iterator[list[tuple[object, str, str]]]:
-    """(item_id, question, answer) in shards of at most ``limit`` bytes.
-
-    Items have ``question`` and ``answer`` columns, or one ``text``.  Rows are
-    fetched one partition at a time; items without words are left out."""
+def _item_rows(items: DataFrame) -> DataFrame:
+    """(at, item_id, question, answer, words, terms, counts) of the items with words."""
     split = "question" in items.columns and "answer" in items.columns
+    base = items.select(F.col("item_id").cast("long").alias("item_id"),
+                        *(["question", "answer"] if split else [F.col("text").alias("question"), F.lit("").alias("answer")]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches, "question"):
+            pairs = [(q or "", a or "") if split else split_item(q or "")
+                     for q, a in zip(b.column("question").to_pylist(), b.column("answer").to_pylist())]
+            rows = []
+            for item, (q, a) in zip(b.column("item_id").to_pylist(), pairs):
+                terms, counts = np.unique(words_of(pa.array([q, a], pa.string())).hash, return_counts=True)
+                if len(terms):
+                    rows.append((item, q, a, int(counts.sum()), terms.view(np.int64).tolist(), counts.tolist()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((
+                pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())))],
+                ["item_id", "question", "answer", "words", "terms", "counts"])
+
+    rows = base.mapInArrow(run, "item_id long, question string, answer string, words long, terms array<long>, counts array<long>")
+    return rows.select(F.monotonically_increasing_id().alias("at"), "*")
+
+
+def indexes(items: DataFrame, limit: int = SHARD_BYTES) -> Iterator[Index]:
+    """One index per shard of at most ``limit`` bytes of item text (or one
+    item); statistics are over all items.  Items without words are left out."""
+    rows = cut(_item_rows(items))
+    n = rows.agg(F.count("*"), F.avg("words"), F.max("words")).first()
+    facts = Facts(n[0], n[1] or 0.0, n[2] or 0)
+    posting = rows.select("at", F.explode(F.arrays_zip("terms", "counts")).alias("p")).select(
+        "at", F.col("p.terms").alias("term"), F.col("p.counts").alias("count"))
+    held = posting.groupBy("term").agg(F.count("*").alias("items"))
+    lists = posting.join(held, "term").groupBy("at").agg(F.collect_list(F.struct("term", "count", "items")).alias("postings"))
+    ready = cut(rows.drop("terms", "counts").join(lists, "at"))
     shard, size = [], 0
-    for r in items.select("item_id", *(["question", "answer"] if split else ["text"])).toLocalIterator():
-        question, answer = (r[1] or "", r[2] or "") if split else split_item(r[1] or "")
-        if not (question + answer).strip():
-            continue
-        n = len(question.encode()) + len(answer.encode())
+    for r in ready.orderBy("at").toLocalIterator():  # a partition at a time
+        n = len(r["question"].encode()) + len(r["answer"].encode())
         if shard and size + n > limit:
-            yield shard
+            yield build_index(shard, facts)
             shard, size = [], 0
-        shard.append((r[0], question, answer))
+        shard.append(r)
         size += n
     if shard:
-        yield shard
+        yield build_index(shard, facts)
+    drop_cut(rows)
+    drop_cut(ready)
 
 
-def term_statistics(shard: list[tuple[object, str, str]], seen: Counter, lengths: list[int]) -> None:
-    for _, question, answer in shard:
-        w = words_of(pa.array([question, answer], pa.string()))
-        seen.update(set(w.hash.tolist()))
-        lengths.append(len(w.hash))
-
-
-def indexes(items: DataFrame, limit: int = SHARD_BYTES) -> Iterator[Index]:
-    """One index per shard; term statistics are over all items."""
-    seen, lengths = Counter(), []
-    for shard in item_shards(items, limit):
-        term_statistics(shard, seen, lengths)
-    n = len(lengths)
-    idf = {t: float(np.log(1 + (n - c + 0.5) / (c + 0.5))) for t, c in seen.items()}
-    average = max(1.0, sum(lengths) / max(1, n))
-    for shard in item_shards(items, limit):
-        yield build_index(shard, idf, average)
+def _passes(items: DataFrame, limit: int) -> Iterator[list[Index]]:
+    """The indexes that one scan of the documents searches."""
+    held: list[Index] = []
+    for index in indexes(items, limit):
+        held.append(index)
+        if len(held) == PASS_SHARDS:
+            yield held
+            held = []
+    if held:
+        yield held
 
 
 _LEAK = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
@@ -243,24 +318,27 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
                shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per leak: doc_id, item_id, score, question and answer overlap.
 
-    Null and empty texts have none; repeated rows give repeated leaks; other
-    columns are not read.  Without items, or without documents, it is empty."""
+    Null and empty texts have none; repeated rows and repeated items give
+    repeated leaks; a leak in several passages is one row, by the passage with
+    the largest overlaps, then score.  Texts are searched whole, passage by
+    passage.  Other columns are not read.  Without items, or without documents,
+    it is empty."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = docs.sparkSession.createDataFrame([], _LEAK)
-    for index in indexes(items, shard_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for held in _passes(items, shard_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(held)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = shared.value
             for b in blocks(batches, "text"):
-                rows = leaks_of(own, b.column("text"), threshold, overlap)
-                ids = b.column("doc_id").to_pylist()
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([ids[r[0]] for r in rows], pa.int64()),
-                         pa.array([own.ids[r[1]] for r in rows], pa.int64()),
-                         *[pa.array([round(r[k], 6) for r in rows], pa.float64()) for k in (2, 3, 4)]],
-                        ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+                words, ids = words_of(b.column("text")), b.column("doc_id").to_pylist()
+                for own in shared.value:
+                    rows = leaks_of(own, words, threshold, overlap)
+                    if rows:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([ids[r[0]] for r in rows], pa.int64()),
+                             pa.array([own.ids[r[1]] for r in rows], pa.int64()),
+                             *[pa.array([round(r[k], 6) for r in rows], pa.float64()) for k in (2, 3, 4)]],
+                            ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
         out = out.unionAll(base.mapInArrow(run, _LEAK))
     return out
@@ -268,14 +346,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
 
 def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP,
                   shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """The rows of ``docs`` without a leak, all columns kept."""
-    for index in indexes(items, shard_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    """The rows of ``docs`` without a leak, all columns kept; cases as in ``find_leaks``."""
+    for held in _passes(items, shard_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(held)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in blocks(batches, "text"):
-                keep = np.ones(b.num_rows, bool)
-                keep[[r[0] for r in leaks_of(shared.value, b.column("text"), threshold, overlap)]] = False
+                keep, words = np.ones(b.num_rows, bool), words_of(b.column("text"))
+                for own in shared.value:
+                    keep[[r[0] for r in leaks_of(own, words, threshold, overlap)]] = False
                 yield b.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)
