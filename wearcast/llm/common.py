@@ -133,6 +133,14 @@ def _tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def _value(code: np.ndarray) -> np.ndarray:
+    """Pseudo-random value of a (place in the word, byte) code."""
+    return mix(code.astype(U64) * U64(_BASE) + _C1)
+
+
+_NEAR = _value(np.arange(64 * 256))  # of the first 64 places
+
+
 class Words:
     """The words of a block: byte spans, document numbers and 64-bit hashes.
 
@@ -168,7 +176,10 @@ class Words:
         self.doc = np.repeat(np.arange(len(self.count)), self.count)
         opens = np.append(0, self.start)
         place = np.arange(n) - np.repeat(opens, np.diff(opens, append=n))
-        value = mix((place.view(U64) << U64(8) | (lower[buf] if lower is not None else buf)) * U64(_BASE) + _C1)
+        code = (place << 8) | (lower[buf] if lower is not None else buf)
+        value = _NEAR[np.minimum(code, len(_NEAR) - 1)]
+        far = np.flatnonzero(code >= len(_NEAR))
+        value[far] = _value(code[far])
         total = np.zeros(n + 1, U64)
         np.cumsum(value, out=total[1:])
         h = total[self.end] - total[self.start]

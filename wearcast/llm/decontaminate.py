@@ -209,8 +209,18 @@ def search(index: Index, words: Words, threshold: float) -> dict[tuple[int, int]
     # the sum over all words, repeats included, bounds the sum over terms
     total = np.zeros(len(term) + 1)
     np.cumsum(index.most[term], out=total[1:])
-    for p in np.flatnonzero(total[high] - total[low] >= threshold - 1e-6):
-        for i, score in zip(*(x.tolist() for x in retrieve(index, np.unique(term[low[p] : high[p]]), threshold))):
+    alive = np.flatnonzero(total[high] - total[low] >= threshold - 1e-6)
+    # the distinct terms of each of those, and their sum as the next bound
+    size = high[alive] - low[alive]
+    ends = np.cumsum(size)
+    places = np.repeat(low[alive] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+    pairs = np.unique(np.repeat(np.arange(len(alive)), size) * len(index.terms) + term[places])
+    of, term = np.divmod(pairs, len(index.terms))
+    bound = np.bincount(of, index.most[term], len(alive))
+    edge = np.searchsorted(of, np.arange(len(alive) + 1))
+    for k in np.flatnonzero(bound >= threshold - 1e-6):
+        p = alive[k]
+        for i, score in zip(*(x.tolist() for x in retrieve(index, term[edge[k] : edge[k + 1]], threshold))):
             found.setdefault((int(doc[p]), i), []).append((score, int(first[p]), int(last[p])))
     return found
 
