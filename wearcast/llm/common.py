@@ -138,7 +138,8 @@ def _value(code: np.ndarray) -> np.ndarray:
     return mix(code.astype(U64) * U64(_BASE) + _C1)
 
 
-_NEAR = _value(np.arange(64 * 256))  # of the first 64 places
+_PLACES = 64
+_NEAR = _value(np.arange(_PLACES * 256))
 
 
 class Words:
@@ -174,12 +175,17 @@ class Words:
         self.first = np.searchsorted(self.start, offsets)
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(self.count)), self.count)
-        opens = np.append(0, self.start)
-        place = np.arange(n) - np.repeat(opens, np.diff(opens, append=n))
-        code = (place << 8) | (lower[buf] if lower is not None else buf)
-        value = _NEAR[np.minimum(code, len(_NEAR) - 1)]
-        far = np.flatnonzero(code >= len(_NEAR))
-        value[far] = _value(code[far])
+        kind = np.int32 if n < 1 << 23 else np.int64  # a code is 256 times a place
+        opens = np.append(0, self.start).astype(kind)
+        size = np.diff(opens, append=kind(n))
+        code = np.arange(n, dtype=kind)
+        code -= np.repeat(opens, size)  # place in the word
+        code <<= 8
+        code |= lower[buf] if lower is not None else buf
+        value = _NEAR.take(code, mode="clip")
+        if size.max(initial=0) > _PLACES:
+            far = np.flatnonzero(code >= len(_NEAR))
+            value[far] = _value(code[far])
         total = np.zeros(n + 1, U64)
         np.cumsum(value, out=total[1:])
         h = total[self.end] - total[self.start]
