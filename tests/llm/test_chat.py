@@ -57,3 +57,25 @@ def test_typed_parts(spark):
                                       "'width',x.width,'height',x.height,'seconds',x.seconds,'pages',x.pages))"))
     with pytest.raises(Exception, match="unknown content part"):
         chat.format_conversations(bad, "p").collect()
+
+
+def test_marks_split_over_parts_stay_text(spark):
+    rng = random.Random(18)
+    rows, want = [], {}
+    for c in range(60):
+        text = "".join(rng.choices(BITS, k=rng.randint(1, 10)))
+        cuts = sorted(rng.choices(range(len(text) + 1), k=4))
+        pieces = [text[a:z] for a, z in zip([0, *cuts], [*cuts, len(text)])]
+        at = rng.randint(0, 5)  # an attachment somewhere among the texts
+        parts = [("text", x, None, None, None, None, None) for x in pieces]
+        parts.insert(at, ("image", None, "i.png", 28, 28, None, None))
+        rows.append((c, 0, "assistant", "", parts))
+        want[c] = "".join(pieces[:at]), "".join(pieces[at:])
+    kinds = f"conv_id long, turn long, role string, text string, p array<{chat.PART}>"
+    made = chat.format_conversations(spark.createDataFrame(rows, kinds), "p")
+    got = made.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns")).collect()
+    assert len(got) == 60
+    for r in got:
+        a, b = want[r["conv_id"]]
+        assert len(r["turns"]) == 1 and r["formatted"].count("<|") == 3, r
+        assert r["turns"][0]["text"] == f"{a}<|image:1|>{b}"

@@ -6,8 +6,9 @@ DataFrame functions only.  A turn is marked
 text holds ``<|`` in marks only, and dropping one backslash restores it.  The
 role is URL-encoded.
 
-Content parts are visited in order: text is escaped, and image, audio and
-document parts become numbered placeholders (``<|image:1|>``).  Attachments
+Content parts are visited in order: neighbouring texts are joined and then
+escaped, so a mark that is split over parts is escaped too, and image, audio
+and document parts become numbered placeholders (``<|image:1|>``).  Attachments
 are recorded with their reference and the tokens they expand to.
 """
 
@@ -47,7 +48,7 @@ def visit(parts: Column) -> Column:
 
     A part without a type is text; a type outside text, image, audio and
     document raises an error; null parts and null texts add nothing."""
-    zero = F.struct(F.lit("").alias("body"), F.array().cast(f"array<{_SLOT}>").alias("attachments"))
+    zero = F.struct(F.lit("").alias("body"), F.lit("").alias("open"), F.array().cast(f"array<{_SLOT}>").alias("attachments"))
 
     def step(acc: Column, p: Column) -> Column:
         kind = F.coalesce(p["type"], F.lit("text"))
@@ -56,13 +57,19 @@ def visit(parts: Column) -> Column:
                         expanded_tokens(p).alias("tokens"))
         mark = F.concat(F.lit("<|"), kind, F.lit(":"), number.cast("string"), F.lit("|>"))
         known = kind.isin("image", "audio", "document")
-        added = (F.when(kind == "text", escape(F.coalesce(p["text"], F.lit("")))).when(known, mark)
-                 .otherwise(F.raise_error(F.concat(F.lit("unknown content part: "), kind)).cast("string")))
-        return F.struct(F.concat(acc["body"], added).alias("body"),
+        body = (F.when(kind == "text", acc["body"]).when(known, F.concat(acc["body"], escape(acc["open"]), mark))
+                .otherwise(F.raise_error(F.concat(F.lit("unknown content part: "), kind)).cast("string")))
+        return F.struct(body.alias("body"),
+                        F.when(known, F.lit("")).otherwise(
+                            F.concat(acc["open"], F.coalesce(p["text"], F.lit("")))).alias("open"),
                         F.when(known, F.concat(acc["attachments"], F.array(slot))).otherwise(
                             acc["attachments"]).alias("attachments"))
 
-    return F.aggregate(F.filter(F.coalesce(parts, F.array().cast(f"array<{PART}>")), lambda p: p.isNotNull()), zero, step)
+    def close(acc: Column) -> Column:
+        return F.struct(F.concat(acc["body"], escape(acc["open"])).alias("body"), acc["attachments"].alias("attachments"))
+
+    return F.aggregate(F.filter(F.coalesce(parts, F.array().cast(f"array<{PART}>")), lambda p: p.isNotNull()),
+                       zero, step, close)
 
 
 def text_parts(text: Column) -> Column:
