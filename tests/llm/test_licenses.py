@@ -52,3 +52,19 @@ def test_empty_and_bad_templates(docs_of):
     assert L.scan_licenses(docs_of([(1, "Released under the MIT License.")]).limit(0)).count() == 0
     with pytest.raises(ValueError):
         L.scan_licenses(docs_of([(1, "x")]), {"short": "two words"})
+
+
+def test_many_templates_by_shuffle_and_long_text(docs_of, monkeypatch):
+    """More templates than are broadcast, one text that holds many of them."""
+    monkeypatch.setattr(L, "BROADCAST_SHINGLES", 100)
+    rng = random.Random(11)
+    many = {f"l{i}": " ".join(f"w{rng.randint(0, 5000)}" for _ in range(rng.choice([12, 40, 41]))) for i in range(2500)}
+    names = rng.sample(sorted(many), 60)
+    filler = " ".join(f"f{i % 977}" for i in range(100_000))
+    rows = [(1, filler + " " + " x y ".join(many[n] for n in names)), (2, filler), (3, many["l7"]), (3, "w1 w2 w3"), (4, None)]
+    got = {(r["doc_id"], r["license"]): r["containment"] for r in L.scan_licenses(docs_of(rows), many).collect()}
+    assert got == {**{(1, n): 1.0 for n in names}, (3, "l7"): 1.0}
+
+
+def test_no_templates(docs_of):
+    assert L.scan_licenses(docs_of([(1, "Released under the MIT License.")]), {}).count() == 0
