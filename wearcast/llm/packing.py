@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .book import query
 from .common import LOWER, SPACE, U64, Words, blocks, cut, drop_cut, mix, raw_text, table
-from .sharding import KEY_BYTES, histogram_splitters, text_size
+from .sharding import KEY_BYTES, MOST_CELLS, histogram_splitters, text_size
 
 SEQUENCE, END_ID = 2048, 1
 DIMENSIONS, BITS, BUCKETS = 3, 10, 256
@@ -241,7 +241,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, length: int = SEQUENCE, end_
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = cut(_keyed(docs))
     total = keyed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    cells = max(1, -(-total // cell_bytes))
+    cells = max(1, min(MOST_CELLS, -(-total // cell_bytes)))
     splitters = np.array(histogram_splitters(keyed, cells, tolerance=0.1), dtype=f"S{KEY_BYTES}")
     drop_cut(keyed)
 
