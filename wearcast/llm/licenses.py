@@ -32,7 +32,7 @@ SHINGLE, BANDS, BAND_ROWS, CONTAINMENT = 3, 24, 2, 0.8
 #: their bands); more are joined by shuffle.
 BROADCAST_SHINGLES = 200_000
 #: Bits of the bitmap: at least this many for each template shingle, up to a megabyte.
-BITS_EACH, MOST_BITS = 16, 1 << 23
+BITS_EACH, MOST_BITS = 1024, 1 << 23
 
 # FIXED VALUES: notices and whole texts as their licenses word them.
 TEMPLATES = {
@@ -178,12 +178,14 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, contai
         raise ValueError(f"templates need {SHINGLE} words at least")
     count = sum(r["total"] for r in listed)
     bitmap, bits = _bitmap(spark, known.select(F.explode("t_shingles").alias("h")), count)
+    needs = [max(1, ceil(containment * r["least"] - 1e-9)) for r in listed]
+    fewest = min(needs, default=1)
     lengths = F.array(*[F.struct(F.lit(r["width"]).alias("width"), F.lit(r["stride"]).alias("stride"),
-                                 F.lit(max(1, ceil(containment * r["least"] - 1e-9))).alias("need"))
-                        for r in listed]) if listed else F.array().cast("array<struct<width:int,stride:int,need:int>>")
+                                 F.lit(need).alias("need"))
+                        for r, need in zip(listed, needs)]) if listed else F.array().cast("array<struct<width:int,stride:int,need:int>>")
     hits = docs.select(F.col("doc_id").cast("long").alias("doc_id"), shingle_hashes(license_words(F.col("text"))).alias("s")).select(
         "doc_id", "s", F.filter(F.transform("s", lambda h, i: F.when(_marked(bitmap, bits, h), i)),
-                                lambda i: i.isNotNull()).alias("at")).where(F.size("at") > 0)
+                                lambda i: i.isNotNull()).alias("at")).where(F.size("at") >= fewest)
 
     def starts(length: Column) -> Column:
         """Window starts (multiples of the stride) whose window holds enough hits."""
