@@ -115,3 +115,41 @@ def test_processing_report_golden(spark, golden):
     assert rep[("min", "air_temperature")] == pytest.approx(-1.12349650, abs=1e-8)
     assert rep[("max", "air_temperature")] == pytest.approx(0.60027972, abs=1e-8)
     assert rep[("original_samples", None)] == 10 and rep[("missing_values", None)] == 0
+
+
+def test_split_and_folds_equal_a_sort_of_all_rows(spark, monkeypatch):
+    """Ranks by (md5, row) as a plain sort gives them, with missing ids, copies and a bucket of many rows."""
+    import hashlib
+    from collections import Counter
+
+    rows = [("hot", 0, i % 40) for i in range(900)] + [(f"id{i}", int(i % 9 == 0), i % 4) for i in range(700)]
+    rows += [(None, 0, 1), (None, 0, 2), (None, 1, 1), ("id5", None, 0)] + [("id7", 0, 3)] * 3
+    df = spark.createDataFrame(rows, "reading_id string, target int, x int").repartition(3)
+    known = df.where("target IS NOT NULL").withColumn("k", F.xxhash64("reading_id", "target", "x")).toPandas()
+    known["h"] = [hashlib.md5(f"{r}:{S.SPLIT_SEED}".encode()).hexdigest() if r is not None else "" for r in known.reading_id]
+    known = known.sort_values(["h", "k"])
+    known["rank"] = known.groupby("target").cumcount() + 1
+    sizes = {r["target"]: r["n_test"] for r in M.allocation(df.where("target IS NOT NULL").groupBy("target").agg(
+        F.count("*").alias("n_c"))).collect()}
+    ids = known.reading_id.where(known.reading_id.notna(), None)
+    split = Counter(zip(ids, known.target, known.x, np.where(known["rank"] <= known.target.map(sizes), "test", "train")))
+    fold = Counter(zip(ids, known.target, known.x, (known["rank"] - 1) % S.CV_FOLDS))
+    for most in (M.HOT_ROWS, 100):
+        monkeypatch.setattr(M, "HOT_ROWS", most)
+        for size in (0.2, 0.5):  # the edge lies in another bucket
+            got = members(M.stratified_split(df, test_size=size).where("target IS NOT NULL"), "split")
+            if size == S.SPLIT_TEST_SIZE:
+                assert got == split
+            assert sum(got.values()) == len(known)
+        assert members(M.stratified_folds(df).where("target IS NOT NULL"), "fold") == fold
+
+
+def test_a_split_moves_no_rows_and_folds_move_them_once(spark):
+    """Rows used to be shuffled twice and written once for a split, and again for its folds."""
+    df = spark.range(5000).select(F.concat(F.lit("r"), "id").alias("reading_id"), (F.col("id") % 7 == 0).cast("int").alias("target"),
+                                  (F.col("id") * 1.0).alias("x"))
+    split = M.stratified_split(df)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "rangepartitioning" not in plan
+    folds = M.stratified_folds(split.where("split = 'train'"))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in folds and "rangepartitioning" not in folds
