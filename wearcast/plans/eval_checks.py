@@ -131,27 +131,18 @@ def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- E6, E7 ---
-def _model_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-model predictions on the exact split of ``scored``: one narrow
-    projection per model, unioned (2 models → 2× rows)."""
-    sp = M.stratified_split(_scored(spark, sf_dir), target="y")
-    parts = [sp.select(F.lit(name).alias("model"), "split", "y",
-                       (F.col("score") > t).cast("int").alias("prediction")) for name, t in MODELS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _by_model(rows: DataFrame, *keep: str) -> DataFrame:
+    """Every model's prediction of every row, in one pass over the rows."""
+    each = F.array(*[F.struct(F.lit(name).alias("model"), (F.col("score") > t).cast("int").alias("prediction"))
+                     for name, t in MODELS])
+    return rows.select(*keep, F.explode(each).alias("m")).select("m.model", *keep, "m.prediction")
 
 
 def comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    preds = _model_preds(spark, sf_dir)
-    mets = E.classification_metrics(preds, by=["model", "split"])
-    folds = _train_folds(spark, sf_dir)
-    held = None
-    for name, t in MODELS:
-        part = folds.select(F.lit(name).alias("model"), "fold", "y", (F.col("score") > t).cast("int").alias("prediction"))
-        held = part if held is None else held.unionByName(part)
-    return E.model_comparison(mets, cv=E.classification_metrics(held, by=["model", "fold"]))
+    sp = M.stratified_split(_scored(spark, sf_dir), target="y")  # exact split, shared by metrics and folds
+    mets = E.classification_metrics(_by_model(sp, "split", "y"), by=["model", "split"])
+    folds = M.stratified_folds(sp.where(F.col("split") == "train"), target="y")
+    return E.model_comparison(mets, cv=E.classification_metrics(_by_model(folds, "fold", "y"), by=["model", "fold"]))
 
 
 _SPLIT_SCORED = split_cte(source="scored", target="y", name="ssplit")
