@@ -94,3 +94,17 @@ def test_mixed_running_aggregates_one_pass(spark):
     em = exp.groupby("g")["m"].cummax().groupby(exp["g"]).shift(1)
     assert (out["v_before"].to_numpy() == ev.to_numpy()).all()
     assert np.allclose(out["m_before"].fillna(-1).to_numpy(), em.fillna(-1).to_numpy())
+
+
+def test_exact_quantiles_run_the_plan_of_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return float(x * 7 % 1000)
+
+    df = spark.range(4000).select(counted.asNondeterministic()("id").alias("a"))
+    got = {r["prob"]: r["quantile"] for r in quantiles(df, ["a"], [0.25, 0.5]).collect()}
+    want = spark.range(4000).select((F.col("id") * 7 % 1000).alias("a")).agg(F.expr("percentile(a, array(0.25, 0.5))")).first()[0]
+    assert [got[0.25], got[0.5]] == want and seen.value == 4000

@@ -3,7 +3,8 @@
 Exact (default) = linear interpolation between order statistics, the same
 definition as pandas ``quantile``, Spark ``percentile`` and DuckDB
 ``quantile_cont``.  One path at every size, by counting; no value is sorted
-or moved:
+or moved.  The columns are kept (in memory, then on disk) for the passes, so
+that the input's plan runs once:
 
 1. one pass counts the cells and takes ``percentile_approx`` sketches (a
    proven rank error) a little below and above each wanted rank: a bracket;
@@ -22,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,6 +120,17 @@ def quantiles(
     if method not in ("exact", "approx"):
         raise ValueError("method must be 'exact' or 'approx'")
     cells = _cells(df, cols)
+    if method == "approx":
+        return _found(df, cells, cols, probs, method, accuracy)
+    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _found(df, cells, cols, probs, method, accuracy)
+    finally:
+        cells.unpersist()
+
+
+def _found(df: DataFrame, cells: DataFrame, cols: list[str], probs: list[float], method: str, accuracy: int) -> DataFrame:
+    """The result of ``quantiles`` from its cells."""
     slack = 2.0 / accuracy
     asked = probs if method == "approx" else [min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)]
     first = cells.agg(*[x for i in range(len(cols)) for x in (
