@@ -131,3 +131,26 @@ def test_one_class_and_missing_values(spark):
     assert len(whole(blocks)[1]) == 48
     same = K.row_blocks(df.selectExpr("reading_id", "1D AS a", "1D AS b", "1D AS c", "target"), ["a", "b", "c"], "target")
     assert len(K.choose_points(same, 10)) == 1
+
+
+def test_mapped_rows_are_not_kept_and_curved_rows_are_bounded(spark, monkeypatch):
+    """Blocks used to hold a number per row and landmark, in memory and on disk, and every block its own curved rows."""
+    import pickle
+
+    _, df = data(spark, 600, 7)
+    blocks = blocks_of(df)
+    marks = K.landmarks(blocks, K.choose_points(blocks, 80), 0.5)
+    ready = K.mapped(blocks, marks)
+    assert not ready.is_cached
+    b = ready.first()
+    assert sum(v.nbytes for v in vars(b).values() if isinstance(v, np.ndarray)) < 100 * len(b.y)
+    w = np.random.default_rng(0).normal(size=(marks.root.shape[1] + 1, 2))
+    assert np.allclose(b.margins(w), b.z @ w[:-1] + w[-1], atol=1e-6) and len(pickle.dumps(b.x)) < 100 * len(b.y)
+    asked = [K.Problem(1.0), K.Problem(10.0, without_fold=1)]
+    monkeypatch.setattr(K, "CURVED_BLOCKS", 1)
+    few = K.solve(ready, asked, tolerance=1e-6, most=60)
+    monkeypatch.setattr(K, "CURVED", 1000)
+    exact = K.solve(ready, asked, tolerance=1e-6, most=60)
+    x, _, _ = whole(blocks)
+    near = [marks.kernel(x) @ marks.root @ v[:-1] + v[-1] for v in (few, exact)]
+    assert np.abs(near[0] - near[1]).max() < 0.05
