@@ -203,3 +203,40 @@ def test_tree_table_and_importances(spark):
     assert all((r["left_child"] is None) == (r["feature"] is None) for r in rows)
     imp = H.importances(trees, 4)
     assert imp.sum() == pytest.approx(1) and imp[3] == 0 and imp.max() == max(imp[:3])
+
+
+def test_partitions_follow_the_cores_and_sums_travel_without_empty_cells(spark):
+    """A pass over many rows used to have a task for 5,000 of them, each with a dense table of all nodes."""
+    many = spark.sparkContext.parallelize(range(600), 300)
+    assert H.few(many, 1e9, H.PART_ROWS).getNumPartitions() == H.PARTS_PER_CORE * spark.sparkContext.defaultParallelism
+    rng, nodes, bins = np.random.default_rng(0), 400, 64
+    x, place = rng.integers(0, bins, (5, 90)).astype(np.uint8), rng.integers(0, nodes, 90)
+    feats = np.stack([rng.choice(5, 2, replace=False) for _ in range(nodes)])
+    y, w = rng.integers(0, 2, 90), rng.integers(1, 9, 90).astype(float)
+    whole, parts = H._no_sums(nodes, 2, bins, 3), []
+    for rows in np.array_split(np.arange(90), 3):
+        stats = [np.where(y[rows] == 0, w[rows], 0), np.where(y[rows] == 1, w[rows], 0), None]
+        H._add_sums(whole, x, rows, place[rows], feats, bins, stats)
+        own = H._no_sums(nodes, 2, bins, 3)
+        H._add_sums(own, x, rows, place[rows], feats, bins, stats)
+        parts.append(H._packed(own))
+    assert np.array_equal(H._unpacked(parts), whole)
+    assert all(len(at) <= 60 and values.shape == (len(at), 3) for _, at, values in parts)
+    by_node = H._by_node(whole, bins)
+    for i in (0, 17, 89):
+        for s in (0, 1):
+            f = feats[place[i], s]
+            alike_ = (place == place[i]) & (x[f] == x[f, i])
+            assert by_node[place[i], s, x[f, i]].tolist() == [w[alike_ & (y == 0)].sum(), w[alike_ & (y == 1)].sum(), alike_.sum()]
+
+
+def test_margins_go_on_from_the_round_before(spark, monkeypatch):
+    """Stored blocks used to apply all trees from the first again."""
+    _, df = table(spark, 400, 6)
+    data, made = H.binned(df, COLS, "target"), []
+    for every in (1, 3, 50):
+        monkeypatch.setattr(H, "REBASE_EVERY", every)
+        made.append(H.to_json(H.boost(data, H.Boosting(rounds=8, max_depth=3)), data.edges, "boosted"))
+    assert made[0] == made[1] == made[2]
+    blocks = list(H._joined(iter(data.blocks.collect())))
+    assert len(blocks) == 1 and len(blocks[0].y) == 400
