@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -60,6 +61,54 @@ def test_classes_equal_brute_force(docs_of, nasty, k, percent, unit):
     assert have == brute(rows, k, percent)
 
 
+@pytest.mark.parametrize("ids", [J.BROADCAST_IDS, 12, 0])
+def test_rounds_over_first_copies_equal_brute_force(docs_of, nasty, monkeypatch, ids):
+    """Several rounds of signing, the copies of a set left out by each of the joins."""
+    monkeypatch.setattr(J, "ONE_ROUND", 0)
+    monkeypatch.setattr(J, "BROADCAST_IDS", ids)
+    rows = nasty + near_copies(3, groups=10, size=5)
+    rows += [(1000 + i, t) for i, t in rows if i is not None]
+    got = J.similarity_classes(docs_of(rows), 5, 80).collect()
+    have = sorted(((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in got), key=str)
+    assert have == brute(rows, 5, 80)
+
+
+def test_turns_split_the_signatures():
+    rng = np.random.default_rng(1)
+    n = rng.integers(1, 300, 50)
+    doc, h = np.repeat(np.arange(50), n), rng.integers(0, 2**63, n.sum(), dtype=np.uint64)
+    whole = sorted(zip(*(x.tolist() for x in J.signatures(doc, h, n, 80))))
+    parts = [J.signatures(doc, h, n, 80, turn, J.ROUNDS) for turn in range(J.ROUNDS)]
+    assert sorted((d, s) for p in parts for d, s in zip(*(x.tolist() for x in p))) == whole
+    assert max(len(p[0]) for p in parts) < 0.5 * len(whole)
+
+
+@pytest.mark.parametrize("ids", [J.BROADCAST_IDS, 1, 0])
+def test_a_set_is_signed_once(spark, docs_of, monkeypatch, ids):
+    monkeypatch.setattr(J, "BROADCAST_IDS", ids)
+    docs = docs_of([(i, f"one two three four five {i // 10}") for i in range(40)])
+    mapped = spark.createDataFrame([(i, 2, i // 10 * 10, 10) for i in range(40)], "doc_id long, n long, rep long, copies long")
+    once, _ = J._firsts(docs.select("doc_id", "text"), mapped)
+    assert sorted(r["doc_id"] for r in once.collect()) == [0, 10, 20, 30]
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    from wearcast.llm.common import cut, drop_cut
+
+    def shuffled():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in (found.apply(i).getName() for i in range(found.size())) if f.startswith("shuffle_")}
+
+    before = shuffled()
+    table = cut(spark.range(0, 1000, 1, 4).groupBy("id").count())
+    end = time.time() + 20  # files go by messages to the executors
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert table.count() == 1000
+    drop_cut(table)
+
+
 def test_similar_sets_share_a_signature():
     """Every pair at or above the threshold meets, at all sizes, also with empty parts."""
     rng = np.random.default_rng(5)

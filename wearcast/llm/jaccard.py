@@ -21,15 +21,19 @@ than s / 2 signatures.  So each set may leave out its s / 2 most frequent ones
 (in the same order for all sets, by count and value): the rarest shared one
 stays.  That drops the parts that consist of a widely shared passage alone.
 
-Signatures are counted and matched by shuffles.  Each member is joined to the
+Signatures are counted and matched by shuffles, in ``ROUNDS`` rounds over the
+bands' groups, whose files end with their round: signatures of all groups at
+once would take several times the disk of the texts.  Each member is joined to the
 first of its signature, and the connected groups hold every possible link.  Groups
 are verified exactly, as units of bounded size: a larger group is cut into
-blocks, and every two blocks form a unit.  Equal sets are one set throughout.
+blocks, and every two blocks form a unit.  Equal sets are one set throughout:
+only the first is signed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
 from itertools import combinations
 
 import numpy as np
@@ -49,6 +53,10 @@ _PARITY, _DROP = U64(1), 127
 UNIT_SHINGLES = 150_000
 #: Members of the groups (about 100 bytes each) are broadcast up to this count, else joined by shuffle.
 BROADCAST_ROWS = 500_000
+#: Ids alone (8 bytes each) are broadcast up to this count.
+BROADCAST_IDS = 2_000_000
+#: Rounds of signing; up to so many shingles all signatures fit one.
+ROUNDS, ONE_ROUND = 4, 5_000_000
 _SEEN = 200_000
 _TAG = U64(0xD6E8FEB86659FD93)
 _DOMAINS = mix(np.arange(1, 33, dtype=U64) * _TAG)
@@ -78,14 +86,16 @@ def _sums(doc: np.ndarray, h: np.ndarray, docs: np.ndarray, parts: np.ndarray, s
     return segment_sum(value, ends - count, ends), count, base
 
 
-def signatures(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(document, signature) pairs of sorted distinct (doc, h) sets of sizes n."""
+def signatures(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int, turn: int = 0,
+               turns: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(document, signature) pairs of sorted distinct (doc, h) sets of sizes n,
+    of the groups that are up in this of so many turns."""
     low = size_bands(percent, int(n.max(initial=1)) * 100 // percent + 1)
     band = np.searchsorted(low, n, "right") - 1
     out_doc, out_sig = [], []
     for down in (0, 1):
         group = band - down
-        docs = np.flatnonzero((n > 0) & (group >= 0))
+        docs = np.flatnonzero((n > 0) & (group >= 0) & (group % turns == turn))
         both = low[group[docs] + 1] - 1 + low[group[docs] + 2] - 1
         k = both * (100 - percent) // (100 + percent)
         docs, k = docs[k > 0], k[k > 0]
@@ -185,6 +195,20 @@ def linked_groups(ids: np.ndarray, doc: np.ndarray, h: np.ndarray, side: np.ndar
     return ids[root], links
 
 
+def _firsts(base: DataFrame, mapped: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows whose id is the representative of a set, and the tables that
+    they need until they are read."""
+    first = mapped.where("doc_id = rep").select(F.col("rep").alias("_first")).distinct()
+    other = cut(mapped.select(F.col("doc_id").alias("_first")).distinct().join(first, "_first", "left_anti"))
+    same = F.col("doc_id") == F.col("_first")
+    if other.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        return base.join(F.broadcast(other), same, "left_anti"), [other]
+    if first.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        return base.join(F.broadcast(first), same, "left_semi"), [other]
+    rows = cut(base.join(first, same, "left_semi"))
+    return rows, [other, rows]
+
+
 def similarity_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
                        unit_shingles: int = UNIT_SHINGLES) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest linked
@@ -205,7 +229,7 @@ def similarity_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
                 [b.column("doc_id"), pa.array(n), pa.array(a.view(np.int64)), pa.array(c.view(np.int64))],
                 ["doc_id", "n", "h1", "h2"])
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(batches: Iterator[pa.RecordBatch], turn: int, turns: int) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # equal sets met before in this task need no second signing
         for b in blocks(batches, "text"):
             doc, h, n = _sets(b.column("text"), k)
@@ -218,7 +242,7 @@ def similarity_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
             if len(seen) > _SEEN:
                 seen.clear()
             keep = new[doc]
-            at, sig = signatures(doc[keep], h[keep], np.where(new, n, 0), percent)
+            at, sig = signatures(doc[keep], h[keep], np.where(new, n, 0), percent, turn, turns)
             ids = np.asarray(b.column("doc_id"))
             yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(ids[at])], ["sig", "doc_id"])
 
@@ -228,14 +252,20 @@ def similarity_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     sets = full.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     mapped = cut(full.join(sets, ["n", "h1", "h2"]).select("doc_id", "n", "rep", "copies"))
 
-    signed = base.where("doc_id IS NOT NULL").mapInArrow(sign, "sig long, doc_id long")
-    shared = signed.withColumn("count", F.count("*").over(Window.partitionBy("sig"))).where("count > 1")
-    # the most frequent signatures of a document in a group, as many as may be left out
-    frequent = F.row_number().over(Window.partitionBy("doc_id", F.col("sig").bitwiseAND(F.lit(1))).orderBy(F.desc("count"), "sig"))
-    drop = F.shiftright(F.col("sig"), 1).bitwiseAND(F.lit(_DROP))
-    left = shared.withColumn("nth", frequent).where(F.col("nth") > drop).select("sig", "doc_id")
-    hub = F.first("doc_id").over(Window.partitionBy("sig").orderBy("doc_id"))
-    near = cut(left.select(F.col("doc_id").alias("a"), hub.alias("b")).where("a <> b").distinct())
+    once, copied = _firsts(base.where("doc_id IS NOT NULL"), mapped)
+    turns = ROUNDS if (sets.agg(F.sum("n")).first()[0] or 0) > ONE_ROUND else 1
+    rounds = []
+    for turn in range(turns):
+        signed = once.mapInArrow(partial(sign, turn=turn, turns=turns), "sig long, doc_id long")
+        shared = signed.withColumn("count", F.count("*").over(Window.partitionBy("sig"))).where("count > 1")
+        # the most frequent signatures of a document in a group, as many as may be left out
+        frequent = F.row_number().over(
+            Window.partitionBy("doc_id", F.col("sig").bitwiseAND(F.lit(1))).orderBy(F.desc("count"), "sig"))
+        drop = F.shiftright(F.col("sig"), 1).bitwiseAND(F.lit(_DROP))
+        left = shared.withColumn("nth", frequent).where(F.col("nth") > drop).select("sig", "doc_id")
+        hub = F.first("doc_id").over(Window.partitionBy("sig").orderBy("doc_id"))
+        rounds.append(cut(left.select(F.col("doc_id").alias("a"), hub.alias("b")).where("a <> b").distinct()))
+    near = reduce(DataFrame.unionAll, rounds)
     rep = mapped.select("doc_id", "rep").distinct()
     named = near.join(rep.toDF("a", "ra"), "a").join(rep.toDF("b", "rb"), "b").where("ra <> rb")
     groups = cut(components(named.select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
@@ -263,7 +293,7 @@ def similarity_classes(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
         "block", "text")
     linked = cut(units.groupBy(
         "component", "i", "j").applyInPandas(verify, "a long, b long, links long"))
-    for done in (near, groups, placed):
+    for done in (near, groups, placed, *copied):
         drop_cut(done)
     classes = components(linked.select("a", "b"))
     degree = linked.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
