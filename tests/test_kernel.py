@@ -154,3 +154,20 @@ def test_mapped_rows_are_not_kept_and_curved_rows_are_bounded(spark, monkeypatch
     x, _, _ = whole(blocks)
     near = [marks.kernel(x) @ marks.root @ v[:-1] + v[-1] for v in (few, exact)]
     assert np.abs(near[0] - near[1]).max() < 0.05
+
+
+def test_kernel_values_are_held_for_a_few_rows_at_a_time():
+    """Products with the kernel, nearest points: memory does not follow the rows of a block."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    x, points, beta = rng.normal(size=(20_000, 4)), rng.normal(size=(200, 4)), rng.normal(size=(200, 2))
+    marks = K.Landmarks(points, np.eye(200), 0.3)
+    tracemalloc.start()
+    got, (far, at) = marks.product(x, beta), K._nearest(x, points)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000 * 200 * 8 / 8
+    square = ((x[:, None, :] - points) ** 2).sum(2)
+    assert np.allclose(got, np.exp(-0.3 * square) @ beta, atol=1e-10)
+    assert np.allclose(far, square.min(1), atol=1e-10) and (at == square.argmin(1)).mean() > 0.999
