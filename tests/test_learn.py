@@ -196,6 +196,16 @@ def test_tuned_kernel_svm_scores_and_out_of_fold(spark, train_set):
         assert (part.target == part.prediction).mean() == pytest.approx(want, abs=0.003)
 
 
+def test_kernel_search_and_refit_share_their_landmarks(spark, train_set, monkeypatch):
+    feats, scaler = train_set
+    drawn, plain = [], L.K.choose_points
+    monkeypatch.setattr(L.K, "choose_points", lambda *a, **k: drawn.append(plain(*a, **k)) or drawn[-1])
+    found = L.tune_kernel_svm(M.stratified_folds(feats), scaler, grid=[(1.0, "scale")], landmarks=20)
+    assert len(drawn) == 1
+    machine = L.K.Machine.from_json(found.model.stages[-1].getOrDefault("model"))
+    assert np.array_equal(machine.points, drawn[0])
+
+
 def test_permutation_importance_equals_a_plain_shuffle(spark, train_set):
     """Same permutation by sorting md5 values in one place; any partitioning; works for the kernel machine."""
     import hashlib
