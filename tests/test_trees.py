@@ -167,6 +167,33 @@ def test_cut_trees_are_the_trees_of_other_settings(spark):
         assert [nested(t) for t in own] == [nested(t.cut(depth, split)) for t in deep]
 
 
+def test_forests_that_differ_in_the_leaf_minimum_share_the_sums_of_common_nodes(spark, monkeypatch):
+    _, df = table(spark, 600, 4)
+    data = H.binned(df, COLS, "target", "weight", fold="fold")
+    settings = [H.Forest(trees=4, max_depth=6, min_split=2, min_leaf=k, features=2) for k in (1, 5)]
+    asked, plain = [], H._subsets
+    monkeypatch.setattr(H, "_subsets", lambda tree, nodes, *a: asked.append(len(nodes)) or plain(tree, nodes, *a))
+    together = H.grow_forests(data, [(f, 1) for f in settings])
+    shared, asked[:] = sum(asked), []
+    alone = [H.grow_forests(data, [(f, 1)])[0] for f in settings]
+    assert [[nested(t) for t in forest] for forest in together] == [[nested(t) for t in forest] for forest in alone]
+    assert shared < 0.9 * sum(asked)
+
+
+def test_one_walk_serves_all_cuts_and_only_asked_branches(spark):
+    _, df = table(spark, 600, 2)
+    data = H.binned(df, COLS, "target", "weight", fold="fold")
+    x = np.concatenate([b.x for b in data.blocks.collect()], axis=1)
+    for tree in H.grow_forests(data, [(H.Forest(trees=3, max_depth=8, min_split=2, min_leaf=1, features=2), None)])[0]:
+        ends = H._places(tree.arrays(), x)
+        for depth, split in ((8, 2), (4, 2), (8, 12), (3, 25), (0, 2)):
+            own = tree.cut(depth, split).arrays()
+            assert np.array_equal(H._stops(tree, depth, split)[ends], own[3][H._places(own, x)])
+        some = np.unique(ends)[::3]
+        part = H._places(H._toward(tree, some), x)
+        assert np.array_equal(np.isin(ends, some), np.isin(part, some)) and (part[np.isin(part, some)] == ends[np.isin(ends, some)]).all()
+
+
 def test_grid_has_a_score_for_every_setting_and_fold(spark):
     pdf, df = table(spark, 600, 4)
     data = H.binned(df, COLS, "target", "weight", fold="fold")
